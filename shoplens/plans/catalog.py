@@ -287,3 +287,146 @@ def q_user_profile(spark, sf_dir):
     f"{O.rnd('avg(purchase_freq)', 6)} AS avg_purchase_freq FROM features"))
 def q_dataset_overview(spark, sf_dir):
     return _rounded(dataset_overview(feature_table(spark, sf_dir)), [])
+
+
+# --------------------------------------------------------------------------
+# Evaluation, thresholds, splits, samples (A12-A16, J12, M1, O7) on ``events``
+# --------------------------------------------------------------------------
+
+from shoplens.operators import evaluate as ev  # noqa: E402
+from shoplens.operators import split as sp  # noqa: E402
+
+
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary task from events: label = purchase, score = value / (value + 50) in [0, 1)."""
+    e = dt.read_table(spark, sf_dir, "events")
+    return e.select("event_id", "user_id", "ts", "event_type",
+                    (F.col("event_type") == "purchase").cast("int").alias("label"),
+                    (F.col("value") / (F.col("value") + F.lit(50.0))).alias("score"))
+
+
+_SCORED_SQL = ("scored AS (SELECT event_id, user_id, ts, event_type, "
+               "CAST(event_type = 'purchase' AS INTEGER) AS label, value / (value + 50.0::DOUBLE) AS score "
+               "FROM events)")
+
+
+def _metrics_sql(tp="tp", fp="fp", fn="fn", tn="tn") -> str:
+    return (f"CAST({tp} + {tn} AS DOUBLE) / CAST({tp} + {fp} + {fn} + {tn} AS DOUBLE) AS accuracy, "
+            f"CASE WHEN {tp} + {fp} = 0 THEN 0.0::DOUBLE ELSE CAST({tp} AS DOUBLE) / CAST({tp} + {fp} AS DOUBLE) END AS precision, "
+            f"CASE WHEN {tp} + {fn} = 0 THEN 0.0::DOUBLE ELSE CAST({tp} AS DOUBLE) / CAST({tp} + {fn} AS DOUBLE) END AS recall, "
+            f"CASE WHEN 2 * {tp} + {fp} + {fn} = 0 THEN 0.0::DOUBLE ELSE CAST(2 * {tp} AS DOUBLE) / CAST(2 * {tp} + {fp} + {fn} AS DOUBLE) END AS f1")
+
+
+_AUC_SQL = ("ranked AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM scored), "
+            "auc AS (SELECT CAST((sum(CASE WHEN label = 1 THEN rk ELSE 0 END) - CAST(sum(label) AS DOUBLE) * (CAST(sum(label) AS DOUBLE) + 1.0) / 2.0) "
+            "/ (CAST(sum(label) AS DOUBLE) * CAST(count(*) - sum(label) AS DOUBLE)) AS DOUBLE) AS roc_auc FROM ranked)")
+
+
+@register("roc_auc", "A13", f"WITH {_SCORED_SQL}, {_AUC_SQL} SELECT round_even(roc_auc * 1e9, 0) / 1e9 AS roc_auc FROM auc")
+def q_roc_auc(spark, sf_dir):
+    return ev.roc_auc(scored_events(spark, sf_dir)).select(np_round(F.col("roc_auc"), 9).alias("roc_auc"))
+
+
+@register("binary_metrics", "A12, A13", (
+    f"WITH {_SCORED_SQL}, {_AUC_SQL}, c AS (SELECT "
+    "sum(CASE WHEN score >= 0.5 AND label = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN score >= 0.5 AND label = 0 THEN 1 ELSE 0 END) AS fp, "
+    "sum(CASE WHEN score < 0.5 AND label = 1 THEN 1 ELSE 0 END) AS fn, sum(CASE WHEN score < 0.5 AND label = 0 THEN 1 ELSE 0 END) AS tn FROM scored), "
+    f"m AS (SELECT {_metrics_sql()} FROM c) "
+    "SELECT round_even(accuracy * 1e9, 0) / 1e9 AS accuracy, round_even(precision * 1e9, 0) / 1e9 AS precision, "
+    "round_even(recall * 1e9, 0) / 1e9 AS recall, round_even(f1 * 1e9, 0) / 1e9 AS f1, "
+    "round_even(roc_auc * 1e9, 0) / 1e9 AS roc_auc FROM m, auc"))
+def q_binary_metrics(spark, sf_dir):
+    m = ev.binary_metrics(scored_events(spark, sf_dir), threshold=0.5)
+    return m.select(*[np_round(F.col(c), 9).alias(c) for c in m.columns])
+
+
+def _thr_values(thr) -> str:
+    return "(VALUES " + ", ".join(f"({i}, {O.d(t)})" for i, t in enumerate(thr)) + ") t(threshold_index, threshold)"
+
+
+def _sweep_sql(thr) -> str:
+    return (f"{_SCORED_SQL}, c AS (SELECT threshold_index, threshold, "
+            "CAST(sum(CASE WHEN score >= threshold AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp, "
+            "CAST(sum(CASE WHEN score >= threshold AND label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fp, "
+            "CAST(sum(CASE WHEN score < threshold AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn, "
+            "CAST(sum(CASE WHEN score < threshold AND label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn "
+            f"FROM {_thr_values(thr)}, scored GROUP BY threshold_index, threshold), "
+            f"sweep AS (SELECT CAST(threshold_index AS INTEGER) AS threshold_index, threshold, tp, fp, fn, tn, {_metrics_sql()} FROM c)")
+
+
+@register("threshold_sweep", "J12", f"WITH {_sweep_sql(ev.SWEEP_THRESHOLDS)} SELECT * FROM sweep")
+def q_threshold_sweep(spark, sf_dir):
+    return ev.threshold_sweep(scored_events(spark, sf_dir))
+
+
+@register("threshold_best_f1", "A14", (
+    f"WITH {_sweep_sql(ev.TUNE_THRESHOLDS)} SELECT threshold, f1 AS best_f1 FROM sweep "
+    "ORDER BY f1 DESC, threshold_index ASC LIMIT 1"))
+def q_threshold_best_f1(spark, sf_dir):
+    return ev.tune_threshold(scored_events(spark, sf_dir))
+
+
+_TARGET_SQL = (f"WITH {_sweep_sql(ev.SWEEP_THRESHOLDS)}, "
+               "a AS (SELECT 'accuracy' AS target_metric, 0.7::DOUBLE AS target_value, threshold, accuracy AS metric_value, f1 AS tiebreak_value "
+               "FROM sweep ORDER BY abs(accuracy - 0.7::DOUBLE) ASC, f1 DESC, threshold_index ASC LIMIT 1), "
+               "b AS (SELECT 'f1' AS target_metric, 0.85::DOUBLE AS target_value, threshold, f1 AS metric_value, accuracy AS tiebreak_value "
+               "FROM sweep ORDER BY abs(f1 - 0.85::DOUBLE) ASC, accuracy DESC, threshold_index ASC LIMIT 1) "
+               "SELECT * FROM a UNION ALL SELECT * FROM b")
+
+
+@register("threshold_target", "A15", _TARGET_SQL)
+def q_threshold_target(spark, sf_dir):
+    s = scored_events(spark, sf_dir)
+    return ev.tune_threshold_for_target(s, 0.70, "accuracy").unionByName(
+        ev.tune_threshold_for_target(s, 0.85, "f1"))
+
+
+@register("macro_f1", "A16", (
+    "WITH p AS (SELECT event_type AS y, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pred FROM events), "
+    "q AS (SELECT * FROM p WHERE pred IS NOT NULL), "
+    "classes AS (SELECT y AS c FROM q UNION SELECT pred FROM q), "
+    "per AS (SELECT c, (SELECT count(*) FROM q WHERE y = c AND pred = c) AS tp, (SELECT count(*) FROM q WHERE y = c) AS t, "
+    "(SELECT count(*) FROM q WHERE pred = c) AS pp FROM classes) "
+    "SELECT round_even(CAST(sum(tp) AS DOUBLE) / CAST(sum(t) AS DOUBLE) * 1e9, 0) / 1e9 AS accuracy, "
+    "round_even(CAST(sum(CAST(CASE WHEN t + pp = 0 THEN 0.0::DOUBLE ELSE CAST(2 * tp AS DOUBLE) / CAST(t + pp AS DOUBLE) END AS DECIMAL(38,15))) AS DOUBLE) "
+    "/ count(*) * 1e9, 0) / 1e9 AS f1_macro FROM per"))
+def q_macro_f1(spark, sf_dir):
+    from pyspark.sql import Window
+    e = dt.read_table(spark, sf_dir, "events")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    pairs = e.select(F.col("event_type").alias("y"), F.lag("event_type").over(w).alias("pred")) \
+        .where(F.col("pred").isNotNull())
+    m = ev.multiclass_metrics(pairs, "y", "pred")
+    return m.select(*[np_round(F.col(c), 9).alias(c) for c in m.columns])
+
+
+_HKEY = "CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR) || chr(1) || '42'), 1, 15)) AS BIGINT)"
+
+_SPLIT_SQL = f"""WITH s AS (SELECT event_id, CAST(event_type = 'purchase' AS INTEGER) AS label, {_HKEY} AS h FROM events),
+counts AS (SELECT label, count(*) AS cnt FROM s GROUP BY label),
+tot AS (SELECT sum(cnt) AS n, CAST(ceil(0.2::DOUBLE * CAST(sum(cnt) AS DOUBLE)) AS BIGINT) AS n_test FROM counts),
+a1 AS (SELECT label, cnt, (CAST(cnt AS DOUBLE) / CAST(n AS DOUBLE)) * CAST(n - n_test AS DOUBLE) AS cont, n - n_test AS draws FROM counts, tot),
+b1 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM a1),
+c1 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, label ASC) AS ord, draws - sum(fl) OVER () AS need FROM b1),
+q1 AS (SELECT label, cnt - (fl + CAST(ord <= need AS INTEGER)) AS test_q, CAST(fl + CAST(ord <= need AS INTEGER) AS BIGINT) AS rest FROM c1),
+tot2 AS (SELECT sum(rest) AS n_rest, CAST(ceil(0.25::DOUBLE * CAST(sum(rest) AS DOUBLE)) AS BIGINT) AS n_val FROM q1),
+a2 AS (SELECT label, test_q, rest, (CAST(rest AS DOUBLE) / CAST(n_rest AS DOUBLE)) * CAST(n_rest - n_val AS DOUBLE) AS cont, n_rest - n_val AS draws FROM q1, tot2),
+b2 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM a2),
+c2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, label ASC) AS ord, draws - sum(fl) OVER () AS need FROM b2),
+q AS (SELECT label, test_q, rest - (fl + CAST(ord <= need AS INTEGER)) AS val_q FROM c2),
+ranked AS (SELECT s.*, row_number() OVER (PARTITION BY label ORDER BY h) - 1 AS before FROM s)
+SELECT event_id, label, CASE WHEN before < test_q THEN 'test' WHEN before < test_q + val_q THEN 'validation' ELSE 'train' END AS split
+FROM ranked JOIN q USING (label)"""
+
+
+@register("stratified_split", "M1", _SPLIT_SQL)
+def q_stratified_split(spark, sf_dir):
+    e = dt.read_table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_type") == "purchase").cast("int").alias("label"))
+    return sp.stratified_split(e, "label", ["event_id"], seed=42).select("event_id", "label", "split")
+
+
+@register("hash_sample", "O7", f"SELECT event_id, user_id, event_type FROM events ORDER BY {_HKEY} LIMIT 5000")
+def q_hash_sample(spark, sf_dir):
+    e = dt.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    return sp.hash_sample(e, 5000, ["event_id"], seed=42)
