@@ -430,3 +430,91 @@ def q_stratified_split(spark, sf_dir):
 def q_hash_sample(spark, sf_dir):
     e = dt.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     return sp.hash_sample(e, 5000, ["event_id"], seed=42)
+
+
+# --------------------------------------------------------------------------
+# Similarity (J11, M7-M10, A8-A10) on ``embeddings`` and the feature table
+# --------------------------------------------------------------------------
+
+from shoplens.operators import similarity as sim  # noqa: E402
+from shoplens.schema import PROFILE_FEATURES  # noqa: E402
+
+ALL_CATEGORIES = ["服饰", "鞋靴", "珠宝配饰", "腕表", "运动户外", "美妆个护", "母婴用品", "家居杂货", "其他"]
+
+
+def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = dt.read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"),
+                    (F.col("label") >= 5).cast("double").alias("label"))
+
+
+_EMB_SQL = ("e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label >= 5 AS DOUBLE) AS y FROM embeddings), "
+            "p AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, b.y, list_cosine_similarity(a.v, b.v) AS sim FROM e a, e b), "
+            "r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, neighbor_id) AS rn FROM p)")
+
+
+@register("knn_topk", "J11, M9", f"WITH {_EMB_SQL} SELECT query_id, neighbor_id, {O.rnd('sim', 6)} AS sim FROM r WHERE rn <= 17")
+def q_knn_topk(spark, sf_dir):
+    e = embedding_rows(spark, sf_dir)
+    nb = sim.knn_topk(e, e.select(F.col("vec_id").alias("neighbor_id"), "vec"), 17, "vec_id", "neighbor_id")
+    return nb.select(F.col("vec_id").alias("query_id"), "neighbor_id", r6("sim").alias("sim"))
+
+
+def _knn_score_sql(exclude: bool) -> str:
+    cond = "AND query_id <> neighbor_id" if exclude else ""
+    return (f"WITH {_EMB_SQL}, top AS (SELECT * FROM r WHERE rn <= 17 {cond}), "
+            "top2 AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rn) AS rn2 FROM top), "
+            "s AS (SELECT query_id, CAST(sum(CAST(greatest(sim, 0.0::DOUBLE) * y AS DECIMAL(38,15))) AS DOUBLE) AS wl, "
+            "CAST(sum(CAST(greatest(sim, 0.0::DOUBLE) AS DECIMAL(38,15))) AS DOUBLE) AS w FROM top2 WHERE rn2 <= 15 GROUP BY query_id), "
+            "g AS (SELECT avg(y) AS gm FROM e) "
+            f"SELECT e.vec_id, {O.rnd('coalesce(CASE WHEN w > 0 THEN wl / w END, gm)', 6)} AS baseline_score "
+            "FROM e LEFT JOIN s ON e.vec_id = s.query_id, g")
+
+
+def _knn_score(spark, sf_dir, exclude: bool) -> DataFrame:
+    e = embedding_rows(spark, sf_dir)
+    t = e.select(F.col("vec_id").alias("neighbor_id"), "vec", "label")
+    nb = sim.knn_topk(e, t, 17, "vec_id", "neighbor_id").join(t.select("neighbor_id", "label"), "neighbor_id")
+    excl = (F.col("vec_id") == F.col("neighbor_id")) if exclude else None
+    gm = e.agg(F.avg("label")).scalar()
+    s = sim.weighted_label_score(nb, "vec_id", "label", 15, gm, excl)
+    return e.join(s, "vec_id", "left").select(
+        "vec_id", r6(F.coalesce(F.col("_score"), gm)).alias("baseline_score"))
+
+
+@register("knn_score", "A9, A10, M10", _knn_score_sql(False))
+def q_knn_score(spark, sf_dir):
+    return _knn_score(spark, sf_dir, False)
+
+
+@register("knn_score_exclude_self", "M10 (exclude_self), A10", _knn_score_sql(True))
+def q_knn_score_exclude_self(spark, sf_dir):
+    return _knn_score(spark, sf_dir, True)
+
+
+def _std_sql() -> str:
+    means = ", ".join(f"{O.xmean(f'CAST({c} AS DOUBLE)')} AS m_{c}" for c in PROFILE_FEATURES)
+    sqs = ", ".join(f"CAST(sum(CAST((CAST({c} AS DOUBLE) - m_{c}) ^ 2 AS DECIMAL(38,12))) AS DOUBLE) AS s_{c}"
+                    for c in PROFILE_FEATURES)
+    sds = ", ".join(f"CASE WHEN sqrt(s_{c} / (n - 1)) = 0 OR isnan(sqrt(s_{c} / (n - 1))) THEN 1.0::DOUBLE "
+                    f"ELSE sqrt(s_{c} / (n - 1)) END AS sd_{c}" for c in PROFILE_FEATURES)
+    zs = ", ".join(f"{O.rnd(f'(CAST({c} AS DOUBLE) - m_{c}) / sd_{c}', 6)} AS {c}" for c in PROFILE_FEATURES)
+    return O.with_features(
+        f", m AS (SELECT {means} FROM features), sq AS (SELECT {sqs}, CAST(count(*) AS DOUBLE) AS n FROM features, m), "
+        f"sd AS (SELECT {sds} FROM sq) SELECT user_id, item_id, {zs} FROM features, m, sd")
+
+
+@register("standardize", "A8, M8, M2", None)
+def q_standardize(spark, sf_dir):
+    z = sim.standardize(feature_table(spark, sf_dir), PROFILE_FEATURES, ["user_id", "item_id"])
+    return z.select("user_id", "item_id", *[r6(c).alias(c) for c in PROFILE_FEATURES])
+
+
+REGISTRY["standardize"].sql = _std_sql().replace("\n, m AS", ", m AS", 1)
+
+
+@register("one_hot", "M7", O.with_items(
+    "SELECT item_id, category, " + ", ".join(
+        f"CAST(category = {O.q(c)} AS DOUBLE) AS \"category_{c}\"" for c in ALL_CATEGORIES) + " FROM meta"))
+def q_one_hot(spark, sf_dir):
+    return sim.one_hot(items_table(spark, sf_dir).select("item_id", "category"), ALL_CATEGORIES)
