@@ -518,3 +518,224 @@ REGISTRY["standardize"].sql = _std_sql().replace("\n, m AS", ", m AS", 1)
         f"CAST(category = {O.q(c)} AS DOUBLE) AS \"category_{c}\"" for c in ALL_CATEGORIES) + " FROM meta"))
 def q_one_hot(spark, sf_dir):
     return sim.one_hot(items_table(spark, sf_dir).select("item_id", "category"), ALL_CATEGORIES)
+
+
+# --------------------------------------------------------------------------
+# Segments on given labels (A5, A11, A17-A20, J8, J9) and recommendation steps
+# (O2, O3, W4, W5, J5-J7, M14)
+# --------------------------------------------------------------------------
+
+from pyspark.sql import Window  # noqa: E402
+
+from shoplens.operators import recommend as rec  # noqa: E402
+from shoplens.operators import segments as seg  # noqa: E402
+from shoplens.schema import CANDIDATE_ITEM_COLUMNS, CANDIDATE_USER_COLUMNS  # noqa: E402
+
+
+def given_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user_id -> cluster_id from the customer's market segment (dense index by name)."""
+    c = dt.read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("user_id"), F.col("c_mktsegment").alias("seg"))
+    names = c.select("seg").distinct()
+    names = names.withColumn("cluster_id", (F.dense_rank().over(Window.orderBy("seg")) - 1).cast("int"))
+    return c.join(F.broadcast(names), "seg").select("user_id", "cluster_id")
+
+
+_GIVEN_SQL = ("segs AS (SELECT seg, CAST(dense_rank() OVER (ORDER BY seg) - 1 AS INTEGER) AS cluster_id "
+              "FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer)), "
+              "cmap AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, cluster_id FROM customer JOIN segs ON c_mktsegment = seg)")
+
+
+def clustered_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_user_profile_table(feature_table(spark, sf_dir)).join(given_segments(spark, sf_dir), "user_id")
+
+
+_PROFILE_RAW = """profile AS (SELECT user_id, max(register_days) AS register_days, CAST(sum(purchase_freq) AS BIGINT) AS purchase_freq,
+  {ts} AS total_spend, {dr} AS discount_rate, {ir} AS interaction_rate, {pi} AS purchase_intent, avg(label) AS label
+  FROM features GROUP BY user_id)""".format(ts=O.xsum("total_spend"), dr=O.xmean("discount_rate"),
+                                           ir=O.xmean("interaction_rate"), pi=O.xmean("purchase_intent"))
+
+_SUMMARY_SQL = (f", {_GIVEN_SQL}, {_PROFILE_RAW}, clustered AS (SELECT p.*, cluster_id FROM profile p JOIN cmap USING (user_id)), "
+                "summary AS (SELECT cluster_id, avg(purchase_freq) AS purchase_freq, "
+                f"{O.xmean('total_spend')} AS total_spend, avg(register_days) AS register_days, "
+                f"{O.xmean('discount_rate')} AS discount_rate, {O.xmean('interaction_rate')} AS interaction_rate, "
+                f"{O.xmean('purchase_intent')} AS purchase_intent, {O.xmean('label')} AS purchase_ratio, "
+                "count(*) AS user_count FROM clustered GROUP BY cluster_id), "
+                "lead AS (SELECT *, row_number() OVER (ORDER BY purchase_ratio DESC, cluster_id) = 1 AS lp, "
+                "row_number() OVER (ORDER BY total_spend DESC, cluster_id) = 1 AS lv, "
+                "row_number() OVER (ORDER BY interaction_rate DESC, cluster_id) = 1 AS li, "
+                "row_number() OVER (ORDER BY discount_rate DESC, cluster_id) = 1 AS ld FROM summary), "
+                f"med AS (SELECT {O.median_sql('purchase_ratio')} AS m FROM summary), "
+                "named AS (SELECT lead.*, CASE WHEN lp AND lv THEN '高价值转化' WHEN li AND purchase_ratio <= m THEN '高互动待转化' "
+                "WHEN ld THEN '价格敏感' ELSE '稳态常规' END AS nm FROM lead, med), "
+                "final AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY nm ORDER BY cluster_id) > 1 "
+                "THEN nm || '-' || CAST(cluster_id AS VARCHAR) ELSE nm END AS cluster_name FROM named)")
+
+_SUMMARY_COLS = ["purchase_freq", "total_spend", "register_days", "discount_rate", "interaction_rate",
+                 "purchase_intent", "purchase_ratio"]
+
+
+def _summary(spark, sf_dir) -> DataFrame:
+    return seg.assign_segment_names(seg.segment_summary(clustered_profiles(spark, sf_dir)))
+
+
+@register("segment_summary", "A5, J9, O5", O.with_features(
+    _SUMMARY_SQL + " SELECT cluster_id, " + ", ".join(f"{O.rnd(c, 6)} AS {c}" for c in _SUMMARY_COLS)
+    + ", user_count FROM summary"))
+def q_segment_summary(spark, sf_dir):
+    s = seg.segment_summary(clustered_profiles(spark, sf_dir))
+    return s.select("cluster_id", *[r6(c).alias(c) for c in _SUMMARY_COLS], "user_count").orderBy("cluster_id")
+
+
+@register("segment_names", "A11", O.with_features(
+    _SUMMARY_SQL + " SELECT cluster_id, cluster_name, user_count FROM final"))
+def q_segment_names(spark, sf_dir):
+    return _summary(spark, sf_dir).select("cluster_id", "cluster_name", "user_count")
+
+
+_MM = ["purchase_freq", "total_spend", "purchase_intent", "purchase_ratio"]
+
+
+@register("segment_minmax", "A20", O.with_features(
+    _SUMMARY_SQL + " SELECT cluster_name, " + ", ".join(
+        O.rnd(f"({c} - min({c}) OVER ()) / CASE WHEN max({c}) OVER () - min({c}) OVER () = 0 THEN 1.0::DOUBLE "
+              f"ELSE max({c}) OVER () - min({c}) OVER () END", 6) + f" AS {c}" for c in _MM) + " FROM final"))
+def q_segment_minmax(spark, sf_dir):
+    m = seg.segment_minmax(_summary(spark, sf_dir))
+    return m.select("cluster_name", *[r6(c).alias(c) for c in _MM])
+
+
+@register("segment_attach", "J6, J8", O.with_features(
+    f", {_GIVEN_SQL} SELECT f.user_id, f.item_id, CAST(coalesce(cluster_id, -1) AS INTEGER) AS cluster_id "
+    "FROM features f LEFT JOIN cmap USING (user_id)"))
+def q_segment_attach(spark, sf_dir):
+    f = feature_table(spark, sf_dir).select("user_id", "item_id")
+    return f.join(given_segments(spark, sf_dir), "user_id", "left").select(
+        "user_id", "item_id", F.coalesce(F.col("cluster_id"), F.lit(-1)).cast("int").alias("cluster_id"))
+
+
+_CORR = ["purchase_freq", "total_spend", "discount_rate", "interaction_rate", "purchase_intent", "label"]
+
+
+def _corr_sql() -> str:
+    means = ", ".join(f"{O.xmean(f'CAST({c} AS DOUBLE)')} AS m_{c}" for c in _CORR)
+    pairs = [(a, b) for i, a in enumerate(_CORR) for b in _CORR[i:]]
+    sums = ", ".join(f"CAST(sum(CAST((CAST({a} AS DOUBLE) - m_{a}) * (CAST({b} AS DOUBLE) - m_{b}) AS DECIMAL(38,12))) AS DOUBLE) AS s_{a}__{b}"
+                     for a, b in pairs)
+    sel = []
+    for a in _CORR:
+        for b in _CORR:
+            ab = f"s_{a}__{b}" if (a, b) in pairs else f"s_{b}__{a}"
+            den = f"sqrt(s_{a}__{a} * s_{b}__{b})"
+            sel.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, "
+                       f"{O.rnd(f'CASE WHEN {den} = 0 THEN {chr(39)}NaN{chr(39)}::DOUBLE ELSE {ab} / {den} END', 6)} AS corr FROM s")
+    return O.with_features(f", m AS (SELECT {means} FROM features), s AS (SELECT {sums} FROM features, m) "
+                           + " UNION ALL ".join(sel))
+
+
+@register("corr_matrix", "A19", None)
+def q_corr_matrix(spark, sf_dir):
+    c = seg.correlation_matrix(feature_table(spark, sf_dir), _CORR)
+    return c.select("col_a", "col_b", r6("corr").alias("corr"))
+
+
+REGISTRY["corr_matrix"].sql = _corr_sql()
+
+
+@register("silhouette", "A17, O7", (
+    "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings "
+    "ORDER BY CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || chr(1) || '42'), 1, 15)) AS BIGINT) LIMIT 5000), "
+    "d AS (SELECT a.vec_id AS i, a.label AS own, b.label AS lab, CAST(sum(CAST(list_distance(a.v, b.v) AS DECIMAL(38,12))) AS DOUBLE) AS dsum, "
+    "count(*) AS cnt FROM e a, e b GROUP BY a.vec_id, a.label, b.label), "
+    "per AS (SELECT i, max(CASE WHEN lab = own THEN cnt END) AS n_own, max(CASE WHEN lab = own THEN dsum END) AS d_own, "
+    "min(CASE WHEN lab <> own THEN dsum / cnt END) AS b FROM d GROUP BY i), "
+    "s AS (SELECT CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0::DOUBLE "
+    "WHEN greatest(d_own / (n_own - 1), b) = 0 THEN 0.0::DOUBLE "
+    "ELSE (b - d_own / (n_own - 1)) / greatest(d_own / (n_own - 1), b) END AS s FROM per) "
+    f"SELECT {O.rnd(O.xmean('s').replace('DECIMAL(38,9)', 'DECIMAL(38,15)'), 6)} AS silhouette FROM s"))
+def q_silhouette(spark, sf_dir):
+    e = dt.read_table(spark, sf_dir, "embeddings")
+    return seg.silhouette(e, "vec_id", "label", "embedding").select(r6("silhouette").alias("silhouette"))
+
+
+@register("davies_bouldin", "A18", (
+    "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings), "
+    "x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM e), "
+    "cm AS (SELECT label, pos, CAST(sum(CAST(x AS DECIMAL(38,15))) AS DOUBLE) / count(x) AS m FROM x GROUP BY label, pos), "
+    "c AS (SELECT label, list(m ORDER BY pos) AS centroid FROM cm GROUP BY label), "
+    "sc AS (SELECT e.label, CAST(sum(CAST(list_distance(e.v, c.centroid) AS DECIMAL(38,15))) AS DOUBLE) / count(*) AS s "
+    "FROM e JOIN c ON e.label = c.label GROUP BY e.label), "
+    "cs AS (SELECT c.label, centroid, s FROM c JOIN sc ON c.label = sc.label), "
+    "r AS (SELECT a.label, max(CASE WHEN list_distance(a.centroid, b.centroid) = 0 THEN 0.0::DOUBLE "
+    "ELSE (a.s + b.s) / list_distance(a.centroid, b.centroid) END) AS r FROM cs a JOIN cs b ON a.label <> b.label GROUP BY a.label) "
+    f"SELECT {O.rnd('CAST(sum(CAST(r AS DECIMAL(38,15))) AS DOUBLE) / count(r)', 6)} AS davies_bouldin FROM r"))
+def q_davies_bouldin(spark, sf_dir):
+    e = dt.read_table(spark, sf_dir, "embeddings")
+    return seg.davies_bouldin(e, "label", "embedding").select(r6("davies_bouldin").alias("davies_bouldin"))
+
+
+_UCOLS = ", ".join(CANDIDATE_USER_COLUMNS)
+_ICOLS = ", ".join(CANDIDATE_ITEM_COLUMNS)
+_USER_FIRST = ("ufirst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY label DESC, "
+               "purchase_intent DESC, total_spend DESC, " + ", ".join(rec.USER_TIE) + ") AS rn FROM features) WHERE rn = 1)")
+_ITEM_FIRST = ("ifirst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY label DESC, "
+               "social_influence DESC, user_id, last_click_gap) AS rn FROM features) WHERE rn = 1)")
+_TOP_USERS = f"tu AS (SELECT {_UCOLS} FROM ufirst ORDER BY label DESC, purchase_intent DESC, total_spend DESC, user_id LIMIT 3)"
+_POOL = f"ip AS (SELECT {_ICOLS} FROM ifirst ORDER BY label DESC, social_influence DESC, item_id LIMIT 400)"
+
+
+@register("top1_per_user", "W4", O.with_features(f", {_USER_FIRST} SELECT {_UCOLS} FROM ufirst"))
+def q_top1_per_user(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    desc = ["label", "purchase_intent", "total_spend"]
+    return rec.keep_first_sorted(f, "user_id", desc, rec.USER_TIE, CANDIDATE_USER_COLUMNS).select(*CANDIDATE_USER_COLUMNS)
+
+
+@register("top1_per_item", "W4", O.with_features(f", {_ITEM_FIRST} SELECT {_ICOLS} FROM ifirst"))
+def q_top1_per_item(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    return rec.keep_first_sorted(f, "item_id", ["label", "social_influence"], ["user_id", "last_click_gap"],
+                                 CANDIDATE_ITEM_COLUMNS).select(*CANDIDATE_ITEM_COLUMNS)
+
+
+@register("top_users", "O2", O.with_features(f", {_USER_FIRST}, {_TOP_USERS} SELECT * FROM tu"))
+def q_top_users(spark, sf_dir):
+    return rec.top_users(feature_table(spark, sf_dir), 3)
+
+
+@register("item_pool", "O3", O.with_features(f", {_ITEM_FIRST}, {_POOL} SELECT * FROM ip"))
+def q_item_pool(spark, sf_dir):
+    return rec.item_pool(feature_table(spark, sf_dir), 400)
+
+
+_CAND_SQL = (f", {_USER_FIRST}, {_ITEM_FIRST}, {_TOP_USERS}, {_POOL}, {_GIVEN_SQL}, "
+             f"cand AS (SELECT tu.*, ip.* EXCLUDE (), CAST(coalesce(cmap.cluster_id, -1) AS INTEGER) AS cluster_id, 0 AS label "
+             "FROM tu CROSS JOIN ip LEFT JOIN cmap ON tu.user_id = cmap.user_id)")
+
+
+def _candidates(spark, sf_dir) -> DataFrame:
+    f = feature_table(spark, sf_dir)
+    return rec.build_candidate_pairs(rec.top_users(f, 3), rec.item_pool(f, 400), given_segments(spark, sf_dir))
+
+
+@register("candidate_pairs", "J5, J6, M14", O.with_features(_CAND_SQL.replace(" EXCLUDE ()", "")
+                                                             + " SELECT * EXCLUDE (label), CAST(label AS INTEGER) AS label FROM cand"))
+def q_candidate_pairs(spark, sf_dir):
+    return _candidates(spark, sf_dir)
+
+
+@register("unseen_candidates", "J7, P5", O.with_features(
+    _CAND_SQL.replace(" EXCLUDE ()", "") + " SELECT c.user_id, c.item_id, c.cluster_id FROM cand c "
+    "WHERE NOT EXISTS (SELECT 1 FROM features f WHERE f.user_id = c.user_id AND f.item_id = c.item_id)"))
+def q_unseen_candidates(spark, sf_dir):
+    c = rec.drop_seen(_candidates(spark, sf_dir), feature_table(spark, sf_dir))
+    return c.select("user_id", "item_id", "cluster_id")
+
+
+@register("topn_per_user", "W5", O.with_features(
+    " SELECT user_id, item_id, purchase_intent, social_influence FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+    "ORDER BY purchase_intent DESC, social_influence DESC, item_id, last_click_gap) AS rn FROM features) WHERE rn <= 5"))
+def q_topn_per_user(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    t = rec.top_n_per_group(f, "user_id", 5, ["purchase_intent", "social_influence"], ["item_id", "last_click_gap"])
+    return t.select("user_id", "item_id", "purchase_intent", "social_influence")
