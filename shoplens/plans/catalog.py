@@ -739,3 +739,79 @@ def q_topn_per_user(spark, sf_dir):
     f = feature_table(spark, sf_dir)
     t = rec.top_n_per_group(f, "user_id", 5, ["purchase_intent", "social_influence"], ["item_id", "last_click_gap"])
     return t.select("user_id", "item_id", "purchase_intent", "social_influence")
+
+
+# --------------------------------------------------------------------------
+# Model queries from one pipeline run per (session, sf_dir): rows-only checks
+# (M3-M6, M11-M13, M15, M16, A21, K2, K3) plus class weights (A22, oracle)
+# --------------------------------------------------------------------------
+
+_RUNS: dict[tuple[int, str], object] = {}
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str):
+    from shoplens.plans.pipeline import run
+
+    key = (id(spark), sf_dir)
+    if key not in _RUNS:
+        _RUNS[key] = run(feature_table(spark, sf_dir))
+    return _RUNS[key]
+
+
+@register("user_segments", "M3, M6")
+def q_user_segments(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).segments.clustered.select("user_id", "cluster_id", "cluster_name")
+
+
+@register("k_metrics", "M3, A17, A18")
+def q_k_metrics(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).segments.k_metrics
+
+
+@register("segment_pca", "M4")
+def q_segment_pca(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).segments.clustered.select("user_id", "pca_x", "pca_y")
+
+
+@register("segment_annotation", "M5, A16")
+def q_segment_annotation(spark, sf_dir):
+    m = pipeline_run(spark, sf_dir).segments.auto_label_metrics
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(m.items())], "metric string, value double")
+
+
+@register("rf_ranker", "M11, M12, M10, M1")
+def q_rf_ranker(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).scored_test.select("user_id", "item_id", "label", "baseline_score", "rf_score")
+
+
+@register("feature_importance", "M13, O4")
+def q_feature_importance(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).importance
+
+
+@register("recommendations", "M15, M14, J7, W5")
+def q_recommendations(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).recommendations
+
+
+@register("metrics_long", "K2, K3, M16")
+def q_metrics_long(spark, sf_dir):
+    return pipeline_run(spark, sf_dir).metrics_long
+
+
+@register("metric_comparison", "A21")
+def q_metric_comparison(spark, sf_dir):
+    from shoplens.plans.pipeline import metric_comparison
+
+    return metric_comparison(pipeline_run(spark, sf_dir).metrics_long)
+
+
+@register("class_weights", "A22", O.with_features(
+    ", c AS (SELECT label, count(*) AS n FROM features GROUP BY label) SELECT label, "
+    "CAST(n AS BIGINT) AS n, CAST(sum(n) OVER () AS DOUBLE) / (CAST(count(*) OVER () AS DOUBLE) * CAST(n AS DOUBLE)) AS weight FROM c"))
+def q_class_weights(spark, sf_dir):
+    f = feature_table(spark, sf_dir).select("label")
+    counts = f.groupBy("label").agg(F.count(F.lit(1)).alias("n"))  # one row per class
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    k = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
+    return counts.select("label", "n", (total.cast("double") / (k.cast("double") * F.col("n").cast("double"))).alias("weight"))
