@@ -815,3 +815,75 @@ def q_class_weights(spark, sf_dir):
     total = F.sum("n").over(Window.partitionBy(F.lit(1)))
     k = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
     return counts.select("label", "n", (total.cast("double") / (k.cast("double") * F.col("n").cast("double"))).alias("weight"))
+
+
+# --------------------------------------------------------------------------
+# Paging, dimension samples, previews and relabels
+# --------------------------------------------------------------------------
+
+from shoplens.operators import relabel as rl  # noqa: E402
+from shoplens.schema import CLUSTER_COLUMN_LABELS  # noqa: E402
+from shoplens.sources import paging as pg  # noqa: E402
+
+
+@register("page_scan", "S5", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 200")
+def q_page_scan(spark, sf_dir):
+    return pg.page(dt.read_table(spark, sf_dir, "orders"), ["o_orderkey"], 200, 100)
+
+
+@register("paginated_rows", "S5", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 500")
+def q_paginated_rows(spark, sf_dir):
+    return pg.paginated_rows(dt.read_table(spark, sf_dir, "orders"), ["o_orderkey"], 500, 100)
+
+
+_FIRST_CUST = ("f AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 500), "
+               "ids AS (SELECT o_custkey FROM f GROUP BY o_custkey ORDER BY min(o_orderkey) LIMIT 80)")
+
+
+@register("distinct_first_n", "O6", f"WITH {_FIRST_CUST} SELECT o_custkey FROM ids")
+def q_distinct_first_n(spark, sf_dir):
+    f = dt.read_table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(500)
+    return pg.first_distinct(f, "o_custkey", ["o_orderkey"], 80)
+
+
+@register("sample_star", "M18, J10", f"WITH {_FIRST_CUST} SELECT DISTINCT c.* FROM customer c WHERE c_custkey IN (SELECT o_custkey FROM ids)")
+def q_sample_star(spark, sf_dir):
+    _, dims = pg.sample_star(dt.read_table(spark, sf_dir, "orders"), ["o_orderkey"],
+                             dt.read_table(spark, sf_dir, "customer"), "c_custkey", "o_custkey")
+    return dims
+
+
+_LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("dim_semi_join", "J10, O6", (
+    f"WITH f AS (SELECT * FROM lineitem ORDER BY {', '.join(_LINE_ORDER)} LIMIT 500), "
+    f"ids AS (SELECT l_partkey FROM (SELECT l_partkey, min(({', '.join(_LINE_ORDER)})) AS k FROM f GROUP BY l_partkey) ORDER BY k LIMIT 80) "
+    "SELECT DISTINCT p.* FROM part p WHERE p_partkey IN (SELECT l_partkey FROM ids)"))
+def q_dim_semi_join(spark, sf_dir):
+    _, dims = pg.sample_star(dt.read_table(spark, sf_dir, "lineitem"), _LINE_ORDER,
+                             dt.read_table(spark, sf_dir, "part"), "p_partkey", "l_partkey")
+    return dims
+
+
+@register("preview", "P6", (
+    "SELECT coalesce(CAST(o_orderkey AS VARCHAR), '') AS o_orderkey, coalesce(CAST(o_custkey AS VARCHAR), '') AS o_custkey, "
+    "coalesce(o_orderstatus, '') AS o_orderstatus, coalesce(o_orderpriority, '') AS o_orderpriority "
+    "FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 10)"))
+def q_preview(spark, sf_dir):
+    o = dt.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return rl.compact_preview(o, 10, ["o_orderkey"])
+
+
+@register("relabel", "P7, P8, P9", None)
+def q_relabel(spark, sf_dir):
+    s = seg.segment_summary(clustered_profiles(spark, sf_dir)).select(
+        "cluster_id", *[r6(c).alias(c) for c in _SUMMARY_COLS], "user_count")
+    return rl.rename_columns(s, CLUSTER_COLUMN_LABELS)
+
+
+REGISTRY["relabel"].sql = O.with_features(
+    _SUMMARY_SQL + " SELECT cluster_id AS \"" + CLUSTER_COLUMN_LABELS["cluster_id"] + "\", "
+    + ", ".join(f"{O.rnd(c, 6)} AS \"{CLUSTER_COLUMN_LABELS[c]}\"" for c in _SUMMARY_COLS)
+    + f", user_count AS \"{CLUSTER_COLUMN_LABELS['user_count']}\" FROM summary")
