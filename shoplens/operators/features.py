@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.numeric import clip, days_between, exact_mean, exact_sum, np_round, safe_div
 from shoplens.functions.text import emotion_score, keyword_flag, stable_binary, translate_category
-from shoplens.operators.ordered import exact_median, pct_rank_table, qcut_label, with_previous_time
+from shoplens.operators.ordered import (
+    exact_median,
+    exact_medians,
+    qcut_label,
+    with_pct_ranks,
+    with_previous_time,
+)
 from shoplens.session import materialize
 from shoplens.schema import (
     AGE_LABELS,
@@ -86,8 +92,8 @@ def prepare_items(items: DataFrame) -> DataFrame:
     """Validated, de-duplicated items with img_count and has_video."""
     feats = item_features(items)
     meta = keep_first(feats, "item_id", "_ord" if "_ord" in feats.columns else None)
-    med_related = exact_median(meta, "related_count", out_col="m").scalar()
-    med_title = exact_median(meta, "title_length", out_col="m").scalar()
+    meds = exact_medians(meta, ["related_count", "title_length"])
+    med_related, med_title = meds.getField("related_count"), meds.getField("title_length")
     img = F.col("image_exists") + F.ceil(F.col("related_count").cast("double") / F.lit(12.0))
     return meta.select(
         *[c for c in meta.columns if c != "_ord"],
@@ -137,17 +143,13 @@ def user_features(stats: DataFrame, buckets: int | None = None) -> DataFrame:
         np_round(F.col("avg_price"), 9).alias("_ap"),
     )
     u = materialize(u, "user-stats")
-    r = u
-    for col, out in [("register_days", "_pr_rd"), ("_ts", "_pr_ts"), ("_ap", "_pr_ap"),
-                     ("purchase_freq", "_pr_pf")]:
-        r = r.join(pct_rank_table(u, col, out_col=out, buckets=buckets), col, "left")
+    r = with_pct_ranks(u, "user_id", [("register_days", "_pr_rd"), ("_ts", "_pr_ts"), ("_ap", "_pr_ap"),
+                                      ("purchase_freq", "_pr_pf")], buckets)
     r = r.withColumn("_age_score", F.lit(0.5) * F.col("_pr_rd") + F.lit(0.3) * F.col("_pr_ts")
                      + F.lit(0.2) * F.col("_pr_ap"))
     r = r.withColumn("_level_score", F.lit(0.6) * F.col("_pr_ts") + F.lit(0.4) * F.col("_pr_pf"))
     r = materialize(r, "user-scores")
-    u = r
-    for col, out in [("_age_score", "_pr_age"), ("_level_score", "_pr_level")]:
-        u = u.join(pct_rank_table(r, col, out_col=out, buckets=buckets), col, "left")
+    u = with_pct_ranks(r, "user_id", [("_age_score", "_pr_age"), ("_level_score", "_pr_level")], buckets)
     gender = (F.when(F.col("female_signal_sum") > F.col("male_signal_sum"), F.lit(0))
               .when(F.col("male_signal_sum") > F.col("female_signal_sum"), F.lit(1))
               .otherwise(stable_binary(F.col("user_id"))))

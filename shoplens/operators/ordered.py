@@ -104,18 +104,65 @@ def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
 
 
 def with_previous_time(df: DataFrame, key_col: str, time_col: str, order_cols: Sequence[str],
-                       row_id: str, out_col: str = "gap_days") -> DataFrame:
+                       row_id: str, out_col: str = "gap_days", buckets: int | None = None) -> DataFrame:
     """Days since the key's previous row in order (key, time, *order_cols, row_id); NULL for the first.
 
-    Rows sharing (key, time) collapse to one row first (map-side), so the window
-    sorts distinct times per key, never repeated rows; tied rows after the first
-    get a gap of 0.
+    Rows sharing (key, time) collapse to one row first (map-side), so only
+    distinct times are ordered; tied rows after the first get a gap of 0.
+    Distinct times are cut into global time-quantile buckets: the lag runs
+    inside each (key, bucket), and the first time of a bucket takes the key's
+    latest time from earlier buckets (a table with at most one row per bucket
+    and key).  A key holding a third of all rows is spread over the buckets
+    its times fall in instead of one window partition.
     """
     first = F.min(F.struct(*[F.col(c) for c in order_cols], F.col(row_id)))
     times = df.groupBy(key_col, time_col).agg(first.getField(row_id).alias("_first_rid"))
-    w = Window.partitionBy(key_col).orderBy(time_col)
-    times = times.withColumn("_prev", F.lag(time_col).over(w))
+    times = times.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
+    nb = _bucket_count(times, buckets)
+    if nb > 1:
+        probs = [i / nb for i in range(1, nb)]
+        bounds = times.select(F.percentile_approx("_us", F.lit(probs), F.lit(10_000)).alias("b")).scalar()
+        times = times.withColumn("_bounds", bounds)
+        times = times.withColumn("_tb", F.size(F.filter("_bounds", lambda x: x < F.col("_us"))).cast("int")) \
+            .drop("_bounds")
+    else:
+        times = times.withColumn("_tb", F.lit(0))
+    inner = Window.partitionBy(key_col, "_tb").orderBy("_us")
+    times = times.withColumn("_prev_in", F.lag("_us").over(inner))
+    last = times.groupBy(key_col, "_tb").agg(F.max("_us").alias("_last"))
+    per_key = Window.partitionBy(key_col).orderBy("_tb")  # at most `nb` rows per key
+    last = last.select(key_col, "_tb", F.lag("_last").over(per_key).alias("_prev_bucket"))
+    times = times.join(last, [key_col, "_tb"]).select(
+        key_col, time_col, "_first_rid", "_us",
+        F.coalesce(F.col("_prev_in"), F.col("_prev_bucket")).alias("_prev_us"))
     out = df.join(times, [key_col, time_col], "left")
-    gap = F.when(F.col(row_id) != F.col("_first_rid"), F.lit(0)) \
-        .otherwise(days_between(F.col(time_col), F.col("_prev")))
-    return out.withColumn(out_col, gap.cast("double")).drop("_first_rid", "_prev")
+    gap_days = F.floor((F.col("_us") - F.col("_prev_us")) / F.lit(86_400_000_000)).cast("long")
+    gap = F.when(F.col(row_id) != F.col("_first_rid"), F.lit(0)).otherwise(gap_days)
+    return out.withColumn(out_col, gap.cast("double")).drop("_first_rid", "_us", "_prev_us")
+
+
+def with_pct_ranks(df: DataFrame, key_col: str, specs: Sequence[tuple[str, str]],
+                   buckets: int | None = None) -> DataFrame:
+    """Several percentile ranks in one pass: ``specs`` = [(value column, output column)].
+
+    The value columns are stacked into (metric, value) rows and ranked per
+    metric by one bucketed prefix count, then folded back per key.  ``key_col``
+    must be unique per row.
+    """
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v")) for i, (c, _) in enumerate(specs)]))
+    long = df.select(key_col, stacked.alias("_s")).select(key_col, "_s._m", "_s._v")
+    ranks = pct_rank_table(long, "_v", ["_m"], "_p", buckets)
+    per = long.join(ranks, ["_m", "_v"]).groupBy(key_col).agg(
+        *[F.max(F.when(F.col("_m") == i, F.col("_p"))).alias(out) for i, (_, out) in enumerate(specs)])
+    return df.join(per, key_col, "left")
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> Column:
+    """Global pandas medians of several columns as one struct scalar (fields = column names)."""
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
+    long = df.select(stacked.alias("_s")).select("_s._m", "_s._v")
+    med = exact_median(long, "_v", ["_m"], "median", buckets)
+    return med.agg(F.struct(*[F.max(F.when(F.col("_m") == i, F.col("median"))).alias(c)
+                              for i, c in enumerate(cols)])).scalar()

@@ -38,3 +38,24 @@ def test_median_groups_and_even_counts(spark):
 def test_half_even_rounding(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,)], "x double")
     assert [r[0] for r in df.select(np_round(F.col("x"), 0)).collect()] == [0.0, 2.0, 2.0]
+
+
+def test_previous_time_matches_sorted_lag(spark):
+    import datetime as dt
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for rid in range(400):
+        user = "hot" if rid % 3 else f"u{rid % 7}"
+        ts = dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(rng.integers(0, 2000)))
+        rows.append((user, ts, f"i{rng.integers(0, 5)}", float(rng.integers(1, 6)), rid))
+    df = spark.createDataFrame(rows, "u string, t timestamp, item string, rating double, rid long")
+    from shoplens.operators.ordered import with_previous_time
+
+    got = {r["rid"]: r["gap"] for r in with_previous_time(df, "u", "t", ["item", "rating"], "rid", "gap",
+                                                         buckets=6).collect()}
+    pdf = pd.DataFrame(rows, columns=["u", "t", "item", "rating", "rid"]).sort_values(["u", "t", "item", "rating", "rid"])
+    prev = pdf.groupby("u")["t"].shift(1)
+    want = (pdf["t"] - prev).dt.days
+    for rid, w in zip(pdf["rid"], want):
+        assert (got[rid] is None and np.isnan(w)) or got[rid] == w
