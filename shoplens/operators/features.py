@@ -91,7 +91,9 @@ def keep_first(df: DataFrame, key: str, order_col: str | None) -> DataFrame:
 def prepare_items(items: DataFrame) -> DataFrame:
     """Validated, de-duplicated items with img_count and has_video."""
     feats = item_features(items)
-    meta = keep_first(feats, "item_id", "_ord" if "_ord" in feats.columns else None)
+    # written once: the two medians and the final projection then read the
+    # small deduplicated table instead of recomputing the item inputs
+    meta = materialize(keep_first(feats, "item_id", "_ord" if "_ord" in feats.columns else None), "items-dedup")
     meds = exact_medians(meta, ["related_count", "title_length"])
     med_related, med_title = meds.getField("related_count"), meds.getField("title_length")
     img = F.col("image_exists") + F.ceil(F.col("related_count").cast("double") / F.lit(12.0))
@@ -182,13 +184,17 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
     """
     if "_rid" not in ratings.columns:
         ratings = ratings.withColumn("_rid", F.monotonically_increasing_id())
-    meta = materialize(prepare_items(items), "items")
+    meta = prepare_items(items)
     base = ratings.join(meta, "item_id")
     if min_rows:
         usable = base.limit(min_rows).count()
         if usable < min_rows:
             raise ValueError(f"Usable rows only {usable}, lower than requested minimum {min_rows}")
     base = materialize(base.join(item_stats(base), "item_id", "left"), "interactions")
+    # previous-event gap on the written rows, written once more: the gap median
+    # and the final projection read it instead of recomputing the lag
+    base = materialize(with_previous_time(base, "user_id", "event_time", ["item_id", "rating"], "_rid", "_gap",
+                                          buckets), "interactions-gap")
     users = user_features(user_stats(base), buckets)
     med = materialize(category_median(base), "category-median")
     df = base.join(users, "user_id", "left").join(F.broadcast(med), "category", "left")
@@ -199,8 +205,7 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
         F.lit(0.0))
     df = df.withColumn("discount_rate", discount)
 
-    df = with_previous_time(df, "user_id", "event_time", ["item_id", "rating"], "_rid", "_gap")
-    default_gap = exact_median(df.where(F.col("_gap").isNotNull()), "_gap", out_col="m").scalar()
+    default_gap = exact_median(base.where(F.col("_gap").isNotNull()), "_gap", out_col="m").scalar()
     bounds = base.agg(F.struct(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).alias("b")) \
         .scalar()
     total_days = F.greatest(days_between(bounds.getField("hi"), bounds.getField("lo")), F.lit(1))

@@ -7,7 +7,9 @@ settings that are unset, so cluster-provided values always win.
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import time
 
 from pyspark.sql import SparkSession
 
@@ -74,5 +76,9 @@ def materialize(df, tag: str = "stage"):
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/shoplens/{tag}-{uuid.uuid4().hex}"
+    t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
+    if os.environ.get("SHOPLENS_TRACE"):
+        print(f"[materialize] {tag}: start {t0:.2f} took {time.perf_counter() - t0:.2f}s",
+              file=sys.stderr, flush=True)
     return spark.read.parquet(path)
