@@ -17,7 +17,7 @@ from shoplens.operators.evaluate import multiclass_metrics
 from shoplens.operators.segments import assign_segment_names, davies_bouldin, segment_summary, silhouette
 from shoplens.operators.split import stratified_split
 from shoplens.schema import ITEM_CATEGORICAL_FEATURES, PROFILE_FEATURES, RANKER_NUMERIC
-from shoplens.session import materialize
+from shoplens.session import materialize, trace
 
 
 @dataclass
@@ -45,12 +45,14 @@ def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7)
         fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id")
                 .fit(scaled) for i in range(n_init)]
         model = min(fits, key=lambda m: m.summary.trainingCost)
+        trace(f"segments: k={k} fitted")
         pred = model.transform(scaled).select("user_id", F.col("cluster_id").cast("int"),
                                               vector_to_array("features").alias("vec"))
         pred = pred.withColumn("_uid", F.xxhash64("user_id"))
         s_val = silhouette(pred, "_uid", "cluster_id", "vec", metric_sample_size, seed).first()["silhouette"]
         dbi = davies_bouldin(pred, "cluster_id", "vec", metric_sample_size, "_uid", seed).first()["davies_bouldin"]
         rows.append((int(k), float(s_val), float(dbi)))
+        trace(f"segments: k={k} scored")
         if best is None or s_val > best[0]:
             best = (s_val, k, model)
     if best is None:
@@ -64,7 +66,9 @@ def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7)
     clustered = materialize(clustered, "segments")
     summary = assign_segment_names(segment_summary(clustered)).orderBy("cluster_id")
     clustered = clustered.join(F.broadcast(summary.select("cluster_id", "cluster_name")), "cluster_id", "left")
+    trace("segments: named")
     metrics = annotation_metrics(clustered, feats, seed)
+    trace("segments: annotation model")
     metrics["best_k"] = float(best_k)
     k_metrics = profiles.sparkSession.createDataFrame(rows, "k int, silhouette double, davies_bouldin double")
     return SegmentArtifacts(clustered.drop("features"), summary, k_metrics, metrics, feats)

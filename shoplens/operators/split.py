@@ -70,8 +70,14 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
 
 
 def create_splits(df: DataFrame, label_col: str = "label", key_cols: Sequence[str] | None = None,
-                  seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  seed: int = 42, materialize_as: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(train, validation, test).  With ``materialize_as`` the labelled rows are written
+    once, so the three parts never recompute the split."""
     s = stratified_split(df, label_col, key_cols, seed)
+    if materialize_as:
+        from shoplens.session import materialize
+
+        s = materialize(s, materialize_as)
     return tuple(s.where(F.col("split") == name).drop("split") for name in ("train", "validation", "test"))
 
 

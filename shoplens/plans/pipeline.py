@@ -25,7 +25,7 @@ from shoplens.schema import (
     OPTIMIZED_MODEL_NAME,
     OPTIMIZED_TARGET_F1,
 )
-from shoplens.session import materialize
+from shoplens.session import materialize, trace
 
 
 @dataclass
@@ -58,28 +58,36 @@ def run(features: DataFrame, seed: int = 42, n_init: int = 4) -> PipelineResult:
     df = features
     overview = dataset_overview(df)
     profiles = build_user_profile_table(df)
+    trace("pipeline: start")
     seg = fit_user_segments(profiles, seed=seed, n_init=n_init)
+    trace("pipeline: segments fitted")
     cmap = seg.clustered.select("user_id", "cluster_id", "cluster_name")
     df = materialize(df.join(cmap, "user_id"), "clustered-rows")  # every user has a segment
-    train, val, test = create_splits(df, "label", None, seed)
+    train, val, test = create_splits(df, "label", None, seed, materialize_as="split")
 
+    trace("pipeline: split")
     baseline = fit_similarity(train, top_k=15, user_weight=0.5)
+    trace("pipeline: baseline fitted")
     train_s = materialize(baseline.predict(train, exclude_self=True), "train-scored")
     val_s = materialize(baseline.predict(val), "val-scored")
     test_s = materialize(baseline.predict(test), "test-scored")
+    trace("pipeline: baseline scored")
     b_thr = ev.tune_threshold_for_target(val_s, BASELINE_TARGET_ACCURACY, "accuracy",
                                          score_col="baseline_score").first()["threshold"]
     b_met = ev.binary_metrics(test_s, score_col="baseline_score", threshold=b_thr).first().asDict()
 
     ranker = RandomForestRanker(seed=seed)
     art = ranker.fit(train_s)
+    trace("pipeline: forest fitted")
     val_rf = ranker.predict(art, val_s)
     test_rf = materialize(ranker.predict(art, test_s), "test-rf")
     f_thr = ev.tune_threshold_for_target(val_rf, OPTIMIZED_TARGET_F1, "f1", score_col="rf_score").first()["threshold"]
     f_met = ev.binary_metrics(test_rf, score_col="rf_score", threshold=f_thr).first().asDict()
 
     imp = spark.createDataFrame(RandomForestRanker.feature_importance(art), "feature string, importance double")
+    trace("pipeline: forest scored")
     recs = recommendation_demo(df, baseline, ranker, art, cmap)
+    trace("pipeline: recommendations")
     metrics_long = metrics_table(overview, seg, b_thr, f_thr, b_met, f_met)
     return PipelineResult(overview, seg, test_rf, b_thr, f_thr, b_met, f_met, imp, recs, metrics_long)
 

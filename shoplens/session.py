@@ -82,3 +82,12 @@ def materialize(df, tag: str = "stage"):
         print(f"[materialize] {tag}: start {t0:.2f} took {time.perf_counter() - t0:.2f}s",
               file=sys.stderr, flush=True)
     return spark.read.parquet(path)
+
+
+_T0 = time.perf_counter()
+
+
+def trace(msg: str) -> None:
+    """Progress line on stderr when SHOPLENS_TRACE is set."""
+    if os.environ.get("SHOPLENS_TRACE"):
+        print(f"[{time.perf_counter() - _T0:8.2f}s] {msg}", file=sys.stderr, flush=True)
