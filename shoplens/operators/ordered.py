@@ -118,6 +118,11 @@ def with_previous_time(df: DataFrame, key_col: str, time_col: str, order_cols: S
     first = F.min(F.struct(*[F.col(c) for c in order_cols], F.col(row_id)))
     times = df.groupBy(key_col, time_col).agg(first.getField(row_id).alias("_first_rid"))
     times = times.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
+    # distinct (key, time) rows, written once: the quantile bounds, the in-bucket
+    # lag and the per-bucket maxima all read this table
+    from shoplens.session import materialize
+
+    times = materialize(times, "lag-times")
     nb = _bucket_count(times, buckets)
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
