@@ -887,3 +887,38 @@ REGISTRY["relabel"].sql = O.with_features(
     _SUMMARY_SQL + " SELECT cluster_id AS \"" + CLUSTER_COLUMN_LABELS["cluster_id"] + "\", "
     + ", ".join(f"{O.rnd(c, 6)} AS \"{CLUSTER_COLUMN_LABELS[c]}\"" for c in _SUMMARY_COLS)
     + f", user_count AS \"{CLUSTER_COLUMN_LABELS['user_count']}\" FROM summary")
+
+
+# --------------------------------------------------------------------------
+# Sink -> loader round trip (K1, S1, S2) and value relabel with fallback
+# --------------------------------------------------------------------------
+
+from shoplens.schema import FEATURE_LABELS  # noqa: E402
+from shoplens.session import ensure_checkpoint_dir  # noqa: E402
+from shoplens.sources import files as fs  # noqa: E402
+
+
+@register("load_clean", "K1, S1, S2, P1", O.with_features("SELECT * FROM features"))
+def q_load_clean(spark, sf_dir):
+    """Feature table -> CSV sink (header) in the shared folder -> structured loader."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens/csv-{uuid.uuid4().hex}"
+    fs.write_table(feature_table(spark, sf_dir), path, fmt="csv")
+    return fs.load_structured_dataset(spark, path)
+
+
+def _label_sql(col: str) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = {O.q(k)} THEN {O.q(v)}" for k, v in FEATURE_LABELS.items()) + f" ELSE {col} END"
+
+
+@register("corr_matrix_labeled", "P8, A19", None)
+def q_corr_matrix_labeled(spark, sf_dir):
+    c = REGISTRY["corr_matrix"].run(spark, sf_dir)
+    return c.select(rl.relabel_values(F.col("col_a"), FEATURE_LABELS).alias("col_a"),
+                    rl.relabel_values(F.col("col_b"), FEATURE_LABELS).alias("col_b"), "corr")
+
+
+REGISTRY["corr_matrix_labeled"].sql = (
+    f"SELECT {_label_sql('col_a')} AS col_a, {_label_sql('col_b')} AS col_b, corr FROM ("
+    + REGISTRY["corr_matrix"].sql + ")")

@@ -76,3 +76,39 @@ def test_ratings_reader(spark, tmpdir_run):
         fh.write("U1,0007,5,0\nU1,0008,4,86400\n")
     r = read_ratings(spark, path).collect()
     assert r[0]["item_id"] == "0007" and r[1]["rating"] == 4.0
+
+
+def test_star_sample_with_bom(spark, tmpdir_run):
+    from shoplens.sources.files import read_star, write_table
+    from shoplens.sources.paging import sample_star
+
+    bom = "﻿"
+    with open(os.path.join(tmpdir_run, "transactions_sample.csv"), "w", encoding="utf-8") as fh:
+        fh.write(bom + "t_dat,customer_id,article_id,price,sales_channel_id\n")
+        for i in range(30):
+            fh.write(f"2020-09-01,c{i % 7},0{100 + i % 11},0.05,{1 + i % 2}\n")
+    with open(os.path.join(tmpdir_run, "customers_sample.csv"), "w", encoding="utf-8") as fh:
+        fh.write(bom + "customer_id,FN,Active,club_member_status,fashion_news_frequency,age,postal_code\n")
+        for i in range(10):
+            fh.write(f"c{i},1.0,,ACTIVE,NONE,{20 + i},p{i}\n")
+    with open(os.path.join(tmpdir_run, "articles_sample.csv"), "w", encoding="utf-8") as fh:
+        fh.write(bom + "article_id,product_code,prod_name\n0100,1,a\n0105,2,b\n")
+    star = read_star(spark, tmpdir_run)
+    assert star["transactions"].columns[0] == "t_dat" and star["transactions"].count() == 30
+    assert star["articles"].first()["article_id"] in ("100", "0100")
+    facts, dims = sample_star(star["transactions"], ["t_dat", "customer_id", "article_id"], star["customers"],
+                              "customer_id", "customer_id", n_facts=20, n_ids=3)
+    assert facts.count() == 20 and dims.count() == 3  # the semi join is not empty
+    out = os.path.join(tmpdir_run, "out")
+    write_table(dims, out, fmt="csv")
+    assert spark.read.option("header", True).csv(out).count() == 3
+
+
+def test_candidate_pool_bound(spark):
+    from shoplens.operators.recommend import build_candidate_pairs
+    from shoplens.plans.catalog import feature_table
+
+    f = feature_table(spark, SF)
+    users = f.limit(2)
+    with pytest.raises(ValueError, match="exceeds the bound"):
+        build_candidate_pairs(users, f, None, max_pool=10)
