@@ -197,6 +197,7 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
                                           buckets), "interactions-gap")
     users = user_features(user_stats(base), buckets)
     med = materialize(category_median(base), "category-median")
+    # category names come from the fixed category list, so the median table is tiny
     df = base.join(users, "user_id", "left").join(F.broadcast(med), "category", "left")
 
     discount = F.coalesce(

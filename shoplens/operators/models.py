@@ -65,6 +65,7 @@ def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7)
         vector_to_array("_pca")[0].alias("pca_x"), vector_to_array("_pca")[1].alias("pca_y"), "features")
     clustered = materialize(clustered, "segments")
     summary = assign_segment_names(segment_summary(clustered)).orderBy("cluster_id")
+    # at most max(k_values) segment rows
     clustered = clustered.join(F.broadcast(summary.select("cluster_id", "cluster_name")), "cluster_id", "left")
     trace("segments: named")
     metrics = annotation_metrics(clustered, feats, seed)
@@ -100,7 +101,7 @@ def class_weight_column(df: DataFrame, label_col: str = "label") -> DataFrame:
     n_classes = counts.count()
     total = F.sum("_nc").over(Window.partitionBy(F.lit(1)))  # one row per class
     w = counts.select(label_col, (total.cast("double") / (F.lit(float(n_classes)) * F.col("_nc"))).alias("_w"))
-    return df.join(F.broadcast(w), label_col, "left")
+    return df.join(w, label_col, "left")  # one row per class; AQE broadcasts it by measured size
 
 
 @dataclass

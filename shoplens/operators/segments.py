@@ -30,6 +30,9 @@ from shoplens.schema import (
 from shoplens.session import shuffle_partitions
 
 MAX_SEGMENTS = 10_000
+MAX_CENTROID_CELLS = 50_000_000
+
+
 def _all() -> Window:
     """Unpartitioned window: used on the k-row segment table only."""
     return Window.partitionBy(F.lit(1))
@@ -177,9 +180,12 @@ def davies_bouldin(points: DataFrame, label_col: str, vec_col: str,
     if sample_size and id_col and p.count() > sample_size:
         p = hash_sample(p, sample_size, [id_col], seed)
     c = centroids(p, label_col, vec_col)
-    k = c.count()
-    if k > MAX_SEGMENTS:
-        raise ValueError(f"{k} segments exceed the Davies-Bouldin bound {MAX_SEGMENTS}")
+    shape = c.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("centroid")).alias("d")).first()
+    k, d = shape["k"], shape["d"] or 0
+    # every centroid row carries all k centroids: k * k * d doubles in total
+    if k > MAX_SEGMENTS or k * k * d > MAX_CENTROID_CELLS:
+        raise ValueError(f"{k} segments x {d} dimensions exceed the Davies-Bouldin bounds "
+                         f"({MAX_SEGMENTS} segments, {MAX_CENTROID_CELLS} centroid cells)")
     pts = p.select(F.col(label_col).alias("lab"), F.col(vec_col).cast("array<double>").alias("vec"))
     scatter = pts.join(F.broadcast(c), "lab").groupBy("lab").agg(
         exact_mean(_dist(F.col("vec"), F.col("centroid")), 15).alias("s"))

@@ -62,7 +62,7 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
     q2 = _largest_remainder(q2, label_col, F.first("_n_train").over(Window.partitionBy(F.lit(1))), "train_q") \
         .join(q2.select(label_col, "test_q"), label_col)
     quotas = q2.select(label_col, "test_q", (F.col("cnt") - F.col("train_q")).alias("val_q"))
-    x = x.join(pos, [label_col, "_h"]).join(F.broadcast(quotas), label_col)
+    x = x.join(pos, [label_col, "_h"]).join(quotas, label_col)  # one row per class; AQE broadcasts it by measured size
     split = (F.when(F.col("before") < F.col("test_q"), F.lit("test"))
              .when(F.col("before") < F.col("test_q") + F.col("val_q"), F.lit("validation"))
              .otherwise(F.lit("train")))

@@ -538,7 +538,7 @@ def given_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("user_id"), F.col("c_mktsegment").alias("seg"))
     names = c.select("seg").distinct()
     names = names.withColumn("cluster_id", (F.dense_rank().over(Window.orderBy("seg")) - 1).cast("int"))
-    return c.join(F.broadcast(names), "seg").select("user_id", "cluster_id")
+    return c.join(names, "seg").select("user_id", "cluster_id")
 
 
 _GIVEN_SQL = ("segs AS (SELECT seg, CAST(dense_rank() OVER (ORDER BY seg) - 1 AS INTEGER) AS cluster_id "
