@@ -171,3 +171,37 @@ def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int | None = None
     med = exact_median(long, "_v", ["_m"], "median", buckets)
     return med.agg(F.struct(*[F.max(F.when(F.col("_m") == i, F.col("median"))).alias(c)
                               for i, c in enumerate(cols)])).scalar()
+
+
+def with_lag(df: DataFrame, key_col: str, time_col: str, tie_cols: Sequence[str], value_col: str,
+             out_col: str, buckets: int | None = None) -> DataFrame:
+    """``lag(value_col)`` per key in order (time, *tie_cols) without one window per key.
+
+    Rows are cut into global time-quantile buckets; the lag runs inside each
+    (key, bucket), and the first row of a bucket takes the value of the key's
+    last row in its previous non-empty bucket (one row per key and bucket).
+    """
+    order = [time_col, *tie_cols]
+    x = df.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
+    nb = _bucket_count(x, buckets)
+    if nb > 1:
+        probs = [i / nb for i in range(1, nb)]
+        # nb - 1 quantile bounds (a handful of numbers, not data) as a literal array
+        bounds = [int(b) for b in x.approxQuantile("_us", probs, 1e-4)]
+        arr = F.array(*[F.lit(b).cast("long") for b in bounds])
+        x = x.withColumn("_tb", F.size(F.filter(arr, lambda b: b < F.col("_us"))).cast("int"))
+    else:
+        x = x.withColumn("_tb", F.lit(0))
+    inner = Window.partitionBy(key_col, "_tb").orderBy(*order)
+    x = x.withColumn("_lag_in", F.lag(value_col).over(inner)) \
+        .withColumn("_first", F.lag(F.lit(1)).over(inner).isNull())  # no earlier row in (key, bucket)
+    from shoplens.session import materialize
+
+    x = materialize(x, "lag-rows")  # the bucket maxima and the final join read the written rows
+    last = x.groupBy(key_col, "_tb").agg(
+        F.max(F.struct(*[F.col(c) for c in order], F.col(value_col).alias("_val"))).getField("_val").alias("_last"))
+    per_key = Window.partitionBy(key_col).orderBy("_tb")  # at most `nb` rows per key
+    last = last.select(key_col, "_tb", F.lag("_last").over(per_key).alias("_prev_bucket"))
+    x = x.join(last, [key_col, "_tb"])
+    return x.withColumn(out_col, F.when(F.col("_first"), F.col("_prev_bucket")).otherwise(F.col("_lag_in"))) \
+        .drop("_us", "_tb", "_lag_in", "_first", "_prev_bucket")

@@ -391,11 +391,11 @@ def q_threshold_target(spark, sf_dir):
     "round_even(CAST(sum(CAST(CASE WHEN t + pp = 0 THEN 0.0::DOUBLE ELSE CAST(2 * tp AS DOUBLE) / CAST(t + pp AS DOUBLE) END AS DECIMAL(38,15))) AS DOUBLE) "
     "/ count(*) * 1e9, 0) / 1e9 AS f1_macro FROM per"))
 def q_macro_f1(spark, sf_dir):
-    from pyspark.sql import Window
-    e = dt.read_table(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    pairs = e.select(F.col("event_type").alias("y"), F.lag("event_type").over(w).alias("pred")) \
-        .where(F.col("pred").isNotNull())
+    from shoplens.operators.ordered import with_lag
+
+    e = dt.read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    pairs = with_lag(e, "user_id", "ts", ["event_id"], "event_type", "pred") \
+        .select(F.col("event_type").alias("y"), "pred").where(F.col("pred").isNotNull())
     m = ev.multiclass_metrics(pairs, "y", "pred")
     return m.select(*[np_round(F.col(c), 9).alias(c) for c in m.columns])
 

@@ -59,3 +59,19 @@ def test_previous_time_matches_sorted_lag(spark):
     want = (pdf["t"] - prev).dt.days
     for rid, w in zip(pdf["rid"], want):
         assert (got[rid] is None and np.isnan(w)) or got[rid] == w
+
+
+def test_with_lag_matches_sorted_shift(spark):
+    import datetime as dt
+
+    from shoplens.operators.ordered import with_lag
+
+    rng = np.random.default_rng(9)
+    rows = [("hot" if i % 4 else f"u{i % 5}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=int(rng.integers(0, 500))),
+             i, f"t{rng.integers(0, 4)}") for i in range(300)]
+    df = spark.createDataFrame(rows, "u string, ts timestamp, eid long, typ string")
+    got = {r["eid"]: r["prev"] for r in with_lag(df, "u", "ts", ["eid"], "typ", "prev", buckets=5).collect()}
+    pdf = pd.DataFrame(rows, columns=["u", "ts", "eid", "typ"]).sort_values(["u", "ts", "eid"])
+    want = pdf.groupby("u")["typ"].shift(1)
+    for eid, w in zip(pdf["eid"], want):
+        assert got[eid] == (None if pd.isna(w) else w)
