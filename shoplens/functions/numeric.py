@@ -44,3 +44,18 @@ def exact_sum(col: Column | str, scale: int = 9) -> Column:
 def exact_mean(col: Column | str, scale: int = 9) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return exact_sum(c, scale) / F.count(c)
+
+
+def count_cuts_below(col: Column, cuts: list[float], inclusive: bool = False) -> Column:
+    """Number of sorted ``cuts`` below ``col`` (``<=`` when ``inclusive``) as a balanced
+    CASE tree: log2(len(cuts)) plain comparisons, no lambda, inside codegen."""
+    def below(c: float) -> Column:
+        return F.lit(c) <= col if inclusive else F.lit(c) < col
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(below(cuts[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return tree(0, len(cuts)).cast("int")

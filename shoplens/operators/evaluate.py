@@ -1,7 +1,7 @@
 """Score evaluation: confusion metrics, tie-averaged ROC AUC, threshold sweeps.
 
 The sweep never multiplies rows by thresholds: each row gets the index of the
-last threshold at or below its score (a JVM expression over a literal array),
+last threshold at or below its score (a binary-search CASE expression),
 rows are counted per index (map-side combine), and suffix sums over the at
 most ``len(thresholds) + 1`` index rows give every threshold's confusion.
 """
@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions.numeric import exact_mean
+from shoplens.functions.numeric import count_cuts_below, exact_mean
 from shoplens.operators.ordered import prefix_counts
 
 
@@ -76,9 +76,10 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float] = SWEEP_THRESHOLD
                     label_col: str = "label", score_col: str = "score") -> DataFrame:
     """Confusion counts and metrics for every threshold in one aggregation pass."""
     thr = [float(t) for t in thresholds]
-    arr = F.array(*[F.lit(t) for t in thr])
+    if thr != sorted(thr):
+        raise ValueError("thresholds must be ascending")
     # index = number of thresholds <= score: the row is predicted positive for thresholds [0, index)
-    idx = F.size(F.filter(arr, lambda t: t <= F.col(score_col)))
+    idx = count_cuts_below(F.col(score_col).cast("double"), thr, inclusive=True)
     counts = (df.select(idx.alias("idx"), F.col(label_col).cast("long").alias("y"))
               .groupBy("idx").agg(F.count(F.lit(1)).alias("cnt"), F.sum("y").alias("pos")))
     spark = df.sparkSession

@@ -3,8 +3,9 @@
 A global window (no PARTITION BY) sends every row to one task.  These
 operators instead work on value counts (one row per distinct value, built with
 map-side partial aggregation, so a hot value costs one row), cut the value
-range into quantile buckets, run the running sum inside each bucket, and add
-the bucket offsets from a table of at most ``buckets`` rows per group.
+range into quantile buckets (cut points from ``approxQuantile``), run the
+running sum inside each bucket, and add the bucket offsets from a table of at
+most ``buckets`` rows per group.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions.numeric import days_between
+from shoplens.functions.numeric import count_cuts_below, days_between
 from shoplens.session import shuffle_partitions
 
 
@@ -23,6 +24,22 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return max(1, buckets or shuffle_partitions(df.sparkSession))
 
 
+def _quantile_bucket(df: DataFrame, col: str, nb: int) -> Column:
+    """Bucket index of ``col`` among ``nb`` quantile ranges.
+
+    The nb - 1 cut points (a handful of numbers, not data) come from one
+    ``approxQuantile`` job and enter the plan as a literal array.  Any cut points
+    keep the order: v1 < v2 implies bucket(v1) <= bucket(v2), so approximation
+    only affects balance, never results.
+    """
+    if nb <= 1:
+        return F.lit(0)
+    cuts = sorted({float(b) for b in df.approxQuantile(col, [i / nb for i in range(1, nb)], 1e-4)})
+    if not cuts:
+        return F.lit(0)
+    return count_cuts_below(F.col(col).cast("double"), cuts)
+
+
 def prefix_counts(vc: DataFrame, order_col: str, cnt_col: str = "cnt",
                   group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Add ``before`` (rows with a smaller value in the same group) and ``total``.
@@ -30,18 +47,7 @@ def prefix_counts(vc: DataFrame, order_col: str, cnt_col: str = "cnt",
     ``vc`` holds one row per (group, value) with its row count ``cnt_col``.
     """
     g = list(group_cols)
-    nb = _bucket_count(vc, buckets)
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        bounds = vc.select(
-            F.percentile_approx(F.col(order_col), F.lit(probs), F.lit(10_000)).alias("b")
-        ).scalar()
-        # Project the bounds first: a subquery may not sit inside a lambda.
-        b = vc.withColumn("_bounds", bounds)
-        b = b.withColumn("_bkt", F.size(F.filter("_bounds", lambda x: x < F.col(order_col)))
-                         .cast("int")).drop("_bounds")
-    else:
-        b = vc.withColumn("_bkt", F.lit(0))
+    b = vc.withColumn("_bkt", _quantile_bucket(vc, order_col, _bucket_count(vc, buckets)))
     local = Window.partitionBy(*g, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("_lb", F.coalesce(F.sum(cnt_col).over(local), F.lit(0)).cast("long"))
     totals = b.groupBy(*g, "_bkt").agg(F.sum(cnt_col).cast("long").alias("_bt"))
@@ -123,15 +129,7 @@ def with_previous_time(df: DataFrame, key_col: str, time_col: str, order_cols: S
     from shoplens.session import materialize
 
     times = materialize(times, "lag-times")
-    nb = _bucket_count(times, buckets)
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        bounds = times.select(F.percentile_approx("_us", F.lit(probs), F.lit(10_000)).alias("b")).scalar()
-        times = times.withColumn("_bounds", bounds)
-        times = times.withColumn("_tb", F.size(F.filter("_bounds", lambda x: x < F.col("_us"))).cast("int")) \
-            .drop("_bounds")
-    else:
-        times = times.withColumn("_tb", F.lit(0))
+    times = times.withColumn("_tb", _quantile_bucket(times, "_us", _bucket_count(times, buckets)))
     inner = Window.partitionBy(key_col, "_tb").orderBy("_us")
     times = times.withColumn("_prev_in", F.lag("_us").over(inner))
     last = times.groupBy(key_col, "_tb").agg(F.max("_us").alias("_last"))
@@ -183,15 +181,7 @@ def with_lag(df: DataFrame, key_col: str, time_col: str, tie_cols: Sequence[str]
     """
     order = [time_col, *tie_cols]
     x = df.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
-    nb = _bucket_count(x, buckets)
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        # nb - 1 quantile bounds (a handful of numbers, not data) as a literal array
-        bounds = [int(b) for b in x.approxQuantile("_us", probs, 1e-4)]
-        arr = F.array(*[F.lit(b).cast("long") for b in bounds])
-        x = x.withColumn("_tb", F.size(F.filter(arr, lambda b: b < F.col("_us"))).cast("int"))
-    else:
-        x = x.withColumn("_tb", F.lit(0))
+    x = x.withColumn("_tb", _quantile_bucket(x, "_us", _bucket_count(x, buckets)))
     inner = Window.partitionBy(key_col, "_tb").orderBy(*order)
     x = x.withColumn("_lag_in", F.lag(value_col).over(inner)) \
         .withColumn("_first", F.lag(F.lit(1)).over(inner).isNull())  # no earlier row in (key, bucket)

@@ -190,10 +190,15 @@ def davies_bouldin(points: DataFrame, label_col: str, vec_col: str,
     scatter = pts.join(F.broadcast(c), "lab").groupBy("lab").agg(
         exact_mean(_dist(F.col("vec"), F.col("centroid")), 15).alias("s"))
     cs = c.join(scatter, "lab")
-    allc = cs.select(F.collect_list(F.struct("lab", "centroid", "s")).alias("all")).scalar()
-    cs = cs.withColumn("_all", allc)
-    worst = F.array_max(F.transform(
-        F.filter("_all", lambda o: o["lab"] != F.col("lab")),
-        lambda o: F.when(_dist(F.col("centroid"), o["centroid"]) == 0, F.lit(0.0))
-        .otherwise((F.col("s") + o["s"]) / _dist(F.col("centroid"), o["centroid"]))))
+    # the k centroid rows travel as one bounded array value and are exploded into
+    # segment pairs (k * k rows, checked above); distances run on plain columns
+    allc = cs.select(F.collect_list(F.struct(F.col("lab").alias("olab"), F.col("centroid").alias("oc"),
+                                             F.col("s").alias("os"))).alias("all")).scalar()
+    pairs = cs.withColumn("_all", allc).select("lab", "centroid", "s", F.explode("_all").alias("o")) \
+        .where(F.col("o.olab") != F.col("lab"))
+    dist = _dist(F.col("centroid"), F.col("o.oc"))
+    ratio = F.when(dist == 0, F.lit(0.0)).otherwise((F.col("s") + F.col("o.os")) / dist)
+    worst_per = pairs.groupBy("lab").agg(F.max(ratio).alias("worst"))
+    cs = cs.join(worst_per, "lab", "left")
+    worst = F.col("worst")
     return cs.select(F.coalesce(worst, F.lit(0.0)).alias("r")).agg(exact_mean("r", 15).alias("davies_bouldin"))
