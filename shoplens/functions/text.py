@@ -43,8 +43,9 @@ def emotion_score(title: Column) -> Column:
     lowered = _lower(title)
     hits = reduce(lambda a, b: a + b, [lowered.contains(w).cast("int") for w in POSITIVE_WORDS])
     stripped = F.regexp_replace(lowered, r"^\s+|\s+$", "")
+    # whitespace runs + 1 on the stripped text = split() token count, without building the array
     tokens = F.greatest(
-        F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, r"\s+"))), F.lit(1)
+        F.when(stripped == "", F.lit(0)).otherwise(F.regexp_count(stripped, F.lit(r"\s+")) + F.lit(1)), F.lit(1)
     )
     score = F.lit(0.25) + F.least(hits / tokens, F.lit(0.7))
     from shoplens.functions.numeric import np_round
