@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions.numeric import count_cuts_below, days_between
+from shoplens.functions.numeric import count_cuts_below
 from shoplens.session import shuffle_partitions
 
 

@@ -15,7 +15,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shoplens.functions.numeric import exact_mean, exact_sum
 from shoplens.operators.ordered import exact_median

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.functions.numeric import exact_mean, exact_sum
-from shoplens.schema import ITEM_CATEGORICAL_FEATURES, ITEM_NUMERIC_FEATURES, PROFILE_FEATURES
+from shoplens.schema import ITEM_NUMERIC_FEATURES, PROFILE_FEATURES
 from shoplens.session import materialize, shuffle_partitions
 
 _QUERY_CHUNK = 2048
