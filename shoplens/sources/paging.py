@@ -37,6 +37,5 @@ def sample_star(fact: DataFrame, fact_order: Sequence[str], dim: DataFrame, dim_
                 n_facts: int = 500, n_ids: int = 80) -> tuple[DataFrame, DataFrame]:
     """First ``n_facts`` facts and the dimension rows of their first ``n_ids`` distinct keys."""
     facts = fact.orderBy(*fact_order).limit(int(n_facts))
-    facts = facts.withColumn("_pos", F.monotonically_increasing_id())
     ids = first_distinct(facts, fact_key, list(fact_order), n_ids)
-    return facts.drop("_pos"), matching_rows(dim, dim_key, ids, fact_key)
+    return facts, matching_rows(dim, dim_key, ids, fact_key)
