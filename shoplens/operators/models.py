@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -41,20 +42,38 @@ def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="features").fit(vec)
     scaled = materialize(scaler.transform(vec).drop("_raw"), "segment-input")
     rows, best = [], None
-    for k in k_values:
-        fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id")
-                .fit(scaled) for i in range(n_init)]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-        trace(f"segments: k={k} fitted")
-        pred = model.transform(scaled).select("user_id", F.col("cluster_id").cast("int"),
-                                              vector_to_array("features").alias("vec"))
+    ks = list(k_values)
+    # the k x n_init fits are independent jobs: submit them together so Spark can
+    # run them side by side (each fit is deterministic for its seed)
+    grid = [(k, i) for k in ks for i in range(n_init)]
+
+    def fit(job):
+        k, i = job
+        return KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
+                      predictionCol="cluster_id").fit(scaled)
+
+    with ThreadPoolExecutor(max_workers=min(len(grid), 8)) as pool:
+        fitted = dict(zip(grid, pool.map(fit, grid)))
+    trace("segments: all fits done")
+    # lowest cost per k; the first seed wins a tie
+    models = {k: min((fitted[(k, i)] for i in range(n_init)), key=lambda m: m.summary.trainingCost) for k in ks}
+
+    def score(k):
+        pred = models[k].transform(scaled).select("user_id", F.col("cluster_id").cast("int"),
+                                                  vector_to_array("features").alias("vec"))
         pred = pred.withColumn("_uid", F.xxhash64("user_id"))
         s_val = silhouette(pred, "_uid", "cluster_id", "vec", metric_sample_size, seed).first()["silhouette"]
         dbi = davies_bouldin(pred, "cluster_id", "vec", metric_sample_size, "_uid", seed).first()["davies_bouldin"]
-        rows.append((int(k), float(s_val), float(dbi)))
-        trace(f"segments: k={k} scored")
-        if best is None or s_val > best[0]:
-            best = (s_val, k, model)
+        return float(s_val), float(dbi)
+
+    with ThreadPoolExecutor(max_workers=min(len(ks), 8)) as pool:
+        scores = dict(zip(ks, pool.map(score, ks)))
+    trace("segments: all k scored")
+    for k in ks:
+        s_val, dbi = scores[k]
+        rows.append((int(k), s_val, dbi))
+        if best is None or s_val > best[0]:   # strictly larger silhouette, in k order
+            best = (s_val, k, models[k])
     if best is None:
         raise ValueError("No cluster model was selected.")
     _, best_k, model = best
