@@ -8,6 +8,7 @@ training-only models.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -68,9 +69,11 @@ def run(features: DataFrame, seed: int = 42, n_init: int = 4) -> PipelineResult:
     trace("pipeline: split")
     baseline = fit_similarity(train, top_k=15, user_weight=0.5)
     trace("pipeline: baseline fitted")
-    train_s = materialize(baseline.predict(train, exclude_self=True), "train-scored")
-    val_s = materialize(baseline.predict(val), "val-scored")
-    test_s = materialize(baseline.predict(test), "test-scored")
+    # three independent scoring jobs (train excludes each row's own pair), submitted together
+    jobs = [(train, True, "train-scored"), (val, False, "val-scored"), (test, False, "test-scored")]
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        train_s, val_s, test_s = pool.map(
+            lambda j: materialize(baseline.predict(j[0], exclude_self=j[1]), j[2]), jobs)
     trace("pipeline: baseline scored")
     b_thr = ev.tune_threshold_for_target(val_s, BASELINE_TARGET_ACCURACY, "accuracy",
                                          score_col="baseline_score").first()["threshold"]
