@@ -128,11 +128,11 @@ def knn_topk(query: DataFrame, train: DataFrame, m: int, query_id: str, train_id
 
 
 def weighted_label_score(neighbours: DataFrame, query_id: str, label_col: str, k: int,
-                         global_mean: Column, exclude: Column | None = None) -> DataFrame:
+                         exclude: Column | None = None) -> DataFrame:
     """Similarity-weighted mean label of the first ``k`` neighbours (after ``exclude``).
 
-    Weights are max(sim, 0); with no neighbour or zero total weight the score
-    is ``global_mean``.  Sums accumulate exactly (DECIMAL), so the score does
+    Weights are max(sim, 0); with no neighbour or zero total weight ``_score`` is
+    NULL and the caller falls back to the global positive rate.  Sums accumulate exactly (DECIMAL), so the score does
     not depend on task order.
     """
     nb = neighbours if exclude is None else neighbours.where(~exclude)
@@ -183,7 +183,7 @@ class SimilarityModel:
         if exclude_self:
             nb = nb.join(q.select("_qid", F.col("user_id").alias("_qu"), F.col("item_id").alias("_qi")), "_qid")
             excl = (F.col("_qu") == F.col("_tu")) & (F.col("_qi") == F.col("_ti"))
-        scores = weighted_label_score(nb, "_qid", "label", self.top_k, F.lit(self.global_mean), excl)
+        scores = weighted_label_score(nb, "_qid", "label", self.top_k, excl)
         out = q.join(scores, "_qid", "left")
         return out.withColumn(out_col, F.coalesce(F.col("_score"), F.lit(self.global_mean))) \
             .drop("_qid", "_score")

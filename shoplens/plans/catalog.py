@@ -477,7 +477,7 @@ def _knn_score(spark, sf_dir, exclude: bool) -> DataFrame:
     nb = sim.knn_topk(e, t, 17, "vec_id", "neighbor_id").join(t.select("neighbor_id", "label"), "neighbor_id")
     excl = (F.col("vec_id") == F.col("neighbor_id")) if exclude else None
     gm = e.agg(F.avg("label")).scalar()
-    s = sim.weighted_label_score(nb, "vec_id", "label", 15, gm, excl)
+    s = sim.weighted_label_score(nb, "vec_id", "label", 15, excl)
     return e.join(s, "vec_id", "left").select(
         "vec_id", r6(F.coalesce(F.col("_score"), gm)).alias("baseline_score"))
 

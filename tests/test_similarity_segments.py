@@ -27,7 +27,7 @@ def test_knn_matches_brute_force_for_any_block_size(spark, block_rows):
 def test_weighted_mean_and_fallback(spark):
     nb = spark.createDataFrame([(1, 1, 1.0, 1.0), (1, 2, -1.0, 0.0), (1, 3, 0.5, 0.0), (2, 1, -0.2, 1.0)],
                                "q long, rank int, sim double, label double")
-    got = {r["q"]: r["_score"] for r in weighted_label_score(nb, "q", "label", 15, F.lit(0.3)).collect()}
+    got = {r["q"]: r["_score"] for r in weighted_label_score(nb, "q", "label", 15).collect()}
     assert got[1] == pytest.approx(1 / 1.5)
     assert got[2] is None  # all weights <= 0 -> caller falls back to the global rate
 
