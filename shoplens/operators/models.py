@@ -105,7 +105,8 @@ def annotation_metrics(clustered: DataFrame, feats: Sequence[str], seed: int = 4
     lr = Pipeline(stages=[
         VectorAssembler(inputCols=list(feats), outputCol="_raw"),
         StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_x"),
-        LogisticRegression(featuresCol="_x", labelCol="cluster_id", maxIter=300, family="multinomial",
+        # maxIter 300 and tolerance 1e-4 as in the reference's solver settings
+        LogisticRegression(featuresCol="_x", labelCol="cluster_id", maxIter=300, tol=1e-4, family="multinomial",
                            regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False),
     ]).fit(train.withColumn("cluster_id", F.col("cluster_id").cast("double")))
     pred = lr.transform(test).select(F.col("cluster_id").cast("int").alias("y"),
