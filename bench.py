@@ -36,7 +36,11 @@ def main() -> None:
         REGISTRY[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf: float | str = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
