@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import bpe, minhash, suffix
+from shoplens.llm import bpe, decontaminate, fingerprint, html_text, language_model, license, minhash, quality, suffix, toxicity
 from shoplens.llm.common import ensure_checkpoint_dir, read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, learnt from those of remainder 0, 2, 3 and 4."""
+    ensure_checkpoint_dir(spark)
+    return language_model.score(read(spark, sf_dir, "documents").select("doc_id", "text"), toxicity.fold("doc_id") != 1)
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     ensure_checkpoint_dir(spark)
@@ -33,6 +39,63 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("repeat_spans").alias("n_spans"), F.col("repeat_sha256").alias("kept_sha256"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or its directory's.
+
+    The table has no paths, so a document's path is source/lang/doc_id, and the first
+    document (by id) of a directory that states a licence stands for its licence file.
+    """
+    ensure_checkpoint_dir(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
+                                                   F.concat_ws("/", "source", "lang").alias("dir"))
+    heads = docs.filter(license.statement(F.col("text")) != "").groupBy("dir").agg(F.min("doc_id").alias("head"))
+    heads = license.stage(heads, "license-heads")
+    files = docs.join(heads, "dir", "left").select("doc_id", "text", "path", (F.col("doc_id") == F.col("head")).alias("speaks"))
+    done = license.scan(files, is_license_file=F.coalesce("speaks", F.lit(False)))
+    return done.select("doc_id", "path", "own_license", F.round("own_score", 6).alias("own_score"), "license", "license_dir")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled rows of remainder 1 to 4."""
+    ensure_checkpoint_dir(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    done = toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return done.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), F.col("toxicity").alias("score"),
+                       (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    ensure_checkpoint_dir(spark)
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.learn(pages), out="text").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labelled rows of remainder 1 to 4."""
+    ensure_checkpoint_dir(spark)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    done = quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+    return done.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), F.col("quality_score").alias("score"),
+                       (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited form, and their likeness."""
+    ensure_checkpoint_dir(spark)
+    done = fingerprint.edited_fingerprints(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_chars", "edited_sha256", fingerprint.as_string(F.col("sketch")).alias("fingerprint"),
+                       fingerprint.as_string(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    ensure_checkpoint_dir(spark)
+    done = decontaminate.contaminated(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return done.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                       "contaminated")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them, as digests."""
     done = bpe.tokenize(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), digest_only=True)
@@ -41,9 +104,31 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_minhash_dedup": op2_minhash_dedup,
-    "op3_suffix_dedup": op3_suffix_dedup,
-    "op9_bpe": op9_bpe,
+    f.__name__: f for f in (op1_lm_score, op2_minhash_dedup, op3_suffix_dedup, op4_license_scan, op5_toxicity, op6_html_text,
+                            op7_quality, op8_fingerprint, op9_bpe, op10_decontaminate)
 }
 
 ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL["op10_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+bl AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+bi AS (SELECT item, w, n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM bl),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM bi),
+ns AS (SELECT DISTINCT n FROM bw),
+di AS (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, ns WHERE len(w) >= n),
+hits AS (SELECT doc_id, i, di.n, item FROM di JOIN bw ON bw.n = di.n AND bw.win = array_to_string(w[i:i + di.n - 1], ' ')),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+  SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
