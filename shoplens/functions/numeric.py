@@ -13,6 +13,33 @@ def np_round(col: Column | str, digits: int) -> Column:
     return F.rint(c * F.lit(scale)) / F.lit(scale)
 
 
+def py_round(col: Column | str, digits: int) -> Column:
+    """Python's ``round``: the double's exact value rounded half to even.
+
+    The scaled product may fall on a half only by its own rounding; the product's
+    exact error (split multiplication) then tells on which side the value lies.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    scale = F.lit(float(10 ** digits))
+    p = c * scale
+    high = c * F.lit(134217729.0)
+    high = high - (high - c)
+    error = (high * scale - p) + (c - high) * scale
+    low = F.floor(p).cast("double")
+    on_half = p - low == F.lit(0.5)
+    r = F.when(on_half & (error > 0), low + 1).when(on_half & (error < 0), low).otherwise(F.rint(p))
+    return r / scale
+
+
+NUMBER = r"^[ \t\r\n\f]*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])[ \t\r\n\f]*$"
+
+
+def parse_number(col: Column) -> Column:
+    """A text as double if it reads as a number; NULL otherwise (``10d`` is none)."""
+    text = F.trim(col.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def clip(col: Column, lower: float | None = None, upper: float | None = None) -> Column:
     """pandas ``clip``: NULL stays NULL, bounds applied with least/greatest."""
     out = col

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shoplens.functions.numeric import py_round
 from shoplens.schema import (
     CATEGORY_MAP,
     POSITIVE_WORDS,
@@ -15,6 +16,10 @@ from shoplens.schema import (
 )
 
 
+# A run of characters that are not Unicode white space.
+TOKEN = r"[^\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
 def _lower(text: Column) -> Column:
     return F.lower(F.coalesce(text, F.lit("")))
 
@@ -42,15 +47,10 @@ def emotion_score(title: Column) -> Column:
     """0.25 + share of positive words per whitespace token (capped at 0.7), 3 decimals."""
     lowered = _lower(title)
     hits = reduce(lambda a, b: a + b, [lowered.contains(w).cast("int") for w in POSITIVE_WORDS])
-    stripped = F.regexp_replace(lowered, r"^\s+|\s+$", "")
-    # whitespace runs + 1 on the stripped text = split() token count, without building the array
-    tokens = F.greatest(
-        F.when(stripped == "", F.lit(0)).otherwise(F.regexp_count(stripped, F.lit(r"\s+")) + F.lit(1)), F.lit(1)
-    )
+    # one pass: runs of what is not white space (Unicode's, as in Python's split)
+    tokens = F.greatest(F.regexp_count(lowered, F.lit(TOKEN)), F.lit(1))
     score = F.lit(0.25) + F.least(hits / tokens, F.lit(0.7))
-    from shoplens.functions.numeric import np_round
-
-    return F.when(lowered == "", F.lit(0.25)).otherwise(np_round(score, 3))
+    return F.when(lowered == "", F.lit(0.25)).otherwise(py_round(score, 3))
 
 
 def stable_hash32(text: Column) -> Column:

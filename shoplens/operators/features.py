@@ -12,7 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.numeric import clip, days_between, exact_mean, exact_sum, np_round, safe_div
+from shoplens.functions.numeric import (
+    clip,
+    days_between,
+    exact_mean,
+    exact_sum,
+    np_round,
+    parse_number,
+    py_round,
+    safe_div,
+)
 from shoplens.functions.text import emotion_score, keyword_flag, stable_binary, translate_category
 from shoplens.operators.ordered import (
     exact_median,
@@ -36,7 +45,7 @@ DEFAULT_GAP_DAYS = 30.0
 
 
 def _price_value(price: Column) -> Column:
-    return price.cast("string").try_cast("double")
+    return parse_number(price)
 
 
 def valid_items(items: DataFrame) -> DataFrame:
@@ -60,7 +69,7 @@ def item_features(items: DataFrame) -> DataFrame:
     return out.select(
         "item_id",
         "title",
-        np_round(_price_value(F.col("price")), 2).alias("price"),
+        py_round(_price_value(F.col("price")), 2).alias("price"),
         (F.coalesce(F.col("im_url"), F.lit("")) != "").cast("int").alias("image_exists"),
         *counts,
         (F.col("also_bought_count") + F.col("also_viewed_count") + F.col("bought_together_count"))
@@ -116,13 +125,14 @@ def item_stats(df: DataFrame) -> DataFrame:
 
 def user_stats(df: DataFrame) -> DataFrame:
     """Per user aggregates feeding the profile features (before ranks)."""
+    price = F.when(~F.isnan("price"), F.col("price"))      # a NaN price counts as missing
     return df.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("purchase_freq"),
-        exact_sum("price").alias("total_spend"),
+        F.coalesce(exact_sum(price), F.lit(0.0)).alias("total_spend"),
         F.min("event_time").alias("first_time"),
         F.max("event_time").alias("last_time"),
         F.count_distinct("item_id").alias("follow_num"),
-        exact_mean("price").alias("avg_price"),
+        exact_mean(price).alias("avg_price"),
         F.avg("rating").alias("avg_rating"),
         F.sum("female_signal").alias("female_signal_sum"),
         F.sum("male_signal").alias("male_signal_sum"),
@@ -185,12 +195,15 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
     if "_rid" not in ratings.columns:
         ratings = ratings.withColumn("_rid", F.monotonically_increasing_id())
     meta = prepare_items(items)
-    base = ratings.join(meta, "item_id")
+    # ratings are aggregated per item first and the one item table is joined once, so
+    # a hot item's rows meet a plain shuffle on either side, which AQE splits
+    known = materialize(meta.join(item_stats(ratings), "item_id"), "items-stats")
+    base = ratings.join(known, "item_id")
     if min_rows:
         usable = base.limit(min_rows).count()
         if usable < min_rows:
-            raise ValueError(f"Usable rows only {usable}, lower than requested minimum {min_rows}")
-    base = materialize(base.join(item_stats(base), "item_id", "left"), "interactions")
+            raise ValueError(f"{usable} usable rows; at least {min_rows} were asked for")
+    base = materialize(base, "interactions")
     # previous-event gap on the written rows, written once more: the gap median
     # and the final projection read it instead of recomputing the lag
     base = materialize(with_previous_time(base, "user_id", "event_time", ["item_id", "rating"], "_rid", "_gap",
@@ -201,8 +214,8 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
     df = base.join(users, "user_id", "left").join(F.broadcast(med), "category", "left")
 
     discount = F.coalesce(
-        np_round(clip(safe_div(F.col("category_median_price") - F.col("price"),
-                               F.col("category_median_price")), 0.0, 0.6), 3),
+        np_round(clip(F.nanvl(safe_div(F.col("category_median_price") - F.col("price"),
+                                       F.col("category_median_price")), F.lit(None).cast("double")), 0.0, 0.6), 3),
         F.lit(0.0))
     df = df.withColumn("discount_rate", discount)
 

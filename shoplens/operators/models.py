@@ -9,13 +9,14 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, PCA, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.evaluate import multiclass_metrics
-from shoplens.operators.segments import assign_segment_names, davies_bouldin, segment_summary, silhouette
+from shoplens.operators.segments import assign_segment_names, davies_bouldin, segment_summary
 from shoplens.operators.split import stratified_split
 from shoplens.schema import ITEM_CATEGORICAL_FEATURES, PROFILE_FEATURES, RANKER_NUMERIC
 from shoplens.session import materialize, trace
@@ -31,9 +32,9 @@ class SegmentArtifacts:
 
 
 def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7), seed: int = 42,
-                      metric_sample_size: int = 5000, n_init: int = 4, max_iter: int = 100) -> SegmentArtifacts:
-    """KMeans for each k (best of ``n_init`` seeds by cost), silhouette / Davies-Bouldin on a
-    seeded sample of at most ``metric_sample_size`` users, keep the k with the strictly
+                      n_init: int = 20, max_iter: int = 300) -> SegmentArtifacts:
+    """KMeans for each k (best of ``n_init`` seeds by cost), silhouette (squared Euclidean,
+    linear in the users) / Davies-Bouldin on all users, keep the k with the strictly
     largest silhouette, then PCA(2), segment names and a logistic-regression annotation check."""
     feats = list(PROFILE_FEATURES)
     vec = VectorAssembler(inputCols=feats, outputCol="_raw").transform(
@@ -59,11 +60,10 @@ def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7)
     models = {k: min((fitted[(k, i)] for i in range(n_init)), key=lambda m: m.summary.trainingCost) for k in ks}
 
     def score(k):
-        pred = models[k].transform(scaled).select("user_id", F.col("cluster_id").cast("int"),
-                                                  vector_to_array("features").alias("vec"))
-        pred = pred.withColumn("_uid", F.xxhash64("user_id"))
-        s_val = silhouette(pred, "_uid", "cluster_id", "vec", metric_sample_size, seed).first()["silhouette"]
-        dbi = davies_bouldin(pred, "cluster_id", "vec", metric_sample_size, "_uid", seed).first()["davies_bouldin"]
+        pred = models[k].transform(scaled).select(F.col("cluster_id").cast("int").alias("cluster_id"), "features")
+        s_val = ClusteringEvaluator(predictionCol="cluster_id", featuresCol="features", metricName="silhouette",
+                                    distanceMeasure="squaredEuclidean").evaluate(pred)
+        dbi = davies_bouldin(pred.withColumn("vec", vector_to_array("features")), "cluster_id", "vec").first()["davies_bouldin"]
         return float(s_val), float(dbi)
 
     with ThreadPoolExecutor(max_workers=min(len(ks), 8)) as pool:

@@ -10,13 +10,14 @@ most ``buckets`` rows per group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.functions.numeric import count_cuts_below
 from shoplens.session import shuffle_partitions
 
 
@@ -24,20 +25,22 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return max(1, buckets or shuffle_partitions(df.sparkSession))
 
 
-def _quantile_bucket(df: DataFrame, col: str, nb: int) -> Column:
-    """Bucket index of ``col`` among ``nb`` quantile ranges.
+def with_quantile_bucket(df: DataFrame, col: str, nb: int, out: str) -> DataFrame:
+    """Add the bucket of ``col`` among ``nb`` quantile ranges.
 
-    The nb - 1 cut points (a handful of numbers, not data) come from one
-    ``approxQuantile`` job and enter the plan as a literal array.  Any cut points
-    keep the order: v1 < v2 implies bucket(v1) <= bucket(v2), so approximation
-    only affects balance, never results.
+    The nb - 1 cut points (numbers, not data) come from one ``approxQuantile`` job
+    and are searched by halving (``Bucketizer``), so thousands of buckets neither
+    lengthen the generated code nor the plan.  Any cut points keep the order: v1 < v2
+    implies bucket(v1) <= bucket(v2), so approximation only affects balance, never
+    results.  NaN, the greatest double, takes the last bucket.
     """
-    if nb <= 1:
-        return F.lit(0)
-    cuts = sorted({float(b) for b in df.approxQuantile(col, [i / nb for i in range(1, nb)], 1e-4)})
+    cuts = [] if nb <= 1 else sorted({float(b) for b in df.approxQuantile(col, [i / nb for i in range(1, nb)], 1e-4)
+                                      if math.isfinite(b)})
     if not cuts:
-        return F.lit(0)
-    return count_cuts_below(F.col(col).cast("double"), cuts)
+        return df.withColumn(out, F.lit(0))
+    low, high = float("-inf"), float("inf")
+    by = Bucketizer(splits=[low, *cuts, high], inputCol="_bv", outputCol="_bf", handleInvalid="keep")
+    return by.transform(df.withColumn("_bv", F.col(col).cast("double"))).withColumn(out, F.col("_bf").cast("int")).drop("_bv", "_bf")
 
 
 def prefix_counts(vc: DataFrame, order_col: str, cnt_col: str = "cnt",
@@ -47,7 +50,7 @@ def prefix_counts(vc: DataFrame, order_col: str, cnt_col: str = "cnt",
     ``vc`` holds one row per (group, value) with its row count ``cnt_col``.
     """
     g = list(group_cols)
-    b = vc.withColumn("_bkt", _quantile_bucket(vc, order_col, _bucket_count(vc, buckets)))
+    b = with_quantile_bucket(vc, order_col, _bucket_count(vc, buckets), "_bkt")
     local = Window.partitionBy(*g, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("_lb", F.coalesce(F.sum(cnt_col).over(local), F.lit(0)).cast("long"))
     totals = b.groupBy(*g, "_bkt").agg(F.sum(cnt_col).cast("long").alias("_bt"))
@@ -129,7 +132,7 @@ def with_previous_time(df: DataFrame, key_col: str, time_col: str, order_cols: S
     from shoplens.session import materialize
 
     times = materialize(times, "lag-times")
-    times = times.withColumn("_tb", _quantile_bucket(times, "_us", _bucket_count(times, buckets)))
+    times = with_quantile_bucket(times, "_us", _bucket_count(times, buckets), "_tb")
     inner = Window.partitionBy(key_col, "_tb").orderBy("_us")
     times = times.withColumn("_prev_in", F.lag("_us").over(inner))
     last = times.groupBy(key_col, "_tb").agg(F.max("_us").alias("_last"))
@@ -181,7 +184,7 @@ def with_lag(df: DataFrame, key_col: str, time_col: str, tie_cols: Sequence[str]
     """
     order = [time_col, *tie_cols]
     x = df.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
-    x = x.withColumn("_tb", _quantile_bucket(x, "_us", _bucket_count(x, buckets)))
+    x = with_quantile_bucket(x, "_us", _bucket_count(x, buckets), "_tb")
     inner = Window.partitionBy(key_col, "_tb").orderBy(*order)
     x = x.withColumn("_lag_in", F.lag(value_col).over(inner)) \
         .withColumn("_first", F.lag(F.lit(1)).over(inner).isNull())  # no earlier row in (key, bucket)

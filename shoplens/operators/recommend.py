@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from shoplens.schema import CANDIDATE_ITEM_COLUMNS, CANDIDATE_USER_COLUMNS
 
-MAX_POOL = 100_000
-
 
 def _key(df: DataFrame, desc: Sequence[str], asc: Sequence[str]) -> Column:
     """Ordering struct for min_by: descending numeric keys negated, then ascending ones."""
@@ -62,20 +60,16 @@ def item_pool(df: DataFrame, n: int = 400) -> DataFrame:
     return top_n_rows(first, n, desc, ["item_id"]).select(*CANDIDATE_ITEM_COLUMNS)
 
 
-def build_candidate_pairs(users: DataFrame, items: DataFrame, cluster_map: DataFrame | None,
-                          max_pool: int = MAX_POOL) -> DataFrame:
+def build_candidate_pairs(users: DataFrame, items: DataFrame, cluster_map: DataFrame | None) -> DataFrame:
     """Every user row with every pool item, segment id (default -1) and label 0.
 
-    ``items`` must be a bounded pool (at most ``max_pool`` rows); it travels as
-    one array value per user row, so the pair count is users x pool.
+    ``items`` is a pool bounded by its own ``n`` (see :func:`item_pool`); it is built
+    once and travels as one array value per user row, so the pair count is users x pool.
     """
     from shoplens.operators.features import keep_first
 
     u = keep_first(users.select(*CANDIDATE_USER_COLUMNS), "user_id", None)
-    pool = items.select(*CANDIDATE_ITEM_COLUMNS).limit(max_pool + 1)
-    size = pool.count()
-    if size > max_pool:
-        raise ValueError(f"item pool of {size} rows exceeds the bound {max_pool}; take a top-n pool first")
+    pool = items.select(*CANDIDATE_ITEM_COLUMNS)
     arr = pool.select(F.collect_list(F.struct(*CANDIDATE_ITEM_COLUMNS)).alias("p")).scalar()
     c = u.withColumn("_pool", arr).select(*CANDIDATE_USER_COLUMNS, F.explode("_pool").alias("_it"))
     c = c.select(*CANDIDATE_USER_COLUMNS, *[F.col("_it." + x).alias(x) for x in CANDIDATE_ITEM_COLUMNS])

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.numeric import exact_mean, exact_sum
 from shoplens.operators.ordered import exact_median
-from shoplens.operators.split import hash_sample
 from shoplens.schema import (
     SEGMENT_NAME_ENGAGED,
     SEGMENT_NAME_PRICE,
@@ -28,9 +27,6 @@ from shoplens.schema import (
 )
 from shoplens.session import shuffle_partitions
 
-MAX_SEGMENTS = 10_000
-MAX_CENTROID_CELLS = 50_000_000
-
 
 def _all() -> Window:
     """Unpartitioned window: used on the k-row segment table only."""
@@ -84,20 +80,18 @@ def segment_minmax(summary: DataFrame, cols: Sequence[str] = ("purchase_freq", "
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation, long form (col_a, col_b, corr); zero variance -> NaN.
 
-    Two passes with exact (DECIMAL) sums: means, then centred cross products.
+    One aggregate of built-in covariances, whose running form has no range limit.
     """
     cols = list(cols)
-    means = df.agg(*[exact_mean(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    cen = {c: F.col(c).cast("double") - F.lit(float(means[c])) for c in cols}
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    sums = df.agg(*[exact_sum(cen[a] * cen[b], 12).alias(f"{a}|{b}") for a, b in pairs]).first()
+    got = df.agg(*[F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first()
+    cov = {p: float("nan") if got[i] is None else float(got[i]) for i, p in enumerate(pairs)}
     rows = []
     for a in cols:
         for b in cols:
-            key = f"{a}|{b}" if f"{a}|{b}" in sums.asDict() else f"{b}|{a}"
-            sab, saa, sbb = sums[key], sums[f"{a}|{a}"], sums[f"{b}|{b}"]
-            den = math.sqrt(saa * sbb)
-            rows.append((a, b, float("nan") if den == 0 else sab / den))
+            sab = cov[(a, b)] if (a, b) in cov else cov[(b, a)]
+            den = math.sqrt(cov[(a, a)]) * math.sqrt(cov[(b, b)])
+            rows.append((a, b, float("nan") if not den > 0 else sab / den))
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
@@ -124,18 +118,16 @@ def _silhouette_local(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True)
 
 
-def silhouette(points: DataFrame, id_col: str, label_col: str, vec_col: str,
-               sample_size: int = 5000, seed: int = 42, block_rows: int = 4096) -> DataFrame:
-    """Mean silhouette (Euclidean) over at most ``sample_size`` points (seeded hash sample).
+def silhouette(points: DataFrame, id_col: str, label_col: str, vec_col: str, block_rows: int = 4096) -> DataFrame:
+    """Mean silhouette (Euclidean) over all points, exact.
 
-    Singleton segments score 0.  One row: silhouette.
+    Every point is compared with every other, block against block, so the work is
+    quadratic; for very many points take ``ClusteringEvaluator`` (its squared form is
+    linear) or pass a ``hash_sample``.  Singleton segments score 0.  One row: silhouette.
     """
     p = points.select(F.col(id_col).cast("long").alias("pid"), F.col(label_col).cast("long").alias("lab"),
                       F.col(vec_col).cast("array<double>").alias("vec"))
     n = p.count()
-    if n > sample_size:
-        p = hash_sample(p, sample_size, ["pid"], seed)
-        n = sample_size
     nb = max(1, math.ceil(n / block_rows))
     nq = max(nb, min(shuffle_partitions(p.sparkSession), math.ceil(n / 64)))
     left = p.select("pid", "vec", F.pmod(F.xxhash64("pid"), F.lit(nq)).alias("qb"),
@@ -171,26 +163,16 @@ def centroids(points: DataFrame, label_col: str, vec_col: str) -> DataFrame:
         .select("lab", F.transform("_c", lambda s: s["m"]).alias("centroid"))
 
 
-def davies_bouldin(points: DataFrame, label_col: str, vec_col: str,
-                   sample_size: int | None = None, id_col: str | None = None, seed: int = 42) -> DataFrame:
-    """Davies-Bouldin index; one row.  The k x k centroid comparison runs on an
-    array of the k centroids (size-checked), not on a join."""
-    p = points
-    if sample_size and id_col and p.count() > sample_size:
-        p = hash_sample(p, sample_size, [id_col], seed)
-    c = centroids(p, label_col, vec_col)
-    shape = c.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("centroid")).alias("d")).first()
-    k, d = shape["k"], shape["d"] or 0
-    # every centroid row carries all k centroids: k * k * d doubles in total
-    if k > MAX_SEGMENTS or k * k * d > MAX_CENTROID_CELLS:
-        raise ValueError(f"{k} segments x {d} dimensions exceed the Davies-Bouldin bounds "
-                         f"({MAX_SEGMENTS} segments, {MAX_CENTROID_CELLS} centroid cells)")
-    pts = p.select(F.col(label_col).alias("lab"), F.col(vec_col).cast("array<double>").alias("vec"))
+def davies_bouldin(points: DataFrame, label_col: str, vec_col: str) -> DataFrame:
+    """Davies-Bouldin index over all points; one row.  The k centroids are compared as
+    an array that each centroid row carries."""
+    c = centroids(points, label_col, vec_col)
+    pts = points.select(F.col(label_col).alias("lab"), F.col(vec_col).cast("array<double>").alias("vec"))
     scatter = pts.join(F.broadcast(c), "lab").groupBy("lab").agg(
         exact_mean(_dist(F.col("vec"), F.col("centroid")), 15).alias("s"))
     cs = c.join(scatter, "lab")
-    # the k centroid rows travel as one bounded array value and are exploded into
-    # segment pairs (k * k rows, checked above); distances run on plain columns
+    # the k centroid rows travel as one array value and are exploded into segment
+    # pairs; distances run on plain columns
     allc = cs.select(F.collect_list(F.struct(F.col("lab").alias("olab"), F.col("centroid").alias("oc"),
                                              F.col("s").alias("os"))).alias("all")).scalar()
     pairs = cs.withColumn("_all", allc).select("lab", "centroid", "s", F.explode("_all").alias("o")) \

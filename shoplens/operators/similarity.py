@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.functions.numeric import exact_mean, exact_sum
+from shoplens.functions.numeric import exact_sum
 from shoplens.schema import ITEM_NUMERIC_FEATURES, PROFILE_FEATURES
 from shoplens.session import materialize, shuffle_partitions
 
@@ -196,29 +196,25 @@ def design_column(name: str) -> Column:
     return F.col(name).cast("double")
 
 
-MAX_CATEGORIES = 10_000
+def moments(df: DataFrame, cols: Sequence[str], *more: Column):
+    """Mean and sample standard deviation (0 and undefined become 1) per design column, in
+    one pass of built-in aggregates, whose running form has no range limit; and the row of ``more``."""
+    aggs = [f(design_column(c)).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", F.stddev_samp))]
+    row = df.agg(*aggs, *more).first()
+    means = {c: float("nan") if row[f"m{i}"] is None else float(row[f"m{i}"]) for i, c in enumerate(cols)}
+    stds = {c: float(row[f"s{i}"] or 0.0) for i, c in enumerate(cols)}
+    return means, {c: 1.0 if sd == 0 or math.isnan(sd) else sd for c, sd in stds.items()}, row
 
 
 def fit_similarity(train: DataFrame, top_k: int = 15, user_weight: float = 0.6) -> SimilarityModel:
     """Fit the baseline: one-hot on train categories, z-score (ddof=1, std 0 -> 1)."""
-    cats = sorted(r[0] for r in train.select(F.col("category").cast("string")).distinct()
-                  .limit(MAX_CATEGORIES + 1).collect())
-    if len(cats) > MAX_CATEGORIES:
-        raise ValueError("too many categories for one-hot encoding")
+    # the names become columns of the design matrix; they come from the fixed category list
+    cats = sorted(r[0] for r in train.select(F.col("category").cast("string")).distinct().collect())
     item_cols = list(ITEM_NUMERIC_FEATURES) + [f"category_{c}" for c in cats]
     user_cols = list(PROFILE_FEATURES)
     cols = user_cols + item_cols
-    stats = train.agg(*[exact_mean(design_column(c)).alias(f"m{i}") for i, c in enumerate(cols)],
-                      F.avg(F.col("label").cast("double")).alias("gm")).first()
-    means = {c: float(stats[f"m{i}"]) for i, c in enumerate(cols)}
-    sq = train.agg(*[exact_sum((design_column(c) - F.lit(means[c])) ** 2, 12).alias(f"s{i}")
-                     for i, c in enumerate(cols)], F.count(F.lit(1)).alias("n")).first()
-    n = sq["n"]
-    stds = {}
-    for i, c in enumerate(cols):
-        sd = math.sqrt(sq[f"s{i}"] / (n - 1)) if n > 1 else float("nan")
-        stds[c] = 1.0 if (sd == 0 or math.isnan(sd)) else sd
-    model = SimilarityModel(top_k, user_weight, user_cols, item_cols, means, stds, train, float(stats["gm"]),
+    means, stds, rest = moments(train, cols, F.avg(F.col("label").cast("double")).alias("gm"))
+    model = SimilarityModel(top_k, user_weight, user_cols, item_cols, means, stds, train, float(rest["gm"]),
                             cats)
     t = train.withColumn("_tid", F.monotonically_increasing_id())
     t = t.select("_tid", F.col("label").cast("double").alias("label"), "user_id", "item_id",
@@ -234,13 +230,5 @@ def one_hot(df: DataFrame, categories: Sequence[str], col: str = "category") ->
 
 def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """z-score columns with sample std (ddof=1); a zero std divides by 1."""
-    stats = df.agg(*[exact_mean(design_column(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    means = [float(stats[f"m{i}"]) for i in range(len(cols))]
-    sq = df.agg(*[exact_sum((design_column(c) - F.lit(means[i])) ** 2, 12).alias(f"s{i}")
-                  for i, c in enumerate(cols)], F.count(F.lit(1)).alias("n")).first()
-    out = []
-    for i, c in enumerate(cols):
-        sd = math.sqrt(sq[f"s{i}"] / (sq["n"] - 1)) if sq["n"] > 1 else 0.0
-        sd = 1.0 if sd == 0 or math.isnan(sd) else sd
-        out.append(((design_column(c) - F.lit(means[i])) / F.lit(sd)).alias(c))
-    return df.select(*keep, *out)
+    means, stds, _ = moments(df, cols)
+    return df.select(*keep, *[((design_column(c) - F.lit(means[c])) / F.lit(stds[c])).alias(c) for c in cols])

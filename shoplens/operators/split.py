@@ -46,9 +46,9 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
     its windows run on that tiny table only.
     """
     keys = list(key_cols or df.columns)
-    x = df.withColumn("_h", hash_key(keys, seed))
+    x = df.withColumn("_h", hash_key(keys, seed)).withColumn("_mid", F.monotonically_increasing_id())
     vc = x.groupBy(label_col, "_h").agg(F.count(F.lit(1)).alias("cnt"))
-    pos = prefix_counts(vc, "_h", "cnt", [label_col]).select(label_col, "_h", "before")
+    pos = prefix_counts(vc, "_h", "cnt", [label_col]).select(label_col, "_h", "before", F.col("cnt").alias("_same"))
     counts = vc.groupBy(label_col).agg(F.sum("cnt").alias("cnt"))
     n = F.sum("cnt").over(Window.partitionBy(F.lit(1)))
     n_test = F.ceil(F.lit(float(test_size)) * n.cast("double")).cast("long")
@@ -63,10 +63,21 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
         .join(q2.select(label_col, "test_q"), label_col)
     quotas = q2.select(label_col, "test_q", (F.col("cnt") - F.col("train_q")).alias("val_q"))
     x = x.join(pos, [label_col, "_h"]).join(quotas, label_col)  # one row per class; AQE broadcasts it by measured size
-    split = (F.when(F.col("before") < F.col("test_q"), F.lit("test"))
-             .when(F.col("before") < F.col("test_q") + F.col("val_q"), F.lit("validation"))
-             .otherwise(F.lit("train")))
-    return x.withColumn("split", split).drop("_h", "before", "test_q", "val_q")
+    cut1, cut2, end = F.col("test_q"), F.col("test_q") + F.col("val_q"), F.col("before") + F.col("_same")
+    # rows of one key are split among the parts only where a quota ends between them
+    across = ((F.col("before") < cut1) & (end > cut1)) | ((F.col("before") < cut2) & (end > cut2))
+    whole, shared = x.where(~across), x.where(across)
+    group = [label_col, "_h"]
+    shared = shared.withColumn("_pid", F.shiftright("_mid", 33))
+    # place among equal keys: rows are numbered per input partition, partitions by a prefix sum
+    sizes = shared.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*group, "_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    number = F.row_number().over(Window.partitionBy(*group, "_pid").orderBy("_mid"))
+    shared = shared.withColumn("_rn", number).join(sizes, [*group, "_pid"]) \
+        .withColumn("before", F.col("before") + F.col("_off") + F.col("_rn") - 1).drop("_pid", "_rn", "_off")
+    split = F.when(F.col("before") < cut1, F.lit("test")).when(F.col("before") < cut2, F.lit("validation")).otherwise(F.lit("train"))
+    return whole.unionByName(shared).withColumn("split", split).drop("_h", "_mid", "before", "_same", "test_q", "val_q")
 
 
 def create_splits(df: DataFrame, label_col: str = "label", key_cols: Sequence[str] | None = None,

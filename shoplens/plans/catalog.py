@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.functions.numeric import np_round
+from shoplens.functions.numeric import np_round, parse_number, py_round
 from shoplens.functions.text import emotion_score, keyword_flag, stable_binary, stable_bucket
 from shoplens.operators import features as feat
 from shoplens.operators.ordered import pct_rank_table
@@ -46,11 +46,11 @@ def register(name: str, operators: str, sql: str | None = None):
 # Shared, written intermediates (one build per session and input folder).
 # --------------------------------------------------------------------------
 
-_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+_CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _cached(spark: SparkSession, sf_dir: str, tag: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (id(spark), sf_dir, tag)
+    key = (spark.sparkContext.applicationId, sf_dir, tag)
     if key not in _CACHE:
         _CACHE[key] = materialize(build(), tag)
     return _CACHE[key]
@@ -68,8 +68,9 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ratings x items + item statistics (row level, before user features)."""
     def build():
-        b = dt.ratings(spark, sf_dir).join(items_table(spark, sf_dir), "item_id")
-        return b.join(feat.item_stats(b), "item_id", "left")
+        ratings = dt.ratings(spark, sf_dir)
+        known = materialize(items_table(spark, sf_dir).join(feat.item_stats(ratings), "item_id"), "items-stats")
+        return ratings.join(known, "item_id")
     return _cached(spark, sf_dir, "base", build)
 
 
@@ -98,10 +99,10 @@ def q_ratings_scan(spark, sf_dir):
 
 
 @register("meta_valid", "P2", O.with_items(
-    f"SELECT item_id, title, {O.rnd('try_cast(price AS DOUBLE)', 2)} AS price FROM items_valid"))
+    f"SELECT item_id, title, {O.py_rnd('try_cast(price AS DOUBLE)', 2)} AS price FROM items_valid"))
 def q_meta_valid(spark, sf_dir):
     return feat.valid_items(dt.items(spark, sf_dir)).select(
-        "item_id", "title", np_round(F.col("price").cast("string").try_cast("double"), 2).alias("price"))
+        "item_id", "title", py_round(parse_number(F.col("price")), 2).alias("price"))
 
 
 _ITEM_COLS = ["item_id", "title", "price", "image_exists", "also_bought_count", "also_viewed_count",
@@ -746,13 +747,13 @@ def q_topn_per_user(spark, sf_dir):
 # (M3-M6, M11-M13, M15, M16, A21, K2, K3) plus class weights (A22, oracle)
 # --------------------------------------------------------------------------
 
-_RUNS: dict[tuple[int, str], object] = {}
+_RUNS: dict[tuple[str, str], object] = {}
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str):
     from shoplens.plans.pipeline import run
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         _RUNS[key] = run(feature_table(spark, sf_dir))
     return _RUNS[key]

@@ -38,6 +38,15 @@ def rnd(expr: str, digits: int) -> str:
     return f"(round_even(({expr}) * {d(scale)}, 0) / {d(scale)})"
 
 
+def py_rnd(expr: str, digits: int) -> str:
+    """Python round: printing with fixed digits rounds the double's exact value."""
+    return f"CAST(format('{{:.{digits}f}}', CAST({expr} AS DOUBLE)) AS DOUBLE)"
+
+
+# A run of characters that are not Unicode white space.
+TOKEN = r"[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
 def any_contains(lowered: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({lowered}, {q(w)})" for w in words) + ")"
 
@@ -56,11 +65,9 @@ def category_sql(raw: str, title: str) -> str:
 def emotion_sql(title: str) -> str:
     low = f"lower(coalesce({title}, ''))"
     hits = " + ".join(f"CAST(contains({low}, {q(w)}) AS INTEGER)" for w in POSITIVE_WORDS)
-    stripped = f"regexp_replace({low}, '^\\s+|\\s+$', '', 'g')"
-    tokens = (f"greatest(CASE WHEN {stripped} = '' THEN 0 "
-              f"ELSE len(string_split_regex({stripped}, '\\s+')) END, 1)")
+    tokens = f"greatest(len(regexp_extract_all({low}, '{TOKEN}')), 1)"
     score = f"({d(0.25)} + least(({hits}) / {tokens}, {d(0.7)}))"
-    return f"(CASE WHEN {low} = '' THEN {d(0.25)} ELSE {rnd(score, 3)} END)"
+    return f"(CASE WHEN {low} = '' THEN {d(0.25)} ELSE {py_rnd(score, 3)} END)"
 
 
 def hash32_sql(text: str) -> str:
@@ -133,7 +140,7 @@ items_valid AS (
   WHERE title IS NOT NULL AND title <> '' AND item_id IS NOT NULL
     AND try_cast(price AS DOUBLE) IS NOT NULL AND NOT (try_cast(price AS DOUBLE) <= 0)),
 items_feat AS (
-  SELECT item_id, title, {rnd('try_cast(price AS DOUBLE)', 2)} AS price,
+  SELECT item_id, title, {py_rnd('try_cast(price AS DOUBLE)', 2)} AS price,
          CAST(coalesce(im_url, '') <> '' AS INTEGER) AS image_exists,
          also_bought_count, also_viewed_count, bought_together_count,
          also_bought_count + also_viewed_count + bought_together_count AS related_count,

@@ -54,7 +54,7 @@ def recommendation_demo(base: DataFrame, baseline: SimilarityModel, ranker: Rand
     return best.select("user_id", "item_id", "category", "price", "baseline_score", "rf_score")
 
 
-def run(features: DataFrame, seed: int = 42, n_init: int = 4) -> PipelineResult:
+def run(features: DataFrame, seed: int = 42, n_init: int = 20) -> PipelineResult:
     spark = features.sparkSession
     df = features
     overview = dataset_overview(df)
@@ -63,7 +63,11 @@ def run(features: DataFrame, seed: int = 42, n_init: int = 4) -> PipelineResult:
     seg = fit_user_segments(profiles, seed=seed, n_init=n_init)
     trace("pipeline: segments fitted")
     cmap = seg.clustered.select("user_id", "cluster_id", "cluster_name")
-    df = materialize(df.join(cmap, "user_id"), "clustered-rows")  # every user has a segment
+    # every user must have a segment: a row without one is an error, not a lost row
+    named = df.join(cmap, "user_id", "left")
+    segment = F.when(F.col("cluster_id").isNull(), F.raise_error(F.concat(F.lit("no segment for user "), F.coalesce("user_id", F.lit("null"))))) \
+        .otherwise(F.col("cluster_id"))
+    df = materialize(named.withColumn("cluster_id", segment), "clustered-rows")
     train, val, test = create_splits(df, "label", None, seed, materialize_as="split")
 
     trace("pipeline: split")

@@ -47,6 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder there; only when it is unset (local tests)
     do we create a fresh scratch folder of our own.
     """
+    ship_package(spark)
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
@@ -60,6 +61,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, whatever their folder.
+
+    A zip of the package goes through Spark's own file distribution, once per
+    application.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="run-"), "shoplens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("shoplens", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
