@@ -12,15 +12,15 @@ with probability equal to the Jaccard similarity, independently of the others.
    so candidate pairs are linear in the bucket.
 3. Pairs are confirmed on full sets, recomputed from the texts of the classes in
    question.
-4. Buckets that then still hold more than one component have their remaining
-   pairs across components compared by signature, block by block, and those
-   that may reach the threshold are confirmed as well.  So no pair that shares a
-   bucket is dropped, whatever hub the star had.
+4. Buckets that then still hold more than one component may hide a link that
+   their hub did not show.  The classes that such buckets connect form a cluster;
+   its full sets meet in one task (in several, block against block, beyond
+   ``BLOCK_BYTES``), are compared exactly, and only links between different
+   components come out.  So no pair that shares a bucket is dropped, whatever hub
+   the star had, and no pairs are emitted but links.
 
 At the threshold of 0.75 a pair misses all 32 bands with probability
-(1 - 0.75**4) ** 32 = 5e-6; in step 4 a pair is set aside if its signature agrees
-in less than ``FLOOR`` of 128 bins, which a pair at 0.75 does with probability
-below 1e-6.
+(1 - 0.75**4) ** 32 = 5e-6.
 
 Edge cases: null or empty texts, and texts without words, have an empty set and
 are linked with nothing; repeated rows fall into one class; a null id stays null;
@@ -40,8 +40,7 @@ from shoplens.llm.components import connected_components
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-FLOOR = 70            # of 128 bins
-BLOCK = 2048          # classes of one bucket compared in one task
+BLOCK_BYTES = 12 << 20    # sets of one cluster compared in one task, at most twice this
 _SHIFT = np.uint64(64 - 7)
 _EDGES = np.arange(BINS, dtype=np.uint64) << _SHIFT
 
@@ -111,19 +110,22 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= threshold * union."""
+def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, s): the shingle sets, as bytes, of the texts of some ids."""
     import pyarrow as pa
 
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-
     def sets(batches):
         for batch in batches:
             found = [shingle_hashes(words(t), SHINGLE).tobytes() for t in batches_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "s"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    full = stage(texts.mapInArrow(sets, "id long, s binary").dropDuplicates(["id", "s"]), "minhash-sets")
+    return stage(texts.mapInArrow(sets, "id long, s binary").filter("length(s) > 0").dropDuplicates(["id", "s"]), "minhash-sets")
+
+
+def _confirm(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 * intersection >= threshold * union."""
+    import pyarrow as pa
 
     def compare(batches):
         for batch in batches:
@@ -132,9 +134,6 @@ def _confirm(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, thre
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 if len(p) > len(q):
                     p, q = q, p
-                if not len(p):
-                    keep.append(False)
-                    continue
                 at = np.minimum(np.searchsorted(q, p), len(q) - 1)
                 both = int((q[at] == p).sum())
                 keep.append(100 * both >= threshold * (len(p) + len(q) - both))
@@ -146,40 +145,56 @@ def _confirm(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, thre
     return stage(wide.mapInArrow(compare, "a long, b long").distinct(), "minhash-links")
 
 
-def _leftover(rows: DataFrame, comp: DataFrame, tested: DataFrame, threshold: int) -> DataFrame:
-    """Untested pairs across components inside a bucket that may reach the threshold."""
+def _links_in(ids: list, labels: list, sets: list[bytes], threshold: int) -> list[tuple[int, int]]:
+    """Links between different labels among some sets, no more than it takes to join the labels."""
+    sizes = np.array([len(s) // 8 for s in sets])
+    flat = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    inside = np.zeros(int(flat.max()) + 1, bool)
+    top = {x: x for x in labels}
+
+    def find(x):
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for i in range(len(sets) - 1):
+        own = flat[starts[i]:starts[i] + sizes[i]]
+        inside[own] = True
+        both = np.add.reduceat(inside[flat[starts[i + 1]:]], starts[i + 1:] - starts[i + 1], dtype=np.int64)
+        inside[own] = False
+        for j in np.flatnonzero(100 * both >= threshold * (sizes[i] + sizes[i + 1:] - both)) + i + 1:
+            a, b = find(labels[i]), find(labels[j])
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                out.append((ids[i], ids[j]))
+    return out
+
+
+def _hidden_links(rows: DataFrame, comp: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
+    """Links across components in buckets that hold more than one component."""
     import pandas as pd
 
-    named = rows.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left") \
-        .withColumn("component", F.coalesce("component", "rep"))
-    named = stage(named, "minhash-rows")
-    open_ = stage(named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                                   F.count("*").alias("size"))
-                  .filter("lo <> hi").select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("cells")),
-                  "minhash-open")
-    cells = (named.join(open_, ["band", "key"])
-             .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int"))
+    named = stage(rows.select("band", "key", "hub", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+                  .withColumn("component", F.coalesce("component", "rep")), "minhash-rows")
+    open_ = stage(named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                  .filter("lo <> hi").select("band", "key"), "minhash-open")
+    inside = stage(named.join(open_, ["band", "key"]).select("hub", "rep", "component").distinct(), "minhash-inside")
+    cluster = connected_components(inside, "hub", "rep")
+    members = stage(inside.select(F.col("rep").alias("id"), "component").distinct()
+                    .join(cluster.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id").join(full, "id"), "minhash-members")
+    sizes = stage(members.groupBy("cluster").agg(F.ceil(F.sum(F.length("s")) / BLOCK_BYTES).cast("int").alias("cells")), "minhash-sizes")
+    cells = (members.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-             .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")))
+             .select("cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "component", "s"))
 
     def compare(pdf: "pd.DataFrame") -> "pd.DataFrame":
-        rep, comp_, n = pdf["rep"].to_numpy(), pdf["component"].to_numpy(), pdf["n_shingles"].to_numpy()
-        sig = np.stack(pdf["bands"].to_list()).astype(np.int64).view(np.uint16)
-        out_a, out_b = [], []
-        for i in range(len(rep) - 1):
-            later = slice(i + 1, None)
-            may = (comp_[later] != comp_[i]) & (100 * np.minimum(n[later], n[i]) >= threshold * np.maximum(n[later], n[i]))
-            spot = np.flatnonzero(may) + i + 1
-            if len(spot):
-                spot = spot[(sig[spot] == sig[i]).sum(1) >= FLOOR]
-                out_a.append(np.minimum(rep[spot], rep[i]))
-                out_b.append(np.maximum(rep[spot], rep[i]))
-        if not out_a:
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
-
-    found = cells.groupBy("band", "key", "x", "y").applyInPandas(compare, "a long, b long").filter("a <> b").distinct()
-    return stage(found.join(tested, ["a", "b"], "left_anti"), "minhash-more")
+        found = _links_in(pdf["id"].to_list(), pdf["component"].to_list(), pdf["s"].to_list(), threshold)
+        return pd.DataFrame({"a": np.array([f[0] for f in found], np.int64), "b": np.array([f[1] for f in found], np.int64)})
+
+    return stage(cells.groupBy("cluster", "x", "y").applyInPandas(compare, "a long, b long").distinct(), "minhash-hidden")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75) -> DataFrame:
@@ -187,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``component_id`` is the least id of the near-duplicate group and ``kept``
     marks the row whose id it is.  ``threshold`` is the similarity in hundredths;
-    ``BANDS``/``ROWS``/``FLOOR`` are set for 75 and above.
+    ``BANDS`` and ``ROWS`` are set for 75 and above.
     """
     signed = stage(signatures(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")), "minhash-signed")
     classes = stage(signed.filter("digest is not null").groupBy("digest")
@@ -201,12 +216,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = stage(rows.filter("rep <> hub").select("hub", "rep", "n_shingles").distinct().join(hub_n, "hub")
                   .filter(100 * F.least("n_shingles", "hub_n") >= threshold * F.greatest("n_shingles", "hub_n"))
                   .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-pairs")
-    links = _confirm(docs, pairs, id_col, text_col, threshold)
+    full = _full_sets(docs, rows.select(F.col("rep").alias("id")).distinct(), id_col, text_col)
+    links = _confirm(pairs, full, threshold)
     comp = connected_components(links)
-    in_buckets = rows.select("band", "key", "rep").join(classes.select("rep", "n_shingles", "bands"), "rep")
-    more = _leftover(in_buckets, comp, pairs, threshold)
-    if not more.isEmpty():
-        comp = connected_components(links.unionByName(_confirm(docs, more, id_col, text_col, threshold)))
+    hidden = _hidden_links(rows, comp, full, threshold)
+    if not hidden.isEmpty():
+        comp = connected_components(links.unionByName(hidden))
     named = stage(classes.select("digest", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                   .select("digest", F.coalesce("component", "rep").alias("component")), "minhash-named")
     return (signed.join(named, "digest", "left")
