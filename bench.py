@@ -19,7 +19,7 @@ HEADLINE = [
     "feature_table", "user_profile", "dataset_overview", "segment_summary", "threshold_sweep",
     "roc_auc", "stratified_split", "knn_topk", "knn_score_exclude_self", "silhouette",
     "davies_bouldin", "candidate_pairs", "unseen_candidates", "topn_per_user", "corr_matrix",
-    "keyword_flags", "emotion_score",
+    "keyword_flags", "emotion_score", "k_metrics", "rf_ranker", "recommendations",
 ]
 
 

@@ -45,11 +45,12 @@ def top_n_rows(df: DataFrame, n: int, desc: Sequence[str], asc: Sequence[str]) -
 USER_TIE = ["item_id", "last_click_gap", "freshness_score", "pv_count", "coupon_received", "coupon_used"]
 
 
-def top_users(df: DataFrame, n: int = 3) -> DataFrame:
-    """Best row per user by (label, purchase_intent, total_spend) desc, then the top ``n`` users."""
+def top_users(df: DataFrame, n: int | None = 3) -> DataFrame:
+    """Best row per user by (label, purchase_intent, total_spend) desc, then the top ``n``
+    users; all users if ``n`` is None."""
     desc = ["label", "purchase_intent", "total_spend"]
     first = keep_first_sorted(df, "user_id", desc, USER_TIE, list(dict.fromkeys(CANDIDATE_USER_COLUMNS + desc)))
-    return top_n_rows(first, n, desc, ["user_id"]).select(*CANDIDATE_USER_COLUMNS)
+    return (first if n is None else top_n_rows(first, n, desc, ["user_id"])).select(*CANDIDATE_USER_COLUMNS)
 
 
 def item_pool(df: DataFrame, n: int = 400) -> DataFrame:

@@ -858,14 +858,27 @@ _LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quanti
                "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-@register("dim_semi_join", "J10, O6", (
+@register("dim_semi_join", "J10", (
+    "SELECT DISTINCT p.* FROM part p WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')"))
+def q_dim_semi_join(spark, sf_dir):
+    ids = dt.read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_partkey")
+    return pg.matching_rows(dt.read_table(spark, sf_dir, "part"), "p_partkey", ids, "l_partkey")
+
+
+@register("star_sample", "M18, O6", (
     f"WITH f AS (SELECT * FROM lineitem ORDER BY {', '.join(_LINE_ORDER)} LIMIT 500), "
     f"ids AS (SELECT l_partkey FROM (SELECT l_partkey, min(({', '.join(_LINE_ORDER)})) AS k FROM f GROUP BY l_partkey) ORDER BY k LIMIT 80) "
     "SELECT DISTINCT p.* FROM part p WHERE p_partkey IN (SELECT l_partkey FROM ids)"))
-def q_dim_semi_join(spark, sf_dir):
-    _, dims = pg.sample_star(dt.read_table(spark, sf_dir, "lineitem"), _LINE_ORDER,
-                             dt.read_table(spark, sf_dir, "part"), "p_partkey", "l_partkey")
-    return dims
+def q_star_sample(spark, sf_dir):
+    return pg.star_sample(dt.read_table(spark, sf_dir, "lineitem"), _LINE_ORDER,
+                          {"part": (dt.read_table(spark, sf_dir, "part"), "p_partkey", "l_partkey")})["part"]
+
+
+@register("display_round", "P9", f"SELECT l_orderkey, l_linenumber, {O.rnd('CAST(l_extendedprice AS DOUBLE) / 7', 4)} AS unit_price FROM lineitem")
+def q_display_round(spark, sf_dir):
+    rows = dt.read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice").cast("double") / 7).alias("unit_price"))
+    return rl.display_round(rows)
 
 
 @register("preview", "P6", (
@@ -877,7 +890,7 @@ def q_preview(spark, sf_dir):
     return rl.compact_preview(o, 10, ["o_orderkey"])
 
 
-@register("relabel", "P7, P8, P9", None)
+@register("relabel", "P7, P8", None)
 def q_relabel(spark, sf_dir):
     s = seg.segment_summary(clustered_profiles(spark, sf_dir)).select(
         "cluster_id", *[r6(c).alias(c) for c in _SUMMARY_COLS], "user_count")

@@ -8,6 +8,7 @@ training-only models.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from shoplens.schema import (
     OPTIMIZED_TARGET_F1,
 )
 from shoplens.session import materialize, trace
+from shoplens.sources.files import load_structured_dataset, write_metrics, write_table
 
 
 @dataclass
@@ -44,8 +46,9 @@ class PipelineResult:
 
 
 def recommendation_demo(base: DataFrame, baseline: SimilarityModel, ranker: RandomForestRanker, rf_art,
-                        cluster_map: DataFrame, n_users: int = 3, n_items: int = 400, top_n: int = 5) -> DataFrame:
-    """Top users x item pool -> unseen pairs -> baseline and forest scores -> top ``top_n`` per user."""
+                        cluster_map: DataFrame, n_users: int | None = 3, n_items: int = 400, top_n: int = 5) -> DataFrame:
+    """Top users (all if ``n_users`` is None) x item pool -> unseen pairs -> baseline and
+    forest scores -> top ``top_n`` per user."""
     cand = build_candidate_pairs(top_users(base, n_users), item_pool(base, n_items), cluster_map)
     cand = drop_seen(cand, base)
     cand = baseline.predict(cand, exclude_self=False)
@@ -115,6 +118,41 @@ def metrics_table(overview: DataFrame, seg: SegmentArtifacts, b_thr: float, f_th
     return spark.createDataFrame(rows, "section string, model string, metric string, value double")
 
 
+def top_importances(importance: DataFrame, n: int = 12) -> DataFrame:
+    """The ``n`` largest importances, largest first."""
+    return importance.orderBy(F.desc("importance"), "feature").limit(int(n))
+
+
+def run_info(result: PipelineResult, input_path: str, rows: int, seconds: float) -> DataFrame:
+    """Long table (section, name, value) of what the run was: input, size, choices, strategies."""
+    overview = result.overview
+    items = [("run", "input", input_path), ("run", "rows", str(rows)), ("run", "seconds", f"{seconds:.1f}"),
+             ("run", "best_k", f"{result.segments.auto_label_metrics['best_k']:.0f}"),
+             ("strategy", BASELINE_MODEL_NAME, f"validation accuracy nearest {BASELINE_TARGET_ACCURACY:.2f}"),
+             ("strategy", OPTIMIZED_MODEL_NAME, f"validation F1 nearest {OPTIMIZED_TARGET_F1:.2f}"),
+             ("threshold", BASELINE_MODEL_NAME, f"{result.baseline_threshold:.4f}"),
+             ("threshold", OPTIMIZED_MODEL_NAME, f"{result.forest_threshold:.4f}")]
+    for name, found in ((BASELINE_MODEL_NAME, result.baseline_metrics), (OPTIMIZED_MODEL_NAME, result.forest_metrics)):
+        items += [(m, name, f"{found[m]:.4f}") for m in ("accuracy", "f1")]
+    return overview.sparkSession.createDataFrame(items, "section string, name string, value string")
+
+
+def run_files(spark, input_path: str, output_path: str, seed: int = 42, n_init: int = 20) -> PipelineResult:
+    """The run from a structured CSV to files: the metrics, the run log and the k metrics,
+    segment summary, recommendation and importance tables, one folder each."""
+    start = time.time()
+    features = materialize(load_structured_dataset(spark, input_path), "pipeline-input")
+    result = run(features, seed, n_init)
+    base = output_path.rstrip("/")
+    tables = {"k_metrics": result.segments.k_metrics, "segment_summary": result.segments.summary,
+              "recommendations": result.recommendations, "feature_importance": result.importance}
+    for name, table in tables.items():
+        write_table(table, f"{base}/tables/{name}", fmt="csv")
+    write_metrics(result.metrics_long, f"{base}/metrics")
+    write_metrics(run_info(result, input_path, features.count(), time.time() - start), f"{base}/run_log")
+    return result
+
+
 def metric_comparison(metrics_long: DataFrame) -> DataFrame:
     """metric x {baseline, optimised} pivot of the four report metrics."""
     m = metrics_long.where((F.col("section") == "model")

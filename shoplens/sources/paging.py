@@ -14,12 +14,8 @@ def page(df: DataFrame, order_cols: Sequence[str], offset: int, length: int) ->
 
 
 def paginated_rows(df: DataFrame, order_cols: Sequence[str], total_rows: int, page_size: int = 100) -> DataFrame:
-    """The first ``total_rows`` rows, as the union of ordered pages of ``page_size``."""
-    pages = [page(df, order_cols, o, min(page_size, total_rows - o)) for o in range(0, total_rows, page_size)]
-    out = pages[0]
-    for p in pages[1:]:
-        out = out.unionByName(p)
-    return out
+    """The first ``total_rows`` rows in order: what pages of ``page_size`` add up to, in one pass."""
+    return page(df, order_cols, 0, total_rows)
 
 
 def first_distinct(df: DataFrame, col: str, order_cols: Sequence[str], n: int) -> DataFrame:
@@ -33,6 +29,18 @@ def matching_rows(dim: DataFrame, dim_key: str, ids: DataFrame, id_col: str) ->
     return dim.join(ids.withColumnRenamed(id_col, dim_key), dim_key, "left_semi").distinct()
 
 
+def star_sample(fact: DataFrame, fact_order: Sequence[str], dims: dict[str, tuple[DataFrame, str, str]],
+                n_facts: int = 500, n_ids: int = 80, fallback_rows: int = 100) -> dict[str, DataFrame]:
+    """The fact sample (key ``facts``) and, per named (dimension, its key, the fact's key),
+    the rows of the first ``n_ids`` keys; where none matches, the dimension's first
+    ``fallback_rows`` rows by key."""
+    out = {}
+    for name, (dim, dim_key, fact_key) in dims.items():
+        out["facts"], rows = sample_star(fact, fact_order, dim, dim_key, fact_key, n_facts, n_ids)
+        out[name] = page(dim, [dim_key], 0, fallback_rows) if rows.isEmpty() else rows
+    return out
+
+
 def sample_star(fact: DataFrame, fact_order: Sequence[str], dim: DataFrame, dim_key: str, fact_key: str,
                 n_facts: int = 500, n_ids: int = 80) -> tuple[DataFrame, DataFrame]:
     """First ``n_facts`` facts and the dimension rows of their first ``n_ids`` distinct keys."""

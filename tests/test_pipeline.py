@@ -5,14 +5,24 @@ from pyspark.sql import functions as F
 
 from shoplens.operators.evaluate import SWEEP_THRESHOLDS
 from shoplens.plans.catalog import feature_table
-from shoplens.plans.pipeline import run
+from shoplens.plans.pipeline import run_files, top_importances
+from shoplens.sources.files import write_table
 
 from .conftest import SF
 
 
-def test_pipeline_invariants(spark):
+def test_pipeline_invariants_from_file_to_files(spark, tmpdir_run):
     feats = feature_table(spark, SF)
-    r = run(feats, n_init=1)
+    write_table(feats, f"{tmpdir_run}/in", fmt="csv")
+    r = run_files(spark, f"{tmpdir_run}/in", f"{tmpdir_run}/out", n_init=1)
+    read = lambda name: spark.read.option("header", True).csv(f"{tmpdir_run}/out/tables/{name}")
+    assert read("k_metrics").count() == 5 and read("recommendations").count() == r.recommendations.count()
+    assert read("segment_summary").count() == r.segments.summary.count()
+    log = {(x.section, x.name): x.value for x in spark.read.json(f"{tmpdir_run}/out/run_log").collect()}
+    assert log[("run", "rows")] == str(feats.count()) and log[("run", "input")] == f"{tmpdir_run}/in"
+    assert len([k for k in log if k[0] == "strategy"]) == 2
+    assert spark.read.json(f"{tmpdir_run}/out/metrics").where("section = 'model'").count() > 8
+    assert [x.importance for x in top_importances(r.importance, 3).collect()] == sorted((v for _, v in r.importance.collect()), reverse=True)[:3]
     km = r.segments.k_metrics.orderBy("k").collect()
     best = max(km, key=lambda row: (row["silhouette"], -row["k"]))
     assert r.segments.auto_label_metrics["best_k"] == best["k"]
