@@ -27,9 +27,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id; one row
     of rows that repeat an id with the same text.  Rows without an id stay."""
-    groups = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    with_id = docs.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-    kept = with_id.join(groups, with_id["doc_id"] == groups["__kept"], "left_semi")
+    groups = minhash.near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    kept = docs.join(groups, "doc_id", "left_semi").select(*docs.columns)
+    twice = stage(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "pipeline-repeated-ids")
+    if not twice.isEmpty():          # whole rows are only compared where an id occurs more than once
+        kept = kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(
+            kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
     return kept.unionByName(docs.filter("doc_id is null"))
 
 
