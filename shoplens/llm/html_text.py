@@ -116,7 +116,7 @@ def region(page: str, weights: dict[str, float]) -> list[tuple]:
             total += n * weights.get(e[2], -WORD if e[3] else WORD)
         if total < 0:
             total, start = 0.0, k + 1
-        elif total > best:
+        elif total > best or total == best > 0 and start == best_from:
             best, best_from, best_to = total, start, k + 1
     return listed[best_from:best_to]
 

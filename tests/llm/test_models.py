@@ -70,13 +70,13 @@ def test_page_text_of_the_driver_pages(spark):
 PAGE = """<!doctype html><html><head><title>T</title><script>if (a < b) {}</script></head><body><header><h2>Site name here</h2></header>
 <nav><ul><li><a href=/>Home page</a><li><a href=/x>Other</a></ul></nav><div class="cookie-notice">We use cookies, accept all of them</div>
 <article><h1>A  headline</h1><p>First &eacute; para&shy;graph of <b>the text</b> has
-words &lt;tags&gt;.<p>Second one<br>goes on.<div class="ad">Buy this now</div><ul><li>point one</ul>
+words &lt;tags&gt;.<p>Second one<br>goes on.<div class="ad">Buy this now</div><ul><li>point one of a list that has enough words to count</ul>
 <form><label>Mail</label><button>Send</button></form></article>
 <aside>Related things to read</aside><section id="comments"><p>I like it very much indeed</p></section><footer>&copy; somebody</footer>"""
 
 
 def test_page_text_of_a_hard_page():
-    assert html_text.extract(PAGE, {}) == "A headline\nFirst é para­graph of the text has words <tags>.\nSecond one goes on.\npoint one"
+    assert html_text.extract(PAGE, {}) == "A headline\nFirst é para­graph of the text has words <tags>.\nSecond one goes on.\npoint one of a list that has enough words to count"
 
 
 def test_page_text_edges(spark):
