@@ -25,6 +25,8 @@ every count is 0 and the class model is uniform; repeated rows count and score e
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -282,10 +284,10 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
         if room < 0:
             least = m + 1
             break
-    head = counts.filter(F.floor(F.log2("c") * 8) >= least).toPandas()            # at most HEAD rows
-    h = head["h"].to_numpy(np.int64).view(np.uint64)
+    head = counts.filter(F.floor(F.log2("c") * 8) >= least).toArrow()             # at most HEAD rows
+    h = head["h"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(h)
-    h, c, k = h[order], head["c"].to_numpy(np.int64)[order], head["k"].to_numpy(np.int64)[order]
+    h, c, k = h[order], head["c"].to_numpy().astype(np.int64)[order], head["k"].to_numpy().astype(np.int64)[order]
     words = np.flatnonzero(k > 0)
     top = words[np.lexsort((h[words], -c[words]))][:FREQUENT]
     frequent = np.sort(h[top])
@@ -311,9 +313,21 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["code", "n"])
 
     triples = stage(base.filter("train").select("text").mapInArrow(count_triples, "code int, n long")
-                    .groupBy("code").agg(F.sum("n").alias("n")), "lm-triples").toPandas()        # at most CLASSES**3 rows
-    model = LogBilinear.fit(triples["code"].to_numpy(np.int64), triples["n"].to_numpy(np.float64))
-    del triples, head
+                    .groupBy("code").agg(F.sum("n").alias("n")), "lm-triples")
+
+    def fit(batches):
+        code, n = [np.empty(0, np.int64)], [np.empty(0, np.float64)]
+        for batch in batches:
+            code.append(batch.column("code").to_numpy().astype(np.int64))
+            n.append(batch.column("n").to_numpy().astype(np.float64))
+        code, n = np.concatenate(code), np.concatenate(n)
+        by = np.argsort(code)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(LogBilinear.fit(code[by], n[by]))], pa.binary())], names=["model"])
+
+    # one task fits the classes: the table has at most CLASSES**3 rows at any corpus size
+    fitted = triples.coalesce(1).mapInArrow(fit, "model binary").first()
+    model = pickle.loads(bytes(fitted["model"])) if fitted else LogBilinear.fit(np.empty(0, np.int64), np.empty(0))
+    del head
     shared = spark.sparkContext.broadcast(Scorer(model, h, c, frequent, norms))     # bounded by HEAD and CLASSES
 
     def score_texts(batches):
