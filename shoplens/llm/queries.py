@@ -46,12 +46,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     document (by id) of a directory that states a licence stands for its licence file.
     """
     ensure_checkpoint_dir(spark)
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
-                                                   F.concat_ws("/", "source", "lang").alias("dir"))
-    heads = docs.filter(license.statement(F.col("text")) != "").groupBy("dir").agg(F.min("doc_id").alias("head"))
-    heads = license.stage(heads, "license-heads")
-    files = docs.join(heads, "dir", "left").select("doc_id", "text", "path", (F.col("doc_id") == F.col("head")).alias("speaks"))
-    done = license.scan(files, is_license_file=F.coalesce("speaks", F.lit(False)))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"))
+    done = license.scan(docs, is_license_file=F.lit(True), first_by="doc_id")
     return done.select("doc_id", "path", "own_license", F.round("own_score", 6).alias("own_score"), "license", "license_dir")
 
 

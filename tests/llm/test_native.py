@@ -119,3 +119,104 @@ def test_license_scores_and_inheritance(spark):
 def test_every_template_names_itself(spark):
     df = spark.createDataFrame([(k, t) for k, t in license.TEMPLATES.items()], "path string, text string")
     assert all(r.own_license == r.path and abs(r.own_score - 1) < 1e-9 for r in license.scan(df).collect())
+
+
+APACHE = """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+MIT = """MIT License
+
+Copyright (c) 2019 The Authors of Something
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD = """Copyright (c) The Regents of the University of California.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED.  IN NO EVENT SHALL THE REGENTS OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS
+OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE."""
+
+
+def test_real_headers_and_licence_files(spark):
+    code = "\n".join(f"value_{i} = call({i}, other)" for i in range(40))
+    hashed = "\n".join(f"# {x}".rstrip() for x in APACHE.split("\n"))
+    starred = "/*\n" + "\n".join(f" * {x}".rstrip() for x in GPL.split("\n")) + "\n */"
+    mixed = f"{hashed}\n{code}\n# see the license of the copyright owners, redistribution of this warranty\n{code}\n# Copyright 2001 Someone Else Entirely"
+    affero, older = GPL.replace("GNU General", "GNU Affero General"), GPL.replace("version 3", "version 2")
+    cases = [("a/x.py", f"#!/bin/sh\n{hashed}\n{code}", "Apache-2.0"), ("b/x.c", f"{starred}\n{code}", "GPL-3.0"), ("c/COPYING", affero, "AGPL-3.0"),
+             ("d/x.c", older, "GPL-2.0"), ("e/LICENSE", MIT, "MIT"), ("f/LICENSE", BSD, "BSD-3-Clause"), ("g/x.js", f"/* {MPL} */\n{code}", "MPL-2.0"),
+             ("h/x.py", f"# SPDX-License-Identifier: MIT\n{code}", "MIT"), ("i/x.c", "/* SPDX-License-Identifier: gpl-2.0-or-later */", "GPL-2.0"),
+             ("j/x.c", "// SPDX-License-Identifier: EUPL-1.2", "EUPL-1.2"), ("k/x.rs", "// SPDX-License-Identifier: MIT OR Apache-2.0", "MIT OR Apache-2.0"),
+             ("l/x.py", mixed, "Apache-2.0"), ("m/x.md", f"{code}\n\n{MIT}\n\n{code}", "MIT"), ("n/x.py", code, None), ("e/y.py", code, "MIT")]
+    got = {r.path: r for r in license.scan(spark.createDataFrame([c[:2] for c in cases], "path string, text string")).collect()}
+    assert {p: got[p].license for p, _, _ in cases} == {p: want for p, _, want in cases}
+    assert all(got[p].own_score > 0.85 for p, _, want in cases if want and p != "e/y.py") and got["e/y.py"].license_dir == "e"
+
+
+def test_first_licensed_file_speaks_for_its_directory(spark):
+    rows = [(3, "a/3", "Released under the MIT License."), (2, "a/2", "a copyright joke without any licence whatsoever to tell"),
+            (5, "a/5", "SPDX-License-Identifier: ISC"), (9, "a/9", None)]
+    df = spark.createDataFrame(rows, "k long, path string, text string")
+    got = {r.k: (r.license, r.license_dir) for r in license.scan(df, is_license_file=F.lit(True), first_by="k").collect()}
+    assert got == {2: ("MIT", "a"), 3: ("MIT", None), 5: ("ISC", None), 9: ("MIT", "a")}
