@@ -8,7 +8,8 @@ one of the table is verified word by word in the same stage, so nothing but veri
 hits is ever shuffled.  Hits are then merged per document.
 
 Edge cases: null or empty texts have no words and are clean; items without words
-have no window; repeated rows are judged alike, each on its own; several items may
+have no window; rows without an item id are one item, whose windows count like any and
+whose entry in ``items`` is null (last); repeated rows are judged alike, each on its own; several items may
 share a window and all are counted; an empty benchmark leaves every document clean;
 other columns are kept and the added ones replace columns of the same name.
 """
@@ -41,13 +42,13 @@ def _window_hashes(words: Column, length: int) -> Column:
 def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str = "text", n: int = WINDOW) -> DataFrame:
     """(len, h, window, items): the distinct windows of all items, with the items that hold each."""
     items = bench.select(F.col(item_col).cast("string").alias("item"), item_words(F.col(text_col)).alias("words")) \
-        .filter((F.size("words") > 0) & F.col("item").isNotNull())
+        .filter(F.size("words") > 0)
     size = F.size("words")
     runs = items.select("item", "words", F.least(size, F.lit(n)).alias("len"),
                         F.explode(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1)))).alias("at"))
     return (runs.select("item", "len", F.slice("words", F.col("at"), F.col("len")).alias("window"))
-            .groupBy("len", "window").agg(F.collect_set("item").alias("items"))
-            .select("len", F.xxhash64("window").alias("h"), "window", "items"))
+            .groupBy("len", "window").agg(F.collect_set(F.struct("item")).alias("items"))      # a struct, as null is an item too
+            .select("len", F.xxhash64("window").alias("h"), "window", F.col("items.item").alias("items")))
 
 
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -220,3 +220,22 @@ def test_first_licensed_file_speaks_for_its_directory(spark):
     df = spark.createDataFrame(rows, "k long, path string, text string")
     got = {r.k: (r.license, r.license_dir) for r in license.scan(df, is_license_file=F.lit(True), first_by="k").collect()}
     assert got == {2: ("MIT", "a"), 3: ("MIT", None), 5: ("ISC", None), 9: ("MIT", "a")}
+
+
+def test_items_without_id_are_hits_as_in_the_sql(spark, tmp_path):
+    import duckdb
+
+    from shoplens.llm import queries
+
+    docs = [(1, "one Secret Passage here"), (2, "clean"), (3, "secret passage and known item"), (4, None)]
+    bench = [(None, "secret passage"), (None, "SECRET passage"), (7, "known item"), (None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    with duckdb.connect() as db:
+        for t in ("documents", "benchmark"):
+            db.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+        want = sorted(db.execute(queries.ORACLE_SQL["op10_decontaminate"]).fetchall())
+    got = sorted(tuple(r) for r in queries.op10_decontaminate(spark, str(tmp_path)).collect())
+    assert got == want and [r[2:4] + r[5:] for r in got] == [(2, 1, True), (0, 0, False), (4, 2, True), (0, 0, False)]
+    found = decontaminate.contaminated(*[spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "benchmark")])
+    assert {r.doc_id: r["items"] for r in found.collect()} == {1: [None], 2: [], 3: ["7", None], 4: []}
