@@ -4,8 +4,10 @@ Both sides are lower-cased (A-Z) and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\
 The items' windows of ``n`` words (an item of fewer words is one window) are a small
 table, broadcast if its counted size is within ``BROADCAST_WINDOWS`` and shuffled
 otherwise.  A scan of the documents hashes every window of words; a hash that meets
-one of the table is verified word by word in the same stage, so nothing but verified
-hits is ever shuffled.  Hits are then merged per document.
+one of the table is verified word by word.  With the broadcast table that is done in
+the same stage, so nothing but verified hits is shuffled; with the shuffled one each
+window of a document is sent with its own words (at most ``n``) and no others, so the
+shuffle grows in proportion to the texts.  Hits are then merged per document.
 
 Edge cases: null or empty texts have no words and are clean; items without words
 have no window; rows without an item id are one item, whose windows count like any and
@@ -51,6 +53,12 @@ def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str
             .select("len", F.xxhash64("window").alias("h"), "window", F.col("items.item").alias("items")))
 
 
+def windows_of(keyed: DataFrame, length: int) -> DataFrame:
+    """(id, tkey, at, h, run) of every window of (id, tkey, words), ``run`` being the window's words alone."""
+    spots = keyed.select("id", "tkey", "words", F.posexplode(_window_hashes(F.col("words"), length)).alias("at", "h"))
+    return spots.select("id", "tkey", "at", "h", F.slice("words", F.col("at") + 1, length).alias("run"))
+
+
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", bench_text_col: str = "text", n: int = WINDOW) -> DataFrame:
     """``docs`` plus n_words, n_hit, n_items (long), items (sorted array of string),
@@ -66,10 +74,13 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
     keyed = texts.select("id", F.xxhash64("text").alias("tkey"), item_words(F.col("text")).alias("words"))
     hits = None
     for length in sorted(lengths):
-        spots = keyed.select("id", "tkey", "words", F.posexplode(_window_hashes(F.col("words"), length)).alias("at", "h"))
-        found = (spots.join(side.filter(F.col("len") == length).select("h", "window", "items"), "h")
-                 .filter(F.slice("words", F.col("at") + 1, length) == F.col("window"))
-                 .select("id", "tkey", "at", F.lit(length).alias("len"), "items"))
+        ours = side.filter(F.col("len") == length).select("h", "window", "items")
+        if small:       # the words stay in the scan's stage and are cut only where a hash meets
+            spots = keyed.select("id", "tkey", "words", F.posexplode(_window_hashes(F.col("words"), length)).alias("at", "h"))
+            met = spots.join(ours, "h").filter(F.slice("words", F.col("at") + 1, length) == F.col("window"))
+        else:
+            met = windows_of(keyed, length).join(ours, "h").filter(F.col("run") == F.col("window"))
+        found = met.select("id", "tkey", "at", F.lit(length).alias("len"), "items")
         hits = found if hits is None else hits.unionByName(found)
     kept = [f"`{c}`" for c in docs.columns if c not in ADDED]
     base = docs.select(*kept, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__tkey"),

@@ -239,3 +239,26 @@ def test_items_without_id_are_hits_as_in_the_sql(spark, tmp_path):
     assert got == want and [r[2:4] + r[5:] for r in got] == [(2, 1, True), (0, 0, False), (4, 2, True), (0, 0, False)]
     found = decontaminate.contaminated(*[spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "benchmark")])
     assert {r.doc_id: r["items"] for r in found.collect()} == {1: [None], 2: [], 3: ["7", None], 4: []}
+
+
+def test_shuffled_windows_carry_their_own_words_only(spark, monkeypatch):
+    words = [f"w{i % 700}x{i // 700}" for i in range(1500)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[700:760])), (3, "short ITEM here")]
+    bench = [(1, " ".join(words[40:55])), (2, "short item"), (3, " ".join(words[1400:1412]))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    sent, stage = [], decontaminate.stage
+
+    def look(df, tag):
+        nodes = [df._jdf.queryExecution().optimizedPlan()] if tag == "decontaminate-hits" else []
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "Join":
+                side = node.children().apply(0).output()
+                sent.append({side.apply(i).name() for i in range(side.size())})
+        return stage(df, tag)
+
+    monkeypatch.setattr(decontaminate, "stage", look)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert got_hits(d, b) == brute_hits(docs, bench)
+    assert sent and all(s == {"id", "tkey", "at", "h", "run"} for s in sent)
