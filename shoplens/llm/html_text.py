@@ -4,7 +4,10 @@ A page is a sequence of tags and runs of words.  Words score positive and tags
 negative; the weights depend on where a word stands and on the tag's name and come
 from labelled pages: pages that mark their article (one ``article`` or ``main``
 element), at most ``SAMPLE`` of them (those of the smallest id hash).  One linear scan
-finds the contiguous region of the largest sum.  Within it, elements that are never
+finds the contiguous region of the largest sum.  The region is then extended, both ways,
+over adjoining text of the same container that is not in such an element: what lies
+beyond a notice or advert in mid-article, and ends whose tags outweigh their words, are
+article text too.  Within it, elements that are never
 article text (menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts, styles) are left out, character references are decoded, white space becomes
 one space and blocks are joined by a line feed.
@@ -39,6 +42,9 @@ _TOKEN = re.compile(
 # Element names of the HTML standard by what they mean here.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul head".split())
+# Blocks that hold running text; all others are containers.
+FLOW = frozenset("address blockquote caption center dd dl dt figure h1 h2 h3 h4 h5 h6 hgroup hr li ol p pre section table tbody td tfoot th thead "
+                 "tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("head nav header footer aside form menu dialog title figcaption fieldset".split())
 _HINT = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*["']?[^"'>]*?(?<![a-z])(ad|ads|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|"""
@@ -49,16 +55,17 @@ _HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*no
 
 
 def events(page: str) -> Iterator[tuple]:
-    """('text', raw, place, out, block) and ('tag', name) in page order.
+    """('text', raw, place, out, block, container) and ('tag', name) in page order.
 
     ``place`` names where a run of words stands, ``out`` tells that an enclosing
-    element is never article text, ``block`` numbers the block.
+    element is never article text, ``block`` numbers the block and ``container`` the
+    nearest enclosing element that is a container.
     """
-    stack: list[tuple[str, bool, str]] = []       # name, never text, place
-    block, out, at = 0, False, 0
+    stack: list[tuple[str, bool, str, int]] = []       # name, never text, place, container
+    block, out, at, containers = 0, False, 0, 0
 
     def text(raw):
-        return ("text", raw, stack[-1][2] if stack else "none", out, block)
+        return ("text", raw, stack[-1][2] if stack else "none", out, block, stack[-1][3] if stack else 0)
 
     for hit in _TOKEN.finditer(page):
         if hit.start() > at:
@@ -94,7 +101,11 @@ def events(page: str) -> Iterator[tuple]:
                 place += "+a" if name == "a" or outer.endswith("+a") and name not in BLOCKS else ""
                 if never:
                     place = "out" if not place.endswith("+a") else "out+a"
-                stack.append((name, never, place))
+                container = stack[-1][3] if stack else 0
+                if name in BLOCKS and name not in FLOW:
+                    containers += 1
+                    container = containers
+                stack.append((name, never, place, container))
                 out = never
         if name in BLOCKS:
             block += 1
@@ -103,9 +114,12 @@ def events(page: str) -> Iterator[tuple]:
 
 
 def region(page: str, weights: dict[str, float]) -> list[tuple]:
-    """Events of the contiguous region of the largest sum; [] if no sum is positive.
+    """Events of the contiguous region of the largest sum, extended over adjoining text
+    of its first and last container; [] if no sum is positive.
 
-    Of equal sums the first, and then the longest, region is taken.
+    Of equal sums the first, and then the longest, region is taken.  The extension
+    passes over elements that are never article text and stops at text of any other
+    container and at text whose words weigh less than nothing.
     """
     listed = list(events(page))
     best, best_from, best_to, total, start = 0.0, 0, 0, 0.0, 0
@@ -118,9 +132,26 @@ def region(page: str, weights: dict[str, float]) -> list[tuple]:
             total, start = 0.0, k + 1
         elif total > best or total == best > 0 and start == best_from:
             best, best_from, best_to = total, start, k + 1
+    told = [k for k in range(best_from, best_to) if listed[k][0] == "text" and not listed[k][3] and listed[k][1].split()]
+    if told:
+        best_to = max(best_to, 1 + _reach(listed, range(told[-1] + 1, len(listed)), told[-1], weights))
+        best_from = min(best_from, _reach(listed, range(told[0] - 1, -1, -1), told[0], weights))
     return listed[best_from:best_to]
 
 
+def _reach(listed: list[tuple], way: range, at: int, weights: dict[str, float]) -> int:
+    """Last event on the way that is text of the container of event ``at``, with no other article text before it."""
+    home = listed[at][5]
+    for k in way:
+        e = listed[k]
+        if e[0] == "tag" or e[3] or not e[1].split():
+            continue
+        if e[5] != home or weights.get(e[2], WORD) < 0:
+            break
+        at = k
+    return at
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """Main text of one page."""
     if not page:

@@ -86,3 +86,18 @@ def test_page_text_edges(spark):
     assert html_text.learn(df) == {}
     assert sorted(r.main_text for r in html_text.main_text(df, {}).collect()) == ["", "", "one two three four"]
     assert html_text.main_text(df.limit(0), html_text.learn(df.limit(0))).count() == 0
+
+
+def test_text_beyond_a_box_in_mid_article_is_kept():
+    def words(n, stem):
+        return " ".join(f"{stem}{i}" for i in range(n))
+
+    box = f'<div class="advert"><p>{words(12, "buy")}</p></div>'
+    long, end, lead = words(60, "w"), words(10, "end"), words(6, "lead")
+    menu, foot = f"<nav>{words(9, 'menu')}</nav>", f"<footer>{words(8, 'foot')}</footer>"
+    table = "<table><tr><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr></table>"
+    page = "<body>{}<div class='post'>{}</div><div>other box</div>{}</body>"
+    weights = {"p": 2.0, "out": -3.0, "<div": -1.0, "</div": -1.0}
+    for inner, want in ((f"<p>{long}</p>{box}<p>{end}</p>", f"{long}\n{end}"), (f"<p>{lead}</p>{box}<p>{long}</p>", f"{lead}\n{long}"),
+                        (f"<p>{long}</p>{table}", f"{long}\na\nb\nc\nd")):
+        assert html_text.extract(page.format(menu, inner, foot), weights) == want
