@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shoplens.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["GOLDEN", "ascii_lower", "batches_bytes", "ensure_checkpoint_dir", "materialize", "mix64", "read",
+__all__ = ["GOLDEN", "ascii_lower", "batches_bytes", "block_groups", "ensure_checkpoint_dir", "in_groups", "materialize", "mix64", "read",
            "release", "shingle_hashes", "stage", "word_hashes", "words"]
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -19,6 +19,7 @@ _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 
 SHINGLE = 5
+GROUP_BYTES = 256 << 10    # of texts that are treated together in arrays
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -80,6 +81,40 @@ def batches_bytes(column) -> list[bytes]:
                                           else pa.binary()).to_pylist()]
 
 
+def in_groups(raws: list[bytes], size: int = GROUP_BYTES):
+    """(index of the first, texts) of runs of texts of bounded size; a longer text is alone."""
+    first, total = 0, 0
+    for k, raw in enumerate(raws):
+        if k > first and total + len(raw) > size:
+            yield first, raws[first:k]
+            first, total = k, 0
+        total += len(raw)
+    if raws[first:]:
+        yield first, raws[first:]
+
+
+def block_groups(texts: list[str], blocks, size: int):
+    """Lists of (row, block, whether it is the row's last) over the blocks of some texts, by bounded size."""
+    group, total = [], 0
+    for row, text in enumerate(texts):
+        held = None
+        for block in blocks(text):
+            if held is not None:
+                group.append((row, held, False))
+                total += len(held)
+                if total > size:
+                    yield group
+                    group, total = [], 0
+            held = block
+        group.append((row, held, True))
+        total += len(held)
+        if total > size:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are already written.
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import bpe, decontaminate, fingerprint, html_text, language_model, license, minhash, quality, suffix, toxicity
+from shoplens.llm import (bpe, decontaminate, fingerprint, html_text, language_model, license, minhash, negatives, periodic, pieces,
+                          quality, suffix, toxicity)
 from shoplens.llm.common import ensure_checkpoint_dir, read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,14 +95,60 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text decoded from them, as digests."""
+    ensure_checkpoint_dir(spark)
     done = bpe.tokenize(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), digest_only=True)
     return done.select("doc_id", F.col("bpe_n").alias("n_tokens"), F.col("bpe_ids_sha256").alias("ids_sha256"),
                        F.col("bpe_text_sha256").alias("decoded_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, every seventh of which has the next label."""
+    ensure_checkpoint_dir(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where of every tenth id (by hash) the words from some place on repeat a stretch.
+
+    With n words, h the CRC of the id and g = h / 10: from word a = g % n on, the
+    1 + (n - a) / (3 + g % 8) words from there repeat to the end.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    trimmed = F.regexp_replace("text", r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
+    w = (docs.select("doc_id", "text", h.alias("h"))
+         .withColumn("w", F.when((F.col("h") % 10 == 0) & (trimmed != ""), F.split(trimmed, r"[\x09-\x0D\x20]+")))
+         .withColumn("n", F.size("w")).withColumn("g", F.floor(F.col("h") / 10))
+         .withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+         .withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")))
+    rest = F.col("n") - F.col("a")
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), rest))
+    return w.select("doc_id", F.when(F.col("w").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of which get one planted."""
+    ensure_checkpoint_dir(spark)
+    done = periodic.collapse_runs(with_planted_periods(read(spark, sf_dir, "documents")), digest=True)
+    return done.select("doc_id", F.col("run_count").alias("n_runs"), F.col("run_start").alias("start"), F.col("run_length").alias("length"),
+                       F.col("run_period").alias("period"), F.floor(1000 * F.col("run_length") / F.col("run_period")).alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text decoded from them, as digests, each held against the library."""
+    ensure_checkpoint_dir(spark)
+    done = pieces.tokenize(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model"),
+                           digest_only=True, check=True)
+    return done.select("doc_id", F.col("piece_n").alias("n_tokens"), F.col("piece_ids_sha256").alias("ids_sha256"),
+                       F.col("piece_text_sha256").alias("decoded_sha256"), "piece_checked")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_lm_score, op2_minhash_dedup, op3_suffix_dedup, op4_license_scan, op5_toxicity, op6_html_text,
-                            op7_quality, op8_fingerprint, op9_bpe, op10_decontaminate)
+                            op7_quality, op8_fingerprint, op9_bpe, op10_decontaminate,
+                            op11_hard_negatives, op12_periodic_runs, op13_pieces)
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -128,3 +175,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
   n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+ORACLE_SQL["op11_hard_negatives"] = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS aid, a.label = r.label AS same, r.vec_id AS id, CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM r a, r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT aid, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY aid ORDER BY score DESC, id) <= 5)
+SELECT p.aid AS anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.aid, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.aid = p.aid AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5"""

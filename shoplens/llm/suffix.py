@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import GOLDEN, batches_bytes, mix64, stage
+from shoplens.llm.common import GOLDEN, batches_bytes, in_groups, mix64, stage
 
 LENGTH = 200
 GRAM = 56
@@ -148,18 +148,6 @@ def segments(raws: list[bytes], length: int = LENGTH, gram: int = GRAM):
     return text, hashes.view(np.int64), seg.view(np.int64), lo - start[text], hi - start[text], at - lo
 
 
-def in_groups(raws: list[bytes], size: int = 2 << 20):
-    """(index of the first, texts) of runs of texts of bounded size; a longer text is alone."""
-    first, total = 0, 0
-    for k, raw in enumerate(raws):
-        if k > first and total + len(raw) > size:
-            yield first, raws[first:k]
-            first, total = k, 0
-        total += len(raw)
-    if raws[first:]:
-        yield first, raws[first:]
-
-
 def _segment_id(part: bytes, place: int) -> int:
     """The place of the anchor in the segment belongs to its identity."""
     return xxhash.xxh3_64_intdigest(part, place)
