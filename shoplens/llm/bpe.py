@@ -17,9 +17,11 @@ Decoding
     Each id maps to bytes; an incremental UTF-8 state machine turns the byte
     stream into text, with U+FFFD for what is not UTF-8.
 
-Short pretokens repeat a lot, so their result is kept in a table of bounded size
-in each Python worker.  New short pretokens of a batch are merged together, one
-merge of every pretoken per step, in numpy.
+Short pretokens repeat a lot, so their result is kept in a table of bounded size,
+which is emptied when a task ends.  New short pretokens of a group of blocks are merged
+together, one merge of every pretoken per step, in numpy: they are shorter than the
+lookahead, so that the transducer would hold them whole.  Texts pass block by block;
+nothing but its text, its digests or its ids is held of one.
 
 Edge cases: null or empty text has no tokens and decodes to the empty text; the
 literal text of an added token becomes its id, as in the tokenizers library;
@@ -39,13 +41,15 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
+from shoplens.llm.common import block_groups, ensure_checkpoint_dir
+
 # The pattern of the public byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 BLOCK_CHARS = 1 << 16
-GROUP_CHARS = 8 << 20  # texts whose new chunks are learnt together
+GROUP_CHARS = 1 << 19  # of blocks whose new chunks are learnt together
 SHORT = 48             # longest chunk (characters) that is merged in a batch and kept
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 60_000
 NONE = 1 << 30
 _SPACED = re.compile(r"\s ")
 
@@ -233,19 +237,24 @@ class Bpe:
             at = cut
         yield text[at:]
 
-    def chunks(self, text: str) -> Iterator[list[str] | int]:
-        """Lists of chunks, and the ids of added tokens, in text order.
+    def spans(self, text: str) -> Iterator[str]:
+        """Blocks and the literal texts of added tokens, in text order."""
+        at = 0
+        for hit in self.split_added.finditer(text) if self.split_added else ():
+            yield from self.blocks(text[at:hit.start()])
+            yield hit.group()
+            at = hit.end()
+        yield from self.blocks(text[at:] if at else text)
+
+    def chunks(self, span: str) -> list[str] | int:
+        """The chunks of a block, or the id of an added token.
 
         A chunk is a space with what follows it up to the next space; chunks end
         between a non-space and a space.  A block with a space after white space
         goes in pretokens instead.
         """
-        at = 0
-        for hit in self.split_added.finditer(text) if self.split_added else ():
-            yield from map(self.cut, self.blocks(text[at:hit.start()]))
-            yield self.added[hit.group()]
-            at = hit.end()
-        yield from map(self.cut, self.blocks(text[at:] if at else text))
+        added = self.added.get(span)
+        return self.cut(span) if added is None else added
 
     def cut(self, block: str) -> list[str]:
         if _SPACED.search(block):
@@ -257,7 +266,7 @@ class Bpe:
     def encode(self, text: str | None) -> list[int]:
         """Ids of one text."""
         out: list[int] = []
-        for part in self.chunks(text or ""):
+        for part in map(self.chunks, self.spans(text or "")):
             if isinstance(part, int):
                 out.append(part)
             else:
@@ -273,56 +282,56 @@ class Bpe:
         machine = codecs.getincrementaldecoder("utf-8")(errors="replace")
         return "".join([machine.decode(self.token_bytes[int(i)]) for i in ids]) + machine.decode(b"", final=True)
 
-    def run(self, parts: Iterable[list[str] | int]) -> Iterator[tuple[str, bytes]]:
-        """(ids joined by commas, bytes that these ids decode to) of each part."""
-        table = self.table
-        for part in parts:
-            if isinstance(part, int):
-                yield str(part), self.token_bytes[part]
-            elif part:
-                yield ",".join(map(table.__getitem__, part)), b"".join(map(table.raw, part))
+    def run(self, texts: list[str]) -> Iterator[tuple[str, bytes, bool]]:
+        """(ids joined by commas, bytes that they decode to, whether it is the text's last) of all blocks in order."""
+        for group in block_groups(texts, self.spans, GROUP_CHARS):
+            parts = [self.chunks(span) for _, span, _ in group]
+            self.prepare([p for p in parts if not isinstance(p, int)])
+            for (_, _, last), part in zip(group, parts):
+                if isinstance(part, int):
+                    yield str(part), self.token_bytes[part], last
+                else:
+                    found = list(map(self.table.__getitem__, part))
+                    yield ",".join([f[0] for f in found]), b"".join([f[1] for f in found]), last
 
-    def digest(self, parts: Iterable[list[str] | int]) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the comma-joined ids, SHA-256 of the decoded text.
+    def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the comma-joined ids, SHA-256 of the decoded text, of each text.
 
         Only a block's ids are held at a time; they go straight into the digests.
         """
-        ids_sha, text_sha, count = hashlib.sha256(), hashlib.sha256(), 0
-        machine = codecs.getincrementaldecoder("utf-8")(errors="replace")
-        for joined, raw in self.run(parts):
-            if count:
-                ids_sha.update(b",")
-            ids_sha.update(joined.encode())
-            text_sha.update(machine.decode(raw).encode("utf-8", "surrogatepass"))
-            count += joined.count(",") + 1
-        text_sha.update(machine.decode(b"", final=True).encode())
-        return count, ids_sha.hexdigest(), text_sha.hexdigest()
-
-    def prepare(self, texts: list[str]) -> Iterator[list[list[str] | int]]:
-        """The parts of each text, after learning their new short chunks."""
-        group: list = []
-        size = 0
-        for text in texts:
-            group.append(list(self.chunks(text)))
-            size += len(text)
-            if size > GROUP_CHARS:
-                yield from self._learnt(group)
-                group, size = [], 0
-        yield from self._learnt(group)
-
-    def _learnt(self, group: list) -> list:
+        state = None
+        for joined, raw, last in self.run(texts):
+            if state is None:
+                state = hashlib.sha256(), hashlib.sha256(), codecs.getincrementaldecoder("utf-8")(errors="replace")
+                count = 0
+            ids_sha, text_sha, machine = state
+            if joined:
+                ids_sha.update(("," if count else "").encode() + joined.encode())
+                text_sha.update(machine.decode(raw).encode("utf-8", "surrogatepass"))
+                count += joined.count(",") + 1
+            if last:
+                text_sha.update(machine.decode(b"", final=True).encode())
+                yield count, ids_sha.hexdigest(), text_sha.hexdigest()
+                state = None
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[int, list[int], str]]:
+        """Number of ids, ids and decoded text of each text."""
+        ids: list[int] = []
+        for joined, _, last in self.run(texts):
+            if joined:
+                ids += map(int, joined.split(","))
+            if last:
+                yield len(ids), ids, self.decode(ids)
+                ids = []
+
+    def prepare(self, parts: list[list[str]]) -> None:
+        """Make the table hold all short chunks of some parts."""
         self.table.turn()
-        new: set[str] = set()
-        for parts in group:
-            for part in parts:
-                if not isinstance(part, int):
-                    new.update(part)
-        self.learn([c for c in self.table.missing(new) if len(c) <= SHORT])
-        return group
+        self.learn([c for c in self.table.missing(set().union(*parts)) if len(c) <= SHORT])
 
 
 class Table(dict):
-    """Chunk -> comma-joined ids, with the decoded bytes beside; of bounded size.
+    """Chunk -> (ids joined by commas, decoded bytes); of bounded size.
 
     Two generations: when the young one is full it becomes the old one, so that
     chunks in use survive.  Long chunks are computed each time and never kept.
@@ -330,33 +339,35 @@ class Table(dict):
 
     def __init__(self, bpe: Bpe):
         super().__init__()
-        self.bpe, self.bytes, self.old, self.old_bytes = bpe, {}, {}, {}
+        self.bpe, self.old = bpe, {}
 
     def put(self, chunk: str, ids: list[int]) -> None:
+        self[chunk] = self.result(ids)
+
+    def result(self, ids: list[int]) -> tuple[str, bytes]:
         token_bytes = self.bpe.token_bytes
-        self[chunk] = ",".join(map(str, ids))
-        self.bytes[chunk] = b"".join([token_bytes[i] for i in ids])
+        return ",".join(map(str, ids)), b"".join([token_bytes[i] for i in ids])
 
     def turn(self) -> None:
         if len(self) > CACHE_ENTRIES:
-            self.old, self.old_bytes, self.bytes = dict(self), self.bytes, {}
+            self.old = dict(self)
             self.clear()
 
+    def empty(self) -> None:
+        self.old = {}
+        self.clear()
+
     def missing(self, chunks: set[str]) -> list[str]:
         out = []
         for chunk in chunks - self.keys():
             if (known := self.old.get(chunk)) is None:
                 out.append(chunk)
             else:
-                self[chunk], self.bytes[chunk] = known, self.old_bytes[chunk]
+                self[chunk] = known
         return out
 
-    def __missing__(self, chunk: str) -> str:
-        return ",".join(map(str, self.bpe.ids(chunk)))
-
-    def raw(self, chunk: str) -> bytes:
-        known = self.bytes.get(chunk)
-        return known if known is not None else b"".join([self.bpe.token_bytes[i] for i in self.bpe.ids(chunk)])
+    def __missing__(self, chunk: str) -> tuple[str, bytes]:
+        return self.result(self.bpe.ids(chunk))
 
 
 @functools.lru_cache(maxsize=2)
@@ -374,6 +385,7 @@ def tokenize(docs: DataFrame, path: str, text_col: str = "text", digest_only: bo
     import pyarrow as pa
     from pyspark.sql import types as T
 
+    ensure_checkpoint_dir(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name not in
             ("bpe_n", "bpe_ids", "bpe_text", "bpe_ids_sha256", "bpe_text_sha256")]
     docs = docs.select(*[f"`{f.name}`" for f in kept])
@@ -388,21 +400,19 @@ def tokenize(docs: DataFrame, path: str, text_col: str = "text", digest_only: bo
 
     def run(batches):
         bpe = load(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            columns: list[list] = [[], [], []]
-            for parts in bpe.prepare(texts):
-                if digest_only:
-                    row = bpe.digest(parts)
-                else:
-                    ids = [int(x) for joined, _ in bpe.run(parts) for x in joined.split(",")]
-                    row = len(ids), ids, bpe.decode(ids)
-                for column, value in zip(columns, row):
-                    column.append(value)
-            arrays = [batch.column(n) for n in keep_names] + [
-                pa.array(columns[0], pa.int64()),
-                pa.array(columns[1], pa.string() if digest_only else pa.list_(pa.int32())),
-                pa.array(columns[2], pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep_names + [f.name for f in extra])
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(text_col).to_pylist()]
+                columns: list[list] = [[], [], []]
+                for row in bpe.digests(texts) if digest_only else bpe.encoded(texts):
+                    for column, value in zip(columns, row):
+                        column.append(value)
+                arrays = [batch.column(n) for n in keep_names] + [
+                    pa.array(columns[0], pa.int64()),
+                    pa.array(columns[1], pa.string() if digest_only else pa.list_(pa.int32())),
+                    pa.array(columns[2], pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=keep_names + [f.name for f in extra])
+        finally:
+            bpe.table.empty()
 
     return docs.mapInArrow(run, T.StructType([*kept, *extra]))

@@ -9,7 +9,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.session import ensure_checkpoint_dir, materialize
+from shoplens import session
+from shoplens.session import materialize
 
 __all__ = ["GOLDEN", "ascii_lower", "batches_bytes", "block_groups", "ensure_checkpoint_dir", "in_groups", "materialize", "mix64", "read",
            "release", "shingle_hashes", "stage", "word_hashes", "words"]
@@ -21,9 +22,22 @@ _M2 = np.uint64(0x94D049BB133111EB)
 SHINGLE = 5
 GROUP_BYTES = 256 << 10    # of texts that are treated together in arrays
 
+BATCH_BYTES = 8 << 20       # of an Arrow batch, unless the application sets its own
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder; also ships this package and bounds Arrow batches in bytes.
+
+    Every operator calls it before it makes its first Python function.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(BATCH_BYTES))
+    return session.ensure_checkpoint_dir(spark)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by label propagation with pointer jumping."""
+"""Connected components of an edge table, by contraction."""
 
 from __future__ import annotations
 
@@ -11,23 +11,28 @@ from shoplens.llm.common import stage
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge.
 
-    Each round gives every node the least label among itself and its neighbours
-    and then the label of that label, so a chain of n nodes takes about log n
-    rounds.  Labels and edges are written tables, so joins on a hub's key are
-    plain shuffles of both sides, which AQE can split.  Ends when no label moves.
-    Self loops, repeated edges and either direction are allowed; no edges give no rows.
+    Each round sends every node to the least of itself and its neighbours, then to
+    where that one was sent, and contracts the graph: edges run between the nodes
+    arrived at, each once, and those within a node go.  So a node's many edges to nodes
+    that are joined to it anyway are read once, not in every round.  The least node of a
+    component is never sent away, and a node arrived at keeps an edge to where it was
+    sent itself, so components stay whole.  Ends when no edge is left.  Joins on a hub's
+    key are plain shuffles of both sides, which AQE can split.  Self loops, repeated edges
+    and either direction are allowed; no edges give no rows.
     """
-    both = stage(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-                 .unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct(), "cc-edges")
-    labels = stage(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
-                   .select("node", F.least("node", "m").alias("label")), "cc-labels")
-    while True:
-        near = (both.join(labels, both.v == labels.node).groupBy(F.col("u").alias("n2")).agg(F.min("label").alias("m")))
-        low = stage(labels.join(near, labels.node == near.n2, "left")
-                    .select("node", F.col("label").alias("was"), F.least("label", "m").alias("label")), "cc-low")
-        jump = low.select(F.col("node").alias("n3"), F.col("label").alias("far"))
-        labels = stage(low.join(jump, low.label == jump.n3, "left")
-                       .select("node", "was", F.least("label", "far").alias("label")), "cc-labels")
-        if labels.filter("label <> was").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")
+    left = stage(edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "cc-edges")
+    labels = None
+    while labels is None or not left.isEmpty():
+        both = left.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(left.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        sent = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")), "cc-sent")
+        on = sent.select(F.col("u").alias("q"), F.col("p").alias("far"))
+        sent = stage(sent.join(on, sent.p == on.q).select("u", F.col("far").alias("p")), "cc-sent")
+        if labels is None:
+            labels = sent.select(F.col("u").alias("node"), F.col("p").alias("component"))
+        else:
+            labels = stage(labels.join(sent, labels.component == sent.u, "left").select("node", F.coalesce("p", "component").alias("component")),
+                           "cc-labels")
+        at, to = (sent.select(F.col("u").alias(f"{c}u"), F.col("p").alias(f"{c}p")) for c in "ab")
+        left = stage(left.join(at, left.a == at.au).join(to, left.b == to.bu).filter("ap <> bp")
+                     .select(F.least("ap", "bp").alias("a"), F.greatest("ap", "bp").alias("b")).distinct(), "cc-edges")
+    return labels

@@ -14,7 +14,7 @@ one space and blocks are joined by a line feed.
 
 Edge cases: a null or empty page, and one without words, gives ''; unclosed, stray and
 badly nested tags close what they can; a '<' that opens no tag is text; pages of any
-length are scanned once; repeated rows are alike; without labelled pages the weights
+length are scanned once, whatever stays open in them; repeated rows are alike; without labelled pages the weights
 are the defaults; an empty table gives an empty table.
 """
 
@@ -29,29 +29,97 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.llm.common import ensure_checkpoint_dir
 
 SAMPLE = 2_000        # labelled pages that weights come from, at most
 FEATURES = 400        # weights, at most
 WORD, TAG = 1.0, -1.0  # weights of what labelled pages do not show
 LARGEST = 3.0
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|textarea|select|button)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I)
 # Element names of the HTML standard by what they mean here.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul head".split())
 # Blocks that hold running text; all others are containers.
 FLOW = frozenset("address blockquote caption center dd dl dt figure h1 h2 h3 h4 h5 h6 hgroup hr li ol p pre section table tbody td tfoot th thead "
                  "tr ul".split())
+RAW = frozenset("script style noscript template svg iframe object textarea select button".split())   # no words of the page inside
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("head nav header footer aside form menu dialog title figcaption fieldset".split())
-_HINT = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*["']?[^"'>]*?(?<![a-z])(ad|ads|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|"""
-                   r"""menu\w*|nav\w*|breadcrumb\w*|footer|header|masthead|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|"""
-                   r"""comment\w*|reply|replies|disqus|related\w*|share\w*|social\w*|widget\w*|toolbar|login|search\w*|form|pagination|pager|"""
-                   r"""complementary|contentinfo|navigation|banner)(?![a-z])""", re.I)
+# Words that name what is no article text, as a class, id, role or label.
+_WORDS = (r"ad|ads|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side-bar|menu\w*|nav\w*|breadcrumb\w*|footer|header|masthead|cookie\w*|consent|"
+          r"notice\w*|popup|modal|newsletter|subscribe|comment\w*|reply|replies|disqus|related\w*|share\w*|social\w*|widget\w*|toolbar|login|"
+          r"search\w*|form|pagination|pager|complementary|contentinfo|navigation")
+_HINT = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*["']?[^"'>]*?(?<![a-z])(""" + _WORDS + ")(?![a-z])", re.I)
+# Within the one article the name must begin with such a word, and a header is the article's own.
+_INNER_HINT = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*["']?(?:[^"'>]*\s)?(?!header|form|search)(""" + _WORDS + r""")(?![a-z])""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())     # dropped only where all around them is
+
+_MARKS = (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">"))     # how they open and end
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_SPECIAL = re.compile("[\"'>]")
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+
+
+class _Ends:
+    """Where tags end: the next '>' that stands outside quotes.
+
+    What is found, or not found, from one place holds for every place on the way, so
+    that a page is gone through once however many tags never close.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+
+    def after(self, at: int) -> int:
+        """The place after the '>', or -1."""
+        page, known, way = self.page, self.known, []
+        while True:
+            if at > self.last[">"]:
+                end = -1
+                break
+            spot = _SPECIAL.search(page, at).start()
+            if (end := known.get(spot)) is not None:
+                break
+            way.append(spot)
+            if page[spot] == ">":
+                end = spot + 1
+                break
+            if spot >= self.last[page[spot]]:
+                end = -1
+                break
+            at = page.find(page[spot], spot + 1) + 1
+        if len(way) > 1 or end < 0:
+            known.update(dict.fromkeys(way, end))
+        return end
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, str]]:
+    """(from, to, name, attributes) of every tag, '/' before the name of a closing one.
+
+    Comments, declarations and marked sections have no name; an element of ``RAW`` goes
+    with all that it holds.  A '<' that opens no tag is passed over.
+    """
+    ends, at = _Ends(page), page.find("<")
+    while at >= 0:
+        name, attributes = "", ""
+        mark = next((c for o, c in _MARKS if page.startswith(o, at)), None)
+        if mark:
+            end = page.find(mark, at + len(mark) + 1)
+            end = len(page) if end < 0 else end + len(mark)
+        else:
+            hit = _NAME.match(page, at)
+            end = ends.after(hit.end()) if hit else -1
+            if end < 0:
+                at = page.find("<", at + 1)
+                continue
+            name, attributes = hit.group(1) + hit.group(2).lower(), page[hit.end():end - 1]
+            if name in RAW:
+                close = _CLOSE[name].search(page, end)
+                end = close.end() if close else len(page)
+        yield at, end, name, attributes
+        at = page.find("<", end)
 
 
 def events(page: str) -> Iterator[tuple]:
@@ -67,18 +135,17 @@ def events(page: str) -> Iterator[tuple]:
     def text(raw):
         return ("text", raw, stack[-1][2] if stack else "none", out, block, stack[-1][3] if stack else 0)
 
-    for hit in _TOKEN.finditer(page):
-        if hit.start() > at:
-            yield text(page[at:hit.start()])
-        at = hit.end()
-        name = hit.group(3)
-        if name is None:
-            if hit.group(1):
-                yield "tag", hit.group(1).lower()
+    for start, end, name, attributes in tags(page):
+        if start > at:
+            yield text(page[at:start])
+        at = end
+        if not name or name in RAW:
+            if name:
+                yield "tag", name
             continue
-        name, attributes = name.lower(), hit.group(4) or ""
-        if hit.group(2):
-            yield "tag", "/" + name
+        if name[0] == "/":
+            yield "tag", name
+            name = name[1:]
             if any(s[0] == name for s in stack):
                 while stack.pop()[0] != name:
                     pass
@@ -92,8 +159,9 @@ def events(page: str) -> Iterator[tuple]:
                         depth -= 1
                     if depth and stack[depth - 1][0] == name:
                         del stack[depth - 1:]
-                hint = bool(attributes) and bool(_HINT.search(attributes) or _HIDDEN.search(attributes))
                 inside = any(s[0] in ("article", "main") for s in stack)
+                hint = bool(attributes) and bool((_INNER_HINT if inside else _HINT).search(attributes) and not (inside and name in _HEADINGS)
+                                                 or _HIDDEN.search(attributes))
                 never = (bool(stack) and stack[-1][1]) or (name in NEVER and not (name in ("header", "figcaption") and inside)) \
                     or (hint and name not in ("html", "body", "article", "main"))
                 outer = stack[-1][2] if stack else "none"
@@ -160,8 +228,8 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     for e in region(page, weights):
         if e[0] == "text" and not e[3]:
             blocks.setdefault(e[4], []).append(e[1])
-        elif e[0] == "tag" and e[1] in ("br", "/td", "/th", "wbr", "img") and blocks:
-            blocks[next(reversed(blocks))].append(" " if e[1] != "wbr" else "")
+        elif e[0] == "tag" and e[1] in ("br", "/td", "/th") and blocks:
+            blocks[next(reversed(blocks))].append(" ")
     lines = (" ".join(html.unescape("".join(parts)).split()) for _, parts in sorted(blocks.items()))
     return "\n".join([x for x in lines if x])
 
@@ -204,6 +272,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
     """Weights from at most ``sample`` pages that mark their article."""
     import pyarrow as pa
 
+    ensure_checkpoint_dir(pages.sparkSession)
     marked = (pages.select(F.xxhash64(f"`{id_col}`").alias("h"), F.col(f"`{html_col}`").alias("html"))
               .filter(F.col("html").rlike("(?i)<(article|main)[ >]")))
     least = marked.select("h").orderBy("h").limit(sample)
@@ -233,6 +302,7 @@ def main_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html
     """``pages`` with the html column replaced by the main text in ``out``."""
     import pyarrow as pa
 
+    ensure_checkpoint_dir(pages.sparkSession)
     fields = [f for f in pages.schema.fields if f.name not in (html_col, out)]
     names = [f.name for f in fields]
 

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import GOLDEN, batches_bytes, mix64, release, stage
+from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, mix64, release, stage
 
 CLASSES, FREQUENT = 128, 47
 HEAD = 1 << 18              # words whose counts are broadcast, at most
@@ -258,6 +258,7 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
     """
     import pyarrow as pa
 
+    ensure_checkpoint_dir(docs.sparkSession)
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(train_if, F.lit(False)).alias("train"))
 

@@ -15,8 +15,9 @@ with probability equal to the Jaccard similarity, independently of the others.
 4. Buckets that then still hold more than one component may hide a link that
    their hub did not show.  The classes that such buckets connect form a cluster;
    its full sets meet in one task (in several, block against block, beyond
-   ``BLOCK_BYTES``), are compared exactly, and only links between different
-   components come out.  So no pair that shares a bucket is dropped, whatever hub
+   ``BLOCK_BYTES``), are compared exactly by their rarest hashes and sizes, and only
+   links between different components come out.  Clusters are found on the components:
+   a bucket joins the components it holds, however many classes each has.  So no pair that shares a bucket is dropped, whatever hub
    the star had, and no pairs are emitted but links.
 
 At the threshold of 0.75 a pair misses all 32 bands with probability
@@ -24,8 +25,9 @@ At the threshold of 0.75 a pair misses all 32 bands with probability
 
 Edge cases: null or empty texts, and texts without words, have an empty set and
 are linked with nothing; repeated rows fall into one class; a null id stays null;
-an empty table gives an empty table.  Ids are meant to be unique: rows that repeat
-an id with another text are judged by their own texts.
+an empty table gives an empty table.  Ids may be of any type
+that has an order (whole numbers come back as long) and are meant to be unique: rows that
+repeat an id with another text are judged by their own texts.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import SHINGLE, batches_bytes, mix64, shingle_hashes, stage, words
+from shoplens.llm.common import SHINGLE, batches_bytes, ensure_checkpoint_dir, mix64, shingle_hashes, stage, words
 from shoplens.llm.components import connected_components
 
 BINS, ROWS = 128, 4
@@ -119,8 +121,9 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> D
             found = [shingle_hashes(words(t), SHINGLE).tobytes() for t in batches_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "s"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    return stage(texts.mapInArrow(sets, "id long, s binary").filter("length(s) > 0").dropDuplicates(["id", "s"]), "minhash-sets")
+    kind = ids.schema["id"].dataType
+    texts = docs.select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
+    return stage(texts.mapInArrow(sets, T.StructType([T.StructField("id", kind), T.StructField("s", T.BinaryType())])).filter("length(s) > 0").dropDuplicates(["id", "s"]), "minhash-sets")
 
 
 def _confirm(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
@@ -142,34 +145,64 @@ def _confirm(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
 
     wide = (pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-    return stage(wide.mapInArrow(compare, "a long, b long").distinct(), "minhash-links")
+    return stage(wide.mapInArrow(compare, _links(full)).distinct(), "minhash-links")
 
 
-def _links_in(ids: list, labels: list, sets: list[bytes], threshold: int) -> list[tuple[int, int]]:
-    """Links between different labels among some sets, no more than it takes to join the labels."""
+def _links(full: DataFrame) -> T.StructType:
+    kind = full.schema["id"].dataType
+    return T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+
+def _links_in(ids: list, labels: list, sets: list[bytes], threshold: int) -> list[tuple]:
+    """Links between different labels among some sets, no more than it takes to join the labels.
+
+    Sets are taken by size.  Of each only the rarest hashes, as many as leave fewer than
+    the threshold asks for, are looked up among those of the smaller sets before it: two
+    similar sets share one of them.  Sets too small, or already joined, are passed over;
+    the others are compared in full.
+    """
     sizes = np.array([len(s) // 8 for s in sets])
-    flat = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)[1]
+    values, flat, often = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True, return_counts=True)
+    rare = np.empty(len(values), np.int64)
+    rare[np.argsort(often, kind="stable")] = np.arange(len(values))
     starts = np.cumsum(sizes) - sizes
-    inside = np.zeros(int(flat.max()) + 1, bool)
-    top = {x: x for x in labels}
+    flat = rare[flat]
+    inside = np.zeros(len(values), bool)
+    names = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    least = list(names)
+    top = np.arange(len(names))
+    own_label = np.array([names[x] for x in labels])
+    held: dict[int, dict[int, list[int]]] = {}         # hash -> label -> sets
+    out = []
 
-    def find(x):
+    def find(x: int) -> int:
         while top[x] != x:
             top[x] = top[top[x]]
             x = top[x]
         return x
 
-    out = []
-    for i in range(len(sets) - 1):
-        own = flat[starts[i]:starts[i] + sizes[i]]
+    for i in np.argsort(sizes, kind="stable").tolist():
+        n = int(sizes[i])
+        own = flat[starts[i]:starts[i] + n]
+        prefix = np.sort(own)[:n - (threshold * n + 99) // 100 + 1].tolist()
+        label, near = int(own_label[i]), set()
+        mine = find(label)
+        for h in prefix:
+            for other, held_by in held.get(h, {}).items():
+                if other != label and find(other) != mine:
+                    near.update(held_by)
         inside[own] = True
-        both = np.add.reduceat(inside[flat[starts[i + 1]:]], starts[i + 1:] - starts[i + 1], dtype=np.int64)
+        for j in sorted(near):
+            a, b = find(label), find(own_label[j])
+            if a == b or 100 * sizes[j] < threshold * n:
+                continue
+            both = int(inside[flat[starts[j]:starts[j] + sizes[j]]].sum())
+            if 100 * both >= threshold * (n + int(sizes[j]) - both):
+                top[max(a, b, key=lambda x: least[x])] = min(a, b, key=lambda x: least[x])
+                out.append((ids[j], ids[i]))
         inside[own] = False
-        for j in np.flatnonzero(100 * both >= threshold * (sizes[i] + sizes[i + 1:] - both)) + i + 1:
-            a, b = find(labels[i]), find(labels[j])
-            if a != b:
-                top[max(a, b)] = min(a, b)
-                out.append((ids[i], ids[j]))
+        for h in prefix:
+            held.setdefault(h, {}).setdefault(label, []).append(i)
     return out
 
 
@@ -177,14 +210,16 @@ def _hidden_links(rows: DataFrame, comp: DataFrame, full: DataFrame, threshold:
     """Links across components in buckets that hold more than one component."""
     import pandas as pd
 
-    named = stage(rows.select("band", "key", "hub", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    named = stage(rows.select("band", "key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                   .withColumn("component", F.coalesce("component", "rep")), "minhash-rows")
     open_ = stage(named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                  .filter("lo <> hi").select("band", "key"), "minhash-open")
-    inside = stage(named.join(open_, ["band", "key"]).select("hub", "rep", "component").distinct(), "minhash-inside")
-    cluster = connected_components(inside, "hub", "rep")
+                  .filter("lo <> hi").select("band", "key", "lo"), "minhash-open")
+    inside = stage(named.join(open_, ["band", "key"]).select("lo", "rep", "component").distinct(), "minhash-inside")
+    # classes that are already linked are one node here: a bucket joins its components, not its classes
+    cluster = connected_components(inside.filter("lo <> component").select("lo", "component").distinct(), "lo", "component")
     members = stage(inside.select(F.col("rep").alias("id"), "component").distinct()
-                    .join(cluster.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id").join(full, "id"), "minhash-members")
+                    .join(cluster.select(F.col("node").alias("component"), F.col("component").alias("cluster")), "component")
+                    .join(full, "id"), "minhash-members")
     sizes = stage(members.groupBy("cluster").agg(F.ceil(F.sum(F.length("s")) / BLOCK_BYTES).cast("int").alias("cells")), "minhash-sizes")
     cells = (members.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
@@ -192,9 +227,10 @@ def _hidden_links(rows: DataFrame, comp: DataFrame, full: DataFrame, threshold:
 
     def compare(pdf: "pd.DataFrame") -> "pd.DataFrame":
         found = _links_in(pdf["id"].to_list(), pdf["component"].to_list(), pdf["s"].to_list(), threshold)
-        return pd.DataFrame({"a": np.array([f[0] for f in found], np.int64), "b": np.array([f[1] for f in found], np.int64)})
+        return pd.DataFrame({"a": pd.Series([f[0] for f in found], dtype=pdf["id"].dtype),
+                             "b": pd.Series([f[1] for f in found], dtype=pdf["id"].dtype)})
 
-    return stage(cells.groupBy("cluster", "x", "y").applyInPandas(compare, "a long, b long").distinct(), "minhash-hidden")
+    return stage(cells.groupBy("cluster", "x", "y").applyInPandas(compare, _links(full)).distinct(), "minhash-hidden")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 75) -> DataFrame:
@@ -204,17 +240,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks the row whose id it is.  ``threshold`` is the similarity in hundredths;
     ``BANDS`` and ``ROWS`` are set for 75 and above.
     """
-    signed = stage(signatures(docs, id_col, text_col).withColumn("id", F.col("id").cast("long")), "minhash-signed")
+    ensure_checkpoint_dir(docs.sparkSession)
+    kind = docs.schema[id_col].dataType
+    if isinstance(kind, T.IntegralType):
+        kind = T.LongType()
+    signed = stage(signatures(docs, id_col, text_col).withColumn("id", F.col("id").cast(kind)), "minhash-signed")
     classes = stage(signed.filter("digest is not null").groupBy("digest")
                     .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
                     .filter("rep is not null"), "minhash-classes")
     bucket_rows = classes.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    hubs = stage(bucket_rows.groupBy("band", "key").agg(F.min("rep").alias("hub"), F.count("*").alias("size"))
-                 .filter("size > 1").select("band", "key", "hub"), "minhash-hubs")
+    hubs = stage(bucket_rows.groupBy("band", "key").agg(F.min(F.struct("rep", "n_shingles")).alias("hub"), F.count("*").alias("size"))
+                 .filter("size > 1").select("band", "key", F.col("hub.rep").alias("hub"), F.col("hub.n_shingles").alias("hub_n")), "minhash-hubs")
     rows = stage(bucket_rows.join(hubs, ["band", "key"]), "minhash-buckets")
-    hub_n = classes.select(F.col("rep").alias("hub"), F.col("n_shingles").alias("hub_n"))
-    pairs = stage(rows.filter("rep <> hub").select("hub", "rep", "n_shingles").distinct().join(hub_n, "hub")
-                  .filter(100 * F.least("n_shingles", "hub_n") >= threshold * F.greatest("n_shingles", "hub_n"))
+    pairs = stage(rows.filter("rep <> hub").filter(100 * F.least("n_shingles", "hub_n") >= threshold * F.greatest("n_shingles", "hub_n"))
                   .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-pairs")
     full = _full_sets(docs, rows.select(F.col("rep").alias("id")).distinct(), id_col, text_col)
     links = _confirm(pairs, full, threshold)

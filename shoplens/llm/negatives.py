@@ -140,15 +140,22 @@ def _cells(rows: DataFrame, anchors: DataFrame, by: list[str]) -> tuple[DataFram
     """Rows and anchors with the cells (rp, ap) in which they meet, per value of ``by``."""
     parallel = rows.sparkSession.sparkContext.defaultParallelism
     few = max(1024, ROWS // max(1, parallel))
-    sizes = (rows.groupBy(*by).agg(F.count("*").alias("n"))
-             .join(anchors.groupBy(*by).agg(F.count("*").alias("a")), by)
-             .select(*by, F.greatest(F.ceil(F.col("n") / ROWS), F.least(F.ceil(F.col("n") / few), F.lit(2 * parallel))).alias("np"),
-                     F.ceil(F.col("a") / ANCHORS).alias("na")))
-    sizes = stage(sizes, "negatives-cells")
+
+    def cells(n: Column, a: Column) -> tuple[Column, Column]:
+        return F.greatest(F.ceil(n / ROWS), F.least(F.ceil(n / few), F.lit(2 * parallel))), F.ceil(a / ANCHORS)
+
+    if by:
+        np_, na = cells(F.col("n"), F.col("a"))
+        sizes = stage(rows.groupBy(*by).agg(F.count("*").alias("n")).join(anchors.groupBy(*by).agg(F.count("*").alias("a")), by)
+                      .select(*by, np_.alias("np"), na.alias("na")), "negatives-cells")
+        rows, anchors = rows.join(sizes, by), anchors.join(sizes, by)
+    else:
+        np_, na = cells(F.lit(max(1, rows.count())), F.lit(max(1, anchors.count())))
+        rows, anchors = (x.withColumn("np", np_).withColumn("na", na) for x in (rows, anchors))
     own = F.pmod(F.xxhash64("rid"), F.col("np"))
     group = F.pmod(F.xxhash64(F.lit(1), "rid"), F.col("na"))
-    return (rows.join(sizes, by).withColumn("rp", own).withColumn("ap", F.explode(F.sequence(F.lit(0).cast("long"), F.col("na") - 1))),
-            anchors.join(sizes, by).withColumn("ap", group).withColumn("rp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("np") - 1))))
+    return (rows.withColumn("rp", own).withColumn("ap", F.explode(F.sequence(F.lit(0).cast("long"), F.col("na") - 1))),
+            anchors.withColumn("ap", group).withColumn("rp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("np") - 1))))
 
 
 def _meet(rows: DataFrame, anchors: DataFrame, by: list[str], k: int, same: bool) -> DataFrame:
@@ -215,7 +222,7 @@ def hard_negatives(rows: DataFrame, anchors: Column, id_col: str = "vec_id", vec
     ready = stage(chosen.join(windows, "rid")
                   .withColumn("top", F.transform("wins", lambda w: w.getField("positive_score")))
                   .withColumn("floor", F.transform("wins", lambda w: _edge(w.getField("positive_score"), low))), "negatives-anchors")
-    met = _meet(held.withColumn("all", F.lit(0)), ready.withColumn("all", F.lit(0)), ["all"], negatives, False)
+    met = _meet(held, ready, [], negatives, False)
     return (met.join(ready.select("rid", F.col("id").alias("anchor_id"), "wins"), "rid")
             .select("anchor_id", F.element_at("wins", F.col("win") + 1).alias("w"), "rank", "id", "score")
             .select("anchor_id", F.col("w.positive_id").alias("positive_id"), "rank", F.col("id").alias("negative_id"),

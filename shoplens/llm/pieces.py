@@ -333,19 +333,19 @@ class Pieces:
             return words
         return [c for w in words for c in ([w] if len(w) <= SHORT else self.cut(w))]
 
-    def run(self, texts: list[str]) -> Iterator[tuple[int, str, str, bool]]:
-        """(row, ids joined by commas, text that they spell, whether it is the row's last) of all blocks in order."""
+    def run(self, texts: list[str]) -> Iterator[tuple[str, str, bool]]:
+        """(ids joined by commas, text that they spell, whether it is the text's last) of all blocks in order."""
         for group in block_groups(texts, self.blocks, GROUP_BYTES):
             parts = [self.parts(block) for _, block, _ in group]
             self.prepare(parts)
-            for (row, _, last), part in zip(group, parts):
+            for (_, _, last), part in zip(group, parts):
                 found = list(map(self.table.__getitem__, part))
-                yield row, ",".join([f[0] for f in found]), "".join([f[1] for f in found]), last
+                yield ",".join([f[0] for f in found]), "".join([f[1] for f in found]), last
 
     def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
         """Number of ids, SHA-256 of the comma-joined ids, SHA-256 of the decoded text, of each text."""
         ids_sha, text_sha, count = hashlib.sha256(), hashlib.sha256(), 0
-        for _, joined, spelt, last in self.run(texts):
+        for joined, spelt, last in self.run(texts):
             if joined:
                 ids_sha.update(("," if count else "").encode() + joined.encode())
                 text_sha.update((spelt if count else spelt[spelt.startswith(" "):]).encode("utf-8", "surrogatepass"))
@@ -357,7 +357,7 @@ class Pieces:
     def encoded(self, texts: list[str]) -> Iterator[tuple[int, list[int], str]]:
         """Number of ids, ids and decoded text of each text."""
         ids: list[int] = []
-        for _, joined, _, last in self.run(texts):
+        for joined, _, last in self.run(texts):
             if joined:
                 ids += map(int, joined.split(","))
             if last:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import batches_bytes, stage, word_hashes
+from shoplens.llm.common import batches_bytes, ensure_checkpoint_dir, stage, word_hashes
 from shoplens.llm.toxicity import _CLASS, labelled
 
 SAMPLE = 6_000         # labelled rows that are learned from, at most
@@ -106,6 +106,7 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
     import pyarrow as pa
 
+    ensure_checkpoint_dir(docs.sparkSession)
     picked = stage(labelled(labels, label_col, id_col, SAMPLE), "quality-labels")       # at most SAMPLE small rows
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").select("y", "h", "text")
 
@@ -131,6 +132,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``quality_score`` (0 to 1)."""
     import pyarrow as pa
 
+    ensure_checkpoint_dir(docs.sparkSession)
     fields = [f for f in docs.schema.fields if f.name != "quality_score"]
     names = [f.name for f in fields]
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import GOLDEN, batches_bytes, in_groups, mix64, stage
+from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, in_groups, mix64, stage
 
 LENGTH = 200
 GRAM = 56
@@ -402,13 +402,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     import pyarrow as pa
 
+    ensure_checkpoint_dir(docs.sparkSession)
     gram = max(SYMBOL, min(GRAM, length // 3))
     added = ["repeat_bytes", "repeat_removed", "repeat_spans"] + (["repeat_sha256"] if digest else [])
     others = [f.name for f in docs.schema.fields if f.name not in (text_col, *added)]
     quoted = [f"`{n}`" for n in others]
     base = docs.select(F.struct(*quoted).alias("rest"), F.col(f"`{text_col}`").alias("text"),
-                       F.xxhash64(F.col(f"`{id_col}`")).alias("key"))
-    # the key brings a text's rows together; a shared key is harmless, as all is matched by content
+                       F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"))
+    # the key brings what is known of a text back to it, rows without an id included; only rows
+    # that repeat id and text share one (or a rare clash of hashes), and sets below hold each
+    # fact of a key once.  All is matched by content, so a shared key changes no result.
 
     def count_anchors(batches):
         for batch in batches:
@@ -483,7 +486,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = stage(held.filter("single").select("key", "anchor", F.lit(None).cast("long").alias("seg"), F.lit(None).cast("array<int>").alias("runs"))
                   .unionByName(held.filter("not single").select("key", "anchor", "seg").join(runs, ["anchor", "seg"])
                                .select("key", "anchor", "seg", "runs"))
-                  .groupBy("key").agg(F.collect_list(F.struct("anchor", "seg", "runs")).alias("known")), "suffix-known")
+                  .groupBy("key").agg(F.collect_set(F.struct("anchor", "seg", "runs")).alias("known")), "suffix-known")
     out = [T.StructField("rest", base.schema["rest"].dataType), *([] if digest else [T.StructField("text", T.StringType())]),
            *[T.StructField(n, T.LongType()) for n in added[:3]], *([T.StructField(added[3], T.StringType())] if digest else [])]
 

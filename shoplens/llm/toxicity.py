@@ -14,7 +14,9 @@ and obfuscated words, and lexicon words that show only once obfuscation is undon
 
 Edge cases: null is the empty text, which has a score like any other; without
 labelled rows of both classes every score is the share of label 1 (0 without labels);
-rows without an id or with a null label are not learned from; repeated rows score alike.
+rows without an id or with a null label are not learned from; repeated rows score alike;
+of documents with the same text the least id hash counts and the mean label, so that the
+order of rows does not matter.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import batches_bytes, stage
+from shoplens.llm.common import batches_bytes, ensure_checkpoint_dir, stage
 
 SAMPLE = 20_000        # labelled rows that are learned from, at most
 STEMS = (4, 5)         # bytes
@@ -211,9 +213,11 @@ def labelled(labels: DataFrame, label_col: str, id_col: str = "doc_id", sample:
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
     import pyarrow as pa
 
+    ensure_checkpoint_dir(docs.sparkSession)
     picked = stage(labelled(labels, label_col, id_col), "toxicity-labels")         # at most SAMPLE small rows
     rows = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
-                 .select("y", "h", "text").dropDuplicates(["text"]), "toxicity-sample")
+                 .groupBy("text").agg((F.avg("y") >= 0.5).cast("double").alias("y"), F.min("h").alias("h")), "toxicity-sample")
+
     def entries(batches):
         for batch in batches:
             seen: dict = {}
@@ -272,6 +276,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``toxicity`` (0 to 1)."""
     import pyarrow as pa
 
+    ensure_checkpoint_dir(docs.sparkSession)
     fields = [f for f in docs.schema.fields if f.name != "toxicity"]
     names = [f.name for f in fields]
 

@@ -155,3 +155,43 @@ def test_windows_of_a_segment_by_transform(texts):
         got = {a for k in range(0, len(runs[i]), 2) for a in range(runs[i][k], runs[i][k + 1])}
         want = {a for a in range(len(part) - 29) if any(part[a:a + 30] == o[a:a + 30] for j, o in enumerate(parts) if j != i)}
         assert got == want
+
+
+def test_links_between_labels_equal_every_pair():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        sets = [np.unique(rng.choice(40, int(rng.integers(1, 30)))).astype(np.uint64) for _ in range(25)]
+        labels = [int(x) for x in rng.integers(0, 6, 25)]
+        links = minhash._links_in(list(range(25)), labels, [s.tobytes() for s in sets], 75)
+
+        def groups(pairs):
+            top = {x: x for x in labels}
+
+            def find(x):
+                while top[x] != x:
+                    x = top[x]
+                return x
+            for i, j in pairs:
+                a, b = find(labels[i]), find(labels[j])
+                top[max(a, b)] = min(a, b)
+            return [find(x) for x in labels]
+
+        def similar(i, j):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            return 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
+        assert all(similar(i, j) and labels[i] != labels[j] for i, j in links) and len(links) < 6
+        assert groups(links) == groups([p for p in itertools.combinations(range(25), 2) if similar(*p)])
+
+
+def test_components_of_a_hub_with_many_edges(spark):
+    edges = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(400, 460)] + [(399, 430), (900, 900), (800, 801), (801, 800)]
+    got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {**{i: 0 for i in range(461)}, 900: 900, 800: 800, 801: 800}
+
+
+def test_string_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [("b", text), ("a", text + " end"), ("c", "other words of a text that stands alone here"), (None, text), ("d", None)]
+    got = {r.id: (r.component, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "key string, text string"), "key")
+           .selectExpr("key as id", "component_id as component", "kept").collect()}
+    assert got == {"a": ("a", True), "b": ("a", False), "c": ("c", True), None: ("a", None), "d": ("d", True)}
