@@ -163,16 +163,17 @@ def _links_in(ids: list, labels: list, sets: list[bytes], threshold: int) -> lis
     """
     sizes = np.array([len(s) // 8 for s in sets])
     values, flat, often = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True, return_counts=True)
-    rare = np.empty(len(values), np.int64)
-    rare[np.argsort(often, kind="stable")] = np.arange(len(values))
-    starts = np.cumsum(sizes) - sizes
+    rare = np.empty(len(values), np.int32)
+    rare[np.argsort(often, kind="stable")] = np.arange(len(values), dtype=np.int32)
     flat = rare[flat]
-    inside = np.zeros(len(values), bool)
+    starts = np.cumsum(sizes) - sizes
     names = {x: i for i, x in enumerate(dict.fromkeys(labels))}
     least = list(names)
     top = np.arange(len(names))
     own_label = np.array([names[x] for x in labels])
-    held: dict[int, dict[int, list[int]]] = {}         # hash -> label -> sets
+    held = _prefixes(flat, starts, sizes, own_label, threshold)
+    seen: dict[int, dict[int, list[int]]] = {}         # hash -> label -> sets
+    inside = np.zeros(len(values), bool)
     out = []
 
     def find(x: int) -> int:
@@ -182,27 +183,53 @@ def _links_in(ids: list, labels: list, sets: list[bytes], threshold: int) -> lis
         return x
 
     for i in np.argsort(sizes, kind="stable").tolist():
-        n = int(sizes[i])
-        own = flat[starts[i]:starts[i] + n]
-        prefix = np.sort(own)[:n - (threshold * n + 99) // 100 + 1].tolist()
-        label, near = int(own_label[i]), set()
+        n, label, near = int(sizes[i]), int(own_label[i]), set()
         mine = find(label)
-        for h in prefix:
-            for other, held_by in held.get(h, {}).items():
+        for h in held.get(i, ()):
+            by = seen.setdefault(h, {})
+            for other, held_by in by.items():
                 if other != label and find(other) != mine:
                     near.update(held_by)
+            by.setdefault(label, []).append(i)
+        if not near:
+            continue
+        near = np.array(sorted(near))
+        near = near[100 * sizes[near] >= threshold * n]
+        if not len(near):
+            continue
+        own = flat[starts[i]:starts[i] + n]
         inside[own] = True
-        for j in sorted(near):
+        ends = np.cumsum(sizes[near])
+        spots = np.arange(ends[-1]) + np.repeat(starts[near] - ends + sizes[near], sizes[near])
+        both = np.add.reduceat(inside[flat[spots]], ends - sizes[near], dtype=np.int64)
+        for j in near[100 * both >= threshold * (n + sizes[near] - both)].tolist():
             a, b = find(label), find(own_label[j])
-            if a == b or 100 * sizes[j] < threshold * n:
-                continue
-            both = int(inside[flat[starts[j]:starts[j] + sizes[j]]].sum())
-            if 100 * both >= threshold * (n + int(sizes[j]) - both):
+            if a != b:
                 top[max(a, b, key=lambda x: least[x])] = min(a, b, key=lambda x: least[x])
                 out.append((ids[j], ids[i]))
         inside[own] = False
-        for h in prefix:
-            held.setdefault(h, {}).setdefault(label, []).append(i)
+    return out
+
+
+def _prefixes(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, labels: np.ndarray, threshold: int) -> dict[int, list[int]]:
+    """The rarest hashes of each set, as many as leave fewer than the threshold asks for; without
+    those that only sets of one label have among theirs."""
+    hashes, owners = [], []
+    for i, (at, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
+        take = n - (threshold * n + 99) // 100 + 1
+        own = flat[at:at + n]
+        hashes.append(np.partition(own, take - 1)[:take] if take < n else own)
+        owners.append(np.full(len(hashes[-1]), i, np.int32))
+    hashes, owners = np.concatenate(hashes), np.concatenate(owners)
+    by = np.argsort(hashes, kind="stable")
+    hashes, owners = hashes[by], owners[by]
+    cuts = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    own = labels[owners]
+    several = np.minimum.reduceat(own, cuts) != np.maximum.reduceat(own, cuts)
+    use = np.repeat(several, np.diff(np.append(cuts, len(hashes))))
+    out: dict[int, list[int]] = {}
+    for h, i in zip(hashes[use].tolist(), owners[use].tolist()):
+        out.setdefault(i, []).append(h)
     return out
 
 
