@@ -27,8 +27,10 @@ def py_round(col: Column | str, digits: int) -> Column:
     error = (high * scale - p) + (c - high) * scale
     low = F.floor(p).cast("double")
     on_half = p - low == F.lit(0.5)
-    r = F.when(on_half & (error > 0), low + 1).when(on_half & (error < 0), low).otherwise(F.rint(p))
-    return r / scale
+    r = F.rint(p)
+    # no branches: what they share would be worked out in each of them
+    up, down = on_half & (error > 0) & (r == low), on_half & (error < 0) & (r != low)
+    return (r + up.cast("double") - down.cast("double")) / scale
 
 
 NUMBER = r"^[ \t\r\n\f]*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])[ \t\r\n\f]*$"
@@ -63,14 +65,17 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 def exact_sum(col: Column | str, scale: int = 9) -> Column:
     """Sum of doubles accumulated as DECIMAL(38, scale): independent of summation order,
-    so partitioning and task order never change the last bit."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+    so partitioning and task order never change the last bit.  NaN counts as missing, as
+    in pandas; infinite values make the sum infinite (NaN if there are both)."""
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    infinite = F.abs(c) == F.lit(float("inf"))
+    finite = F.sum(F.when(~infinite & ~F.isnan(c), c).cast(f"decimal(38,{scale})")).cast("double")
+    return F.coalesce(F.sum(F.when(infinite, c)), finite)
 
 
 def exact_mean(col: Column | str, scale: int = 9) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return exact_sum(c, scale) / F.count(c)
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    return exact_sum(c, scale) / F.count(F.when(~F.isnan(c), c))
 
 
 def count_cuts_below(col: Column, cuts: list[float], inclusive: bool = False) -> Column:

@@ -2,45 +2,33 @@
 
 A global window (no PARTITION BY) sends every row to one task.  These
 operators instead work on value counts (one row per distinct value, built with
-map-side partial aggregation, so a hot value costs one row), cut the value
-range into quantile buckets (cut points from ``approxQuantile``), run the
-running sum inside each bucket, and add the bucket offsets from a table of at
-most ``buckets`` rows per group.
+map-side partial aggregation, so a hot value costs one row), deal the counts out
+in ranges of the order (one ``repartitionByRange``, written once with each row's
+range), run the running sum inside each range, and add the offsets carried from
+the ranges before, a table of at most one row per range and group.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.session import shuffle_partitions
+from shoplens.session import materialize, shuffle_partitions
 
 
-def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    return max(1, buckets or shuffle_partitions(df.sparkSession))
+def in_ranges(df: DataFrame, order_cols: Sequence[str], out: str, tag: str, ranges: int | None = None) -> DataFrame:
+    """``df`` written in ranges of ``order_cols``, with the number of each row's range in ``out``.
 
-
-def with_quantile_bucket(df: DataFrame, col: str, nb: int, out: str) -> DataFrame:
-    """Add the bucket of ``col`` among ``nb`` quantile ranges.
-
-    The nb - 1 cut points (numbers, not data) come from one ``approxQuantile`` job
-    and are searched by halving (``Bucketizer``), so thousands of buckets neither
-    lengthen the generated code nor the plan.  Any cut points keep the order: v1 < v2
-    implies bucket(v1) <= bucket(v2), so approximation only affects balance, never
-    results.  NaN, the greatest double, takes the last bucket.
+    Numbers follow the order: of two rows the one that sorts first has no greater number,
+    and rows with equal ``order_cols`` have the same.  Spark draws the range bounds from a
+    sample of the rows that it deals out, so they only affect balance, never results;
+    the input is evaluated once, and what follows reads the written rows.
     """
-    cuts = [] if nb <= 1 else sorted({float(b) for b in df.approxQuantile(col, [i / nb for i in range(1, nb)], 1e-4)
-                                      if math.isfinite(b)})
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    low, high = float("-inf"), float("inf")
-    by = Bucketizer(splits=[low, *cuts, high], inputCol="_bv", outputCol="_bf", handleInvalid="keep")
-    return by.transform(df.withColumn("_bv", F.col(col).cast("double"))).withColumn(out, F.col("_bf").cast("int")).drop("_bv", "_bf")
+    n = max(1, ranges or shuffle_partitions(df.sparkSession))
+    return materialize(df.repartitionByRange(n, *order_cols).withColumn(out, F.spark_partition_id()), tag)
 
 
 def prefix_counts(vc: DataFrame, order_col: str, cnt_col: str = "cnt",
@@ -50,20 +38,18 @@ def prefix_counts(vc: DataFrame, order_col: str, cnt_col: str = "cnt",
     ``vc`` holds one row per (group, value) with its row count ``cnt_col``.
     """
     g = list(group_cols)
-    b = with_quantile_bucket(vc, order_col, _bucket_count(vc, buckets), "_bkt")
-    local = Window.partitionBy(*g, "_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_lb", F.coalesce(F.sum(cnt_col).over(local), F.lit(0)).cast("long"))
-    totals = b.groupBy(*g, "_bkt").agg(F.sum(cnt_col).cast("long").alias("_bt"))
-    running = Window.partitionBy(*g).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    b = in_ranges(vc, [*g, order_col], "_rng", "value-counts", buckets)
+    local = Window.partitionBy(*g, "_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy(*g, "_rng").agg(F.sum(cnt_col).cast("long").alias("_rt"))
+    running = Window.partitionBy(*g).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *g, "_bkt",
-        F.coalesce(F.sum("_bt").over(running), F.lit(0)).cast("long").alias("_off"),
-        F.sum("_bt").over(Window.partitionBy(*g)).cast("long").alias("total"),
+        *g, "_rng",
+        F.coalesce(F.sum("_rt").over(running), F.lit(0)).cast("long").alias("_off"),
+        F.sum("_rt").over(Window.partitionBy(*g)).cast("long").alias("total"),
     )
-    # offsets has at most buckets x groups rows; AQE broadcasts it when small.
-    return (b.join(offsets, [*g, "_bkt"])
-            .withColumn("before", F.col("_off") + F.col("_lb"))
-            .drop("_bkt", "_lb", "_off"))
+    # offsets has at most ranges + groups rows, as ranges run through the groups in order
+    b = b.withColumn("_before", F.coalesce(F.sum(cnt_col).over(local), F.lit(0)).cast("long"))
+    return (b.join(offsets, [*g, "_rng"]).withColumn("before", F.col("_off") + F.col("_before")).drop("_rng", "_before", "_off"))
 
 
 def pct_rank_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
@@ -76,13 +62,6 @@ def pct_rank_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()
     return p.select(*g, value_col, (avg_rank / F.col("total")).alias(out_col))
 
 
-def with_pct_rank(df: DataFrame, value_col: str, out_col: str, group_cols: Sequence[str] = (),
-                  buckets: int | None = None) -> DataFrame:
-    """Attach the average-tie percentile rank of ``value_col`` to every row."""
-    ranks = pct_rank_table(df, value_col, group_cols, out_col, buckets)
-    return df.join(ranks, [*group_cols, value_col], "left")
-
-
 def qcut_edges(n_labels: int) -> list[float]:
     """Inner edges of ``linspace(0, 1, n+1)``, exactly as numpy computes them."""
     return [float(x) for x in np.linspace(0, 1, n_labels + 1)[1:-1]]
@@ -118,29 +97,23 @@ def with_previous_time(df: DataFrame, key_col: str, time_col: str, order_cols: S
 
     Rows sharing (key, time) collapse to one row first (map-side), so only
     distinct times are ordered; tied rows after the first get a gap of 0.
-    Distinct times are cut into global time-quantile buckets: the lag runs
-    inside each (key, bucket), and the first time of a bucket takes the key's
-    latest time from earlier buckets (a table with at most one row per bucket
-    and key).  A key holding a third of all rows is spread over the buckets
-    its times fall in instead of one window partition.
+    Distinct times are dealt out in time ranges: the lag runs inside each
+    (key, range), and the first time of a range takes the key's latest time from
+    earlier ranges (a table with at most one row per range and key).  A key holding
+    a third of all rows is spread over the ranges its times fall in instead of one
+    window partition.
     """
     first = F.min(F.struct(*[F.col(c) for c in order_cols], F.col(row_id)))
     times = df.groupBy(key_col, time_col).agg(first.getField(row_id).alias("_first_rid"))
     times = times.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
-    # distinct (key, time) rows, written once: the quantile bounds, the in-bucket
-    # lag and the per-bucket maxima all read this table
-    from shoplens.session import materialize
-
-    times = materialize(times, "lag-times")
-    times = with_quantile_bucket(times, "_us", _bucket_count(times, buckets), "_tb")
+    times = in_ranges(times, ["_us"], "_tb", "lag-times", buckets)
     inner = Window.partitionBy(key_col, "_tb").orderBy("_us")
-    times = times.withColumn("_prev_in", F.lag("_us").over(inner))
     last = times.groupBy(key_col, "_tb").agg(F.max("_us").alias("_last"))
-    per_key = Window.partitionBy(key_col).orderBy("_tb")  # at most `nb` rows per key
-    last = last.select(key_col, "_tb", F.lag("_last").over(per_key).alias("_prev_bucket"))
-    times = times.join(last, [key_col, "_tb"]).select(
+    per_key = Window.partitionBy(key_col).orderBy("_tb")  # at most one row per range and key
+    last = last.select(key_col, "_tb", F.lag("_last").over(per_key).alias("_prev_range"))
+    times = times.withColumn("_prev_in", F.lag("_us").over(inner)).join(last, [key_col, "_tb"]).select(
         key_col, time_col, "_first_rid", "_us",
-        F.coalesce(F.col("_prev_in"), F.col("_prev_bucket")).alias("_prev_us"))
+        F.coalesce(F.col("_prev_in"), F.col("_prev_range")).alias("_prev_us"))
     out = df.join(times, [key_col, time_col], "left")
     gap_days = F.floor((F.col("_us") - F.col("_prev_us")) / F.lit(86_400_000_000)).cast("long")
     gap = F.when(F.col(row_id) != F.col("_first_rid"), F.lit(0)).otherwise(gap_days)
@@ -178,23 +151,20 @@ def with_lag(df: DataFrame, key_col: str, time_col: str, tie_cols: Sequence[str]
              out_col: str, buckets: int | None = None) -> DataFrame:
     """``lag(value_col)`` per key in order (time, *tie_cols) without one window per key.
 
-    Rows are cut into global time-quantile buckets; the lag runs inside each
-    (key, bucket), and the first row of a bucket takes the value of the key's
-    last row in its previous non-empty bucket (one row per key and bucket).
+    Rows are dealt out in ranges of that order; the lag runs inside each (key, range),
+    and the first row of a range takes the value of the key's last row in its previous
+    non-empty range (one row per key and range).  Rows of one key at one instant are
+    spread by their tie columns.
     """
     order = [time_col, *tie_cols]
     x = df.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
-    x = with_quantile_bucket(x, "_us", _bucket_count(x, buckets), "_tb")
+    x = in_ranges(x, ["_us", *tie_cols], "_tb", "lag-rows", buckets)
     inner = Window.partitionBy(key_col, "_tb").orderBy(*order)
-    x = x.withColumn("_lag_in", F.lag(value_col).over(inner)) \
-        .withColumn("_first", F.lag(F.lit(1)).over(inner).isNull())  # no earlier row in (key, bucket)
-    from shoplens.session import materialize
-
-    x = materialize(x, "lag-rows")  # the bucket maxima and the final join read the written rows
     last = x.groupBy(key_col, "_tb").agg(
         F.max(F.struct(*[F.col(c) for c in order], F.col(value_col).alias("_val"))).getField("_val").alias("_last"))
-    per_key = Window.partitionBy(key_col).orderBy("_tb")  # at most `nb` rows per key
-    last = last.select(key_col, "_tb", F.lag("_last").over(per_key).alias("_prev_bucket"))
-    x = x.join(last, [key_col, "_tb"])
-    return x.withColumn(out_col, F.when(F.col("_first"), F.col("_prev_bucket")).otherwise(F.col("_lag_in"))) \
-        .drop("_us", "_tb", "_lag_in", "_first", "_prev_bucket")
+    per_key = Window.partitionBy(key_col).orderBy("_tb")  # at most one row per range and key
+    last = last.select(key_col, "_tb", F.lag("_last").over(per_key).alias("_prev_range"))
+    x = x.withColumn("_lag_in", F.lag(value_col).over(inner)) \
+        .withColumn("_first", F.row_number().over(inner) == 1).join(last, [key_col, "_tb"])
+    return x.withColumn(out_col, F.when(F.col("_first"), F.col("_prev_range")).otherwise(F.col("_lag_in"))) \
+        .drop("_us", "_tb", "_lag_in", "_first", "_prev_range")

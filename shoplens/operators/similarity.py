@@ -1,20 +1,4 @@
-"""Exact cosine k-nearest-neighbour join and the similarity-weighted baseline score.
-
-Plan of ``knn_topk`` (exact, brute force like the reference, but distributed):
-
-* query rows get a block id ``qb`` and train rows a block id ``tb`` from a hash
-  of their ids; each query row is replicated once per train block and each
-  train row once per query block, so every (qb, tb) group holds at most
-  ``block_rows`` rows of each side;
-* ``cogroup(...).applyInPandas`` multiplies the two unit-normalised blocks
-  with numpy (Arrow batches) in query chunks and keeps only the local top-m
-  per query -- no pair ever becomes a row;
-* a per-query window keeps the global top-m out of at most m x (train blocks)
-  candidates.
-
-Shuffle volume is n_q x B_t + n_t x B_q rows plus m x B_t candidates per query;
-the work itself is n_q x n_t dot products, which is what an exact kNN costs.
-"""
+"""The similarity-weighted baseline score on exact cosine neighbours (:mod:`neighbours`)."""
 
 from __future__ import annotations
 
@@ -22,109 +6,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shoplens.functions.numeric import exact_sum
+from shoplens.operators.neighbours import knn_topk
 from shoplens.schema import ITEM_NUMERIC_FEATURES, PROFILE_FEATURES
-from shoplens.session import materialize, shuffle_partitions
-
-_QUERY_CHUNK = 2048
-
-
-def _unit(mat: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(mat, axis=1, keepdims=True)
-    norms[norms == 0] = 1.0
-    return mat / norms
-
-
-def _top_indices(sims: np.ndarray, m: int) -> np.ndarray:
-    """Column indices of the ``m`` largest values per row, by (value desc, index asc).
-
-    Linear selection of the m-th largest value, then a sort of only the
-    candidates at or above it; a row with ties at the boundary falls back to a
-    full stable sort so the smaller index always wins.
-    """
-    if m >= sims.shape[1]:
-        return np.argsort(-sims, axis=1, kind="stable")[:, :m]
-    kth = np.partition(sims, sims.shape[1] - m, axis=1)[:, sims.shape[1] - m]
-    mask = sims >= kth[:, None]
-    if (mask.sum(axis=1) == m).all():
-        idx = np.nonzero(mask)[1].reshape(-1, m)          # ascending index within each row
-        order = np.argsort(-np.take_along_axis(sims, idx, 1), axis=1, kind="stable")
-        return np.take_along_axis(idx, order, 1)
-    return np.argsort(-sims, axis=1, kind="stable")[:, :m]
-
-
-def _local_topk_fn(m: int, dims: int):
-    vcols = [f"_v{i}" for i in range(dims)]
-
-    def local(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
-        if qdf.empty or tdf.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype=object), "tid": pd.Series([], dtype=object),
-                                 "sim": pd.Series([], dtype="float64")})
-        tids = tdf["tid"].to_numpy()
-        torder = np.argsort(tids, kind="stable")  # tie-break: smaller train id first
-        tmat = _unit(tdf[vcols].to_numpy(dtype=np.float64, na_value=0.0)[torder])
-        tids = tids[torder]
-        mm = min(m, len(tids))
-        qids = qdf["qid"].to_numpy()
-        qall = qdf[vcols].to_numpy(dtype=np.float64, na_value=0.0)
-        out_q, out_t, out_s = [], [], []
-        for start in range(0, len(qids), _QUERY_CHUNK):
-            sims = _unit(qall[start:start + _QUERY_CHUNK]) @ tmat.T
-            idx = _top_indices(sims, mm)
-            rows = np.arange(sims.shape[0])[:, None]
-            out_q.append(np.repeat(qids[start:start + _QUERY_CHUNK], mm))
-            out_t.append(tids[idx].reshape(-1))
-            out_s.append(sims[rows, idx].reshape(-1))
-        return pd.DataFrame({"qid": np.concatenate(out_q), "tid": np.concatenate(out_t),
-                             "sim": np.concatenate(out_s)})
-    return local
-
-
-def knn_topk(query: DataFrame, train: DataFrame, m: int, query_id: str, train_id: str,
-             vec_col: str = "vec", block_rows: int = 8192, target_tasks: int | None = None) -> DataFrame:
-    """Top-``m`` train rows by cosine similarity for every query row.
-
-    Returns (query_id, train_id, sim, rank) with rank 1..m ordered by
-    (sim desc, train id asc).  Vectors are arrays of one length; a zero vector
-    has similarity 0 with everything.  Vectors travel to the Python workers as
-    scalar columns (column-wise Arrow batches, no per-row objects).
-    """
-    spark = query.sparkSession
-    stats = query.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d")).first()
-    n_q, dims = stats["n"], stats["d"]
-    n_t = train.count()
-    if n_q == 0 or n_t == 0:
-        raise ValueError("kNN needs non-empty query and train sides")
-    b_t = max(1, math.ceil(n_t / block_rows))
-    tasks = target_tasks or 2 * shuffle_partitions(spark)
-    # enough query blocks to keep ~`tasks` groups busy; each one replicates the train side once more
-    b_q = max(1, math.ceil(n_q / block_rows), min(math.ceil(tasks / b_t), math.ceil(n_q / 256)))
-    qtype = dict((f.name, f.dataType) for f in query.schema.fields)[query_id]
-    ttype = dict((f.name, f.dataType) for f in train.schema.fields)[train_id]
-
-    def scalars(c: str):
-        v = F.col(c).cast("array<double>")
-        return [v[i].alias(f"_v{i}") for i in range(dims)]
-
-    q = query.select(F.col(query_id).alias("qid"), *scalars(vec_col),
-                     F.pmod(F.xxhash64(query_id), F.lit(b_q)).cast("int").alias("qb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(b_t - 1))).alias("tb"))
-    t = train.select(F.col(train_id).alias("tid"), *scalars(vec_col),
-                     F.pmod(F.xxhash64(train_id), F.lit(b_t)).cast("int").alias("tb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(b_q - 1))).alias("qb"))
-    schema = T.StructType([T.StructField("qid", qtype), T.StructField("tid", ttype),
-                           T.StructField("sim", T.DoubleType())])
-    cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
-            .applyInPandas(_local_topk_fn(m, dims), schema))
-    w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("tid").asc())
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= m)
-            .select(F.col("qid").alias(query_id), F.col("tid").alias(train_id), "sim", "rank"))
+from shoplens.session import materialize
 
 
 def weighted_label_score(neighbours: DataFrame, query_id: str, label_col: str, k: int,

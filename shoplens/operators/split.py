@@ -8,13 +8,13 @@ a class holding most rows is still spread over many tasks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.ordered import prefix_counts
+from shoplens.session import materialize
 
 
 def hash_key(cols: Sequence[str], seed: int = 42) -> Column:
@@ -46,7 +46,7 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
     its windows run on that tiny table only.
     """
     keys = list(key_cols or df.columns)
-    x = df.withColumn("_h", hash_key(keys, seed)).withColumn("_mid", F.monotonically_increasing_id())
+    x = materialize(df.withColumn("_h", hash_key(keys, seed)), "split-rows").withColumn("_mid", F.monotonically_increasing_id())
     vc = x.groupBy(label_col, "_h").agg(F.count(F.lit(1)).alias("cnt"))
     pos = prefix_counts(vc, "_h", "cnt", [label_col]).select(label_col, "_h", "before", F.col("cnt").alias("_same"))
     counts = vc.groupBy(label_col).agg(F.sum("cnt").alias("cnt"))
@@ -62,12 +62,17 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
     q2 = _largest_remainder(q2, label_col, F.first("_n_train").over(Window.partitionBy(F.lit(1))), "train_q") \
         .join(q2.select(label_col, "test_q"), label_col)
     quotas = q2.select(label_col, "test_q", (F.col("cnt") - F.col("train_q")).alias("val_q"))
-    x = x.join(pos, [label_col, "_h"]).join(quotas, label_col)  # one row per class; AQE broadcasts it by measured size
     cut1, cut2, end = F.col("test_q"), F.col("test_q") + F.col("val_q"), F.col("before") + F.col("_same")
-    # rows of one key are split among the parts only where a quota ends between them
+    # rows of one key are split among the parts only where a quota ends between them: two keys a class at most
     across = ((F.col("before") < cut1) & (end > cut1)) | ((F.col("before") < cut2) & (end > cut2))
-    whole, shared = x.where(~across), x.where(across)
+    split = F.when(F.col("before") < cut1, F.lit("test")).when(F.col("before") < cut2, F.lit("validation")).otherwise(F.lit("train"))
     group = [label_col, "_h"]
+    # one row per class; AQE broadcasts it by measured size
+    pos = pos.join(quotas, label_col).withColumn("_across", across).withColumn("split", split)
+    x = x.join(pos, group)
+    if pos.where("_across").isEmpty():
+        return x.drop("_h", "_mid", "before", "_same", "test_q", "val_q", "_across")
+    whole, shared = x.where(~F.col("_across")), x.where("_across").drop("split")
     shared = shared.withColumn("_pid", F.shiftright("_mid", 33))
     # place among equal keys: rows are numbered per input partition, partitions by a prefix sum
     sizes = shared.groupBy(*group, "_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -76,8 +81,7 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_cols: Sequence
     number = F.row_number().over(Window.partitionBy(*group, "_pid").orderBy("_mid"))
     shared = shared.withColumn("_rn", number).join(sizes, [*group, "_pid"]) \
         .withColumn("before", F.col("before") + F.col("_off") + F.col("_rn") - 1).drop("_pid", "_rn", "_off")
-    split = F.when(F.col("before") < cut1, F.lit("test")).when(F.col("before") < cut2, F.lit("validation")).otherwise(F.lit("train"))
-    return whole.unionByName(shared).withColumn("split", split).drop("_h", "_mid", "before", "_same", "test_q", "val_q")
+    return whole.unionByName(shared.withColumn("split", split)).drop("_h", "_mid", "before", "_same", "test_q", "val_q", "_across")
 
 
 def create_splits(df: DataFrame, label_col: str = "label", key_cols: Sequence[str] | None = None,
@@ -86,8 +90,6 @@ def create_splits(df: DataFrame, label_col: str = "label", key_cols: Sequence[st
     once, so the three parts never recompute the split."""
     s = stratified_split(df, label_col, key_cols, seed)
     if materialize_as:
-        from shoplens.session import materialize
-
         s = materialize(s, materialize_as)
     return tuple(s.where(F.col("split") == name).drop("split") for name in ("train", "validation", "test"))
 
@@ -102,10 +104,3 @@ def hash_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42)
         raise ValueError("sample size must be positive")
     h = hash_key(key_cols, seed)
     return df.withColumn("_h", h).orderBy("_h").limit(int(n)).drop("_h")
-
-
-def quota_sizes(n: int, test_size: float = 0.2, val_size: float = 0.25) -> tuple[int, int, int]:
-    """(train, validation, test) sizes for n rows (documentation helper)."""
-    test = math.ceil(test_size * n)
-    val = math.ceil(val_size * (n - test))
-    return n - test - val, val, test

@@ -12,7 +12,7 @@ from shoplens.functions.numeric import parse_number, py_round
 from shoplens.functions.text import emotion_score
 from shoplens.operators import segments as seg
 from shoplens.operators.features import prepare_items, user_stats
-from shoplens.operators.ordered import pct_rank_table, with_quantile_bucket
+from shoplens.operators.ordered import in_ranges, pct_rank_table
 from shoplens.operators.segments import correlation_matrix
 from shoplens.operators.similarity import standardize
 from shoplens.operators.split import stratified_split
@@ -103,15 +103,39 @@ def test_moments_of_very_small_and_large_values(spark):
     assert c[("a", "b")] == pytest.approx(1.0) and math.isnan(c[("a", "c")])
 
 
-def test_thousands_of_buckets(spark):
+def test_ranges_follow_the_order_and_do_not_change_results(spark):
     df = spark.range(20_000).select((F.col("id") % 7001).cast("double").alias("v"))
-    start = time.perf_counter()
-    plan = with_quantile_bucket(df, "v", 5000, "b")
-    plan._jdf.queryExecution().executedPlan()
-    assert time.perf_counter() - start < 5
-    assert plan.agg(F.max("b")).first()[0] > 4000
-    a = {r.v: r.pct_rank for r in pct_rank_table(df, "v", buckets=5000).collect()}
-    assert a == {r.v: r.pct_rank for r in pct_rank_table(df, "v", buckets=3).collect()}
+    got = in_ranges(df.distinct(), ["v"], "b", "test-ranges", 200).orderBy("v").collect()
+    numbers = [r.b for r in got]
+    assert numbers == sorted(numbers) and len(set(numbers)) > 100
+    plans = {n: pct_rank_table(df, "v", buckets=n) for n in (500, 3, 1)}
+    found = {n: {r.v: r.pct_rank for r in p.collect()} for n, p in plans.items()}
+    assert found[500] == found[3] == found[1]
+    # the input is read while the counts are written, not again by the plan
+    assert "Range (" not in plans[3]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_infinite_and_missing_values_in_exact_sums(spark):
+    from shoplens.functions.numeric import exact_mean, exact_sum
+
+    inf, nan = float("inf"), float("nan")
+    cases = {"a": [1.0, 2.5, None, nan], "b": [1.0, inf], "c": [-inf, 3.0, nan], "d": [inf, -inf], "e": [None, nan], "f": [inf, None]}
+    df = spark.createDataFrame([(k, v) for k, x in cases.items() for v in x], "k string, v double")
+    got = {r.k: (r.s, r.m) for r in df.groupBy("k").agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).collect()}
+    assert got["a"] == (3.5, 1.75) and got["b"] == (inf, inf) and got["c"] == (-inf, -inf) and got["f"] == (inf, inf)
+    assert math.isnan(got["d"][0]) and got["e"] == (None, None)
+
+
+def test_token_count_and_rounding(spark):
+    from shoplens.functions.numeric import py_round
+    from shoplens.functions.text import token_count
+
+    texts = ["", " ", "a", " a  b ", "\u3000x\u2003y\x85z", "a\u00a0\n\tb c", "a\u200bb"]
+    got = [r.n for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(token_count(F.col("t")).alias("n")).collect()]
+    assert got == [max(1, len(t.split())) for t in texts]
+    values = [0.0005, 0.0015, 0.0025, 1.0005, 2.675, -0.0005, -1.0015, 0.125, 0.1235, 5.5, 1e9 + 0.0005, None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i").select(py_round("v", 3).alias("r")).collect()
+    assert [r.r for r in rows] == [None if v is None else round(v, 3) for v in values]
 
 
 def test_silhouette_and_davies_bouldin_use_every_point(spark):

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from shoplens.operators import evaluate as ev
-from shoplens.operators.split import quota_sizes, stratified_split
+from shoplens.operators.split import stratified_split
 
 _SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -35,5 +35,7 @@ def test_split_sizes_and_strata(spark, n, share):
     pos = max(1, min(n - 1, int(n * share)))
     df = spark.createDataFrame([(i, int(i < pos)) for i in range(n)], "id long, label int")
     counts = {r["split"]: r["count"] for r in stratified_split(df, "label", ["id"]).groupBy("split").count().collect()}
-    train, val, test = quota_sizes(n)
+    test = math.ceil(0.2 * n)
+    val = math.ceil(0.25 * (n - test))
+    train = n - test - val
     assert (counts.get("train", 0), counts.get("validation", 0), counts.get("test", 0)) == (train, val, test)
