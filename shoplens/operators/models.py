@@ -8,15 +8,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import OneHotEncoder, PCA, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.evaluate import multiclass_metrics
-from shoplens.operators.segments import assign_segment_names, davies_bouldin, segment_summary
+from shoplens.operators.kmeans import assign, best_of, fit_many
+from shoplens.operators.segments import assign_segment_names, davies_bouldin, segment_summary, silhouette
+from shoplens.operators.similarity import moments, standardize
 from shoplens.operators.split import stratified_split
 from shoplens.schema import ITEM_CATEGORICAL_FEATURES, PROFILE_FEATURES, RANKER_NUMERIC
 from shoplens.session import materialize, trace
@@ -32,52 +33,40 @@ class SegmentArtifacts:
 
 
 def fit_user_segments(profiles: DataFrame, k_values: Iterable[int] = range(2, 7), seed: int = 42,
-                      n_init: int = 20, max_iter: int = 300) -> SegmentArtifacts:
-    """KMeans for each k (best of ``n_init`` seeds by cost), silhouette (squared Euclidean,
-    linear in the users) / Davies-Bouldin on all users, keep the k with the strictly
-    largest silhouette, then PCA(2), segment names and a logistic-regression annotation check."""
+                      n_init: int = 20, max_iter: int = 300, euclidean: bool = False) -> SegmentArtifacts:
+    """KMeans for each k (best of ``n_init`` starts by cost, all moved together), silhouette /
+    Davies-Bouldin on all users, keep the k with the strictly largest silhouette, then PCA(2),
+    segment names and a logistic-regression annotation check.
+
+    The silhouette is the squared Euclidean one, linear in the users; ``euclidean`` takes
+    the Euclidean one, which compares all pairs of distinct users."""
     feats = list(PROFILE_FEATURES)
-    vec = VectorAssembler(inputCols=feats, outputCol="_raw").transform(
-        profiles.select("user_id", *[F.col(c).cast("double") for c in feats], *[c for c in profiles.columns
-                                                                              if c not in feats and c != "user_id"]))
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="features").fit(vec)
-    scaled = materialize(scaler.transform(vec).drop("_raw"), "segment-input")
-    rows, best = [], None
+    scaled = standardize(profiles, feats, keep=("user_id",), ddof=0).select("user_id", F.array(*feats).alias("fv"))
+    scaled = materialize(profiles.join(scaled, "user_id").withColumn("features", array_to_vector("fv")), "segment-input")
     ks = list(k_values)
-    # the k x n_init fits are independent jobs: submit them together so Spark can
-    # run them side by side (each fit is deterministic for its seed)
-    grid = [(k, i) for k in ks for i in range(n_init)]
-
-    def fit(job):
-        k, i = job
-        return KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                      predictionCol="cluster_id").fit(scaled)
-
-    with ThreadPoolExecutor(max_workers=min(len(grid), 8)) as pool:
-        fitted = dict(zip(grid, pool.map(fit, grid)))
+    fitted = best_of(fit_many(scaled, "fv", "user_id", ks, n_init, seed, max_iter))
     trace("segments: all fits done")
-    # lowest cost per k; the first seed wins a tie
-    models = {k: min((fitted[(k, i)] for i in range(n_init)), key=lambda m: m.summary.trainingCost) for k in ks}
 
     def score(k):
-        pred = models[k].transform(scaled).select(F.col("cluster_id").cast("int").alias("cluster_id"), "features")
-        s_val = ClusteringEvaluator(predictionCol="cluster_id", featuresCol="features", metricName="silhouette",
-                                    distanceMeasure="squaredEuclidean").evaluate(pred)
-        dbi = davies_bouldin(pred.withColumn("vec", vector_to_array("features")), "cluster_id", "vec").first()["davies_bouldin"]
-        return float(s_val), float(dbi)
-
-    with ThreadPoolExecutor(max_workers=min(len(ks), 8)) as pool:
+        pred = assign(scaled, "fv", fitted[k].centres).select("user_id", "cluster_id", "fv", "features")
+        if euclidean:
+            s_val = silhouette(pred, "user_id", "cluster_id", "fv").first()["silhouette"]
+        else:
+            s_val = ClusteringEvaluator(predictionCol="cluster_id", featuresCol="features", metricName="silhouette",
+                                        distanceMeasure="squaredEuclidean").evaluate(pred)
+        return float(s_val), float(davies_bouldin(pred, "cluster_id", "fv").first()["davies_bouldin"])
+
+    with ThreadPoolExecutor(max_workers=max(1, min(len(ks), 8))) as pool:
         scores = dict(zip(ks, pool.map(score, ks)))
     trace("segments: all k scored")
-    for k in ks:
-        s_val, dbi = scores[k]
-        rows.append((int(k), s_val, dbi))
-        if best is None or s_val > best[0]:   # strictly larger silhouette, in k order
-            best = (s_val, k, models[k])
-    if best is None:
-        raise ValueError("No cluster model was selected.")
-    _, best_k, model = best
-    clustered = model.transform(scaled)
+    rows = [(int(k), *scores[k]) for k in ks]
+    best_k = None
+    for k, s_val, _ in rows:
+        if best_k is None or s_val > scores[best_k][0]:   # strictly larger silhouette, in k order
+            best_k = k
+    if best_k is None:
+        raise ValueError("no k to choose from")
+    clustered = assign(scaled, "fv", fitted[best_k].centres)
     pca = PCA(k=2, inputCol="features", outputCol="_pca").fit(clustered)
     clustered = pca.transform(clustered).select(
         *profiles.columns, F.col("cluster_id").cast("int"),
@@ -102,14 +91,16 @@ def annotation_metrics(clustered: DataFrame, feats: Sequence[str], seed: int = 4
     train = s.where(F.col("split") != "test")
     test = s.where(F.col("split") == "test")
     n_train = train.count()
-    lr = Pipeline(stages=[
-        VectorAssembler(inputCols=list(feats), outputCol="_raw"),
-        StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_x"),
-        # maxIter 300 and tolerance 1e-4 as in the reference's solver settings
-        LogisticRegression(featuresCol="_x", labelCol="cluster_id", maxIter=300, tol=1e-4, family="multinomial",
-                           regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False),
-    ]).fit(train.withColumn("cluster_id", F.col("cluster_id").cast("double")))
-    pred = lr.transform(test).select(F.col("cluster_id").cast("int").alias("y"),
+    means, stds, _ = moments(train, list(feats), ddof=0)        # of the training rows, for both parts
+
+    def scaled(df: DataFrame) -> DataFrame:
+        x = F.array(*[(F.col(c).cast("double") - F.lit(means[c])) / F.lit(stds[c]) for c in feats])
+        return df.select(F.col("cluster_id").cast("double").alias("cluster_id"), array_to_vector(x).alias("_x"))
+
+    # maxIter 300 and tolerance 1e-4 as in the reference's solver settings
+    lr = LogisticRegression(featuresCol="_x", labelCol="cluster_id", maxIter=300, tol=1e-4, family="multinomial",
+                            regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False).fit(scaled(train))
+    pred = lr.transform(scaled(test)).select(F.col("cluster_id").cast("int").alias("y"),
                                      F.col("prediction").cast("int").alias("p"))
     m = multiclass_metrics(pred, "y", "p").first()
     return {"annotation_accuracy": float(m["accuracy"] or 0.0), "annotation_f1_macro": float(m["f1_macro"] or 0.0)}

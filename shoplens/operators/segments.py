@@ -2,8 +2,8 @@
 silhouette and Davies-Bouldin.
 
 Per-segment tables have one row per segment (k rows); windows over them are
-bounded by k.  Pairwise work (silhouette) runs in hash blocks with numpy
-inside ``cogroup.applyInPandas`` and emits per-(point, segment) sums only.
+bounded by k.  Pairwise work (silhouette) runs as matrix products in tasks that read
+the other points block by block, and gives sums per point and segment only.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from shoplens.schema import (
     SEGMENT_NAME_TOP_VALUE,
     SEGMENT_SUMMARY_COLUMNS,
 )
-from shoplens.session import shuffle_partitions
+from shoplens.session import ensure_checkpoint_dir, materialize, shuffle_partitions
 
 
 def _all() -> Window:
@@ -99,87 +101,171 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # Silhouette (Euclidean, exact) and Davies-Bouldin
 # --------------------------------------------------------------------------
 
-def _silhouette_local(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    if left.empty or right.empty:
-        return pd.DataFrame({"pid": pd.Series([], dtype="int64"), "lab": pd.Series([], dtype="int64"),
-                             "dsum": pd.Series([], dtype="float64"), "cnt": pd.Series([], dtype="int64")})
-    a = np.vstack(left["vec"].to_numpy()).astype(np.float64)
-    b = np.vstack(right["vec"].to_numpy()).astype(np.float64)
-    labs = right["lab"].to_numpy()
-    out = []
-    for start in range(0, len(a), 2048):
-        x = a[start:start + 2048]
-        d2 = (x * x).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (x @ b.T)
-        d = np.sqrt(np.maximum(d2, 0.0))
-        ids = left["pid"].to_numpy()[start:start + 2048]
-        for lab in np.unique(labs):
-            mask = labs == lab
-            out.append(pd.DataFrame({"pid": ids, "lab": lab, "dsum": d[:, mask].sum(1), "cnt": int(mask.sum())}))
-    return pd.concat(out, ignore_index=True)
+HOLD = 16384          # points that a task holds against all others at a time
+
+
+def _vectors(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return values.reshape(len(column), -1)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows; those near 0 from the differences themselves."""
+    scale = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    d2 = scale - 2.0 * (a @ b.T)
+    near = np.nonzero(d2 < 1e-9 * scale)
+    d2[near] = ((a[near[0]] - b[near[1]]) ** 2).sum(1)
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+def _label_sums(x: np.ndarray, block, labels: np.ndarray) -> np.ndarray:
+    """Per row of ``x`` and label, the distances to the block's points of that label, by their counts."""
+    own = np.searchsorted(labels, block.column("lab").to_numpy())
+    weight = np.zeros((len(own), len(labels)))
+    weight[np.arange(len(own)), own] = block.column("n").to_numpy()
+    y = _vectors(block.column("vec"))
+    out = np.zeros((len(x), len(labels)))
+    for at in range(0, len(x), 2048):
+        out[at:at + 2048] = _distances(x[at:at + 2048], y) @ weight
+    return out
+
+
+def open_files(uris: Sequence[str]):
+    """Parquet files of the shared folder, opened where this runs."""
+    from pyarrow import fs
+    from pyarrow import parquet as pq
+
+    for uri in uris:
+        system, path = fs.FileSystem.from_uri(uri)
+        with system.open_input_file(path) as f:
+            yield pq.ParquetFile(f)
+
+
+def _files_can_be_read(uris: Sequence[str]) -> bool:
+    try:
+        next(open_files(uris))
+    except Exception:       # whatever a file system that is not there raises
+        return False
+    return True
 
 
 def silhouette(points: DataFrame, id_col: str, label_col: str, vec_col: str, block_rows: int = 4096) -> DataFrame:
     """Mean silhouette (Euclidean) over all points, exact.
 
-    Every point is compared with every other, block against block, so the work is
-    quadratic; for very many points take ``ClusteringEvaluator`` (its squared form is
-    linear) or pass a ``hash_sample``.  Singleton segments score 0.  One row: silhouette.
+    Points with equal vector and label are one with a count, and written.  Each task
+    holds some of these and reads all others block by block from the written files, so
+    no point is sent anywhere; memory is bounded by ``HOLD`` and ``block_rows``.  Where
+    tasks cannot open the folder's files themselves, blocks meet through a shuffle.  The
+    work is quadratic in the distinct points; for very many take ``ClusteringEvaluator``
+    (its squared form is linear) or pass a ``hash_sample``.  Singleton segments score 0.
+    Rows with a null label or vector take no part.  One row: silhouette.
     """
-    p = points.select(F.col(id_col).cast("long").alias("pid"), F.col(label_col).cast("long").alias("lab"),
-                      F.col(vec_col).cast("array<double>").alias("vec"))
-    n = p.count()
-    nb = max(1, math.ceil(n / block_rows))
-    nq = max(nb, min(shuffle_partitions(p.sparkSession), math.ceil(n / 64)))
-    left = p.select("pid", "vec", F.pmod(F.xxhash64("pid"), F.lit(nq)).alias("qb"),
-                    F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("tb"))
-    right = p.select("lab", "vec", F.pmod(F.xxhash64("pid"), F.lit(nb)).alias("tb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb"))
-    schema = "pid long, lab long, dsum double, cnt long"
-    sums = (left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb"))
-            .applyInPandas(_silhouette_local, schema)
-            .groupBy("pid", "lab").agg(exact_sum("dsum", 12).alias("dsum"), F.sum("cnt").alias("cnt")))
-    own = p.select("pid", F.col("lab").alias("own"))
-    j = sums.join(own, "pid")
-    per = j.groupBy("pid").agg(
-        F.max(F.when(F.col("lab") == F.col("own"), F.col("cnt"))).alias("n_own"),
-        F.max(F.when(F.col("lab") == F.col("own"), F.col("dsum"))).alias("d_own"),
-        F.min(F.when(F.col("lab") != F.col("own"), F.col("dsum") / F.col("cnt"))).alias("b"))
-    a = F.col("d_own") / (F.col("n_own") - 1)
-    s = F.when((F.col("n_own") <= 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
-        F.when(F.greatest(a, F.col("b")) == 0, F.lit(0.0))
-        .otherwise((F.col("b") - a) / F.greatest(a, F.col("b"))))
-    return per.agg(exact_mean(s, 15).alias("silhouette"))
-
-
-def _dist(a: Column, b: Column) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v))
-
-
-def centroids(points: DataFrame, label_col: str, vec_col: str) -> DataFrame:
-    """Mean vector per segment (exact per-dimension sums)."""
-    e = points.select(F.col(label_col).alias("lab"), F.posexplode(F.col(vec_col).cast("array<double>")))
-    m = e.groupBy("lab", "pos").agg(exact_mean("col", 15).alias("m"))
-    return m.groupBy("lab").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_c")) \
-        .select("lab", F.transform("_c", lambda s: s["m"]).alias("centroid"))
+    p = points.select(F.col(label_col).cast("long").alias("lab"), F.col(vec_col).cast("array<double>").alias("vec")) \
+        .where("lab is not null and vec is not null").groupBy("lab", "vec").agg(F.count(F.lit(1)).alias("n"))
+    p = materialize(p, "silhouette-points")
+    totals = sorted((r["lab"], r["n"]) for r in p.groupBy("lab").agg(F.sum("n").alias("n")).collect())      # one row per segment
+    labels, counts = np.array([t[0] for t in totals], np.int64), np.array([t[1] for t in totals], np.float64)
+    uris = p.inputFiles()
+    if not uris or not _files_can_be_read(uris):
+        return _mean_silhouette(_sums_by_shuffle(p, labels, block_rows), labels, counts)
+
+    def against_all(batches):
+        def sums(held):
+            x = np.concatenate([_vectors(b.column("vec")) for b in held])
+            total = np.zeros((len(x), len(labels)))
+            for f in open_files(uris):
+                for block in f.iter_batches(batch_size=block_rows, columns=["lab", "vec", "n"]):
+                    total += _label_sums(x, block, labels)
+            return pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([b.column(c) for b in held]) for c in ("lab", "n")]
+                + [pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(labels), pa.array(total.ravel()))], names=["lab", "n", "sums"])
+
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= HOLD:
+                yield sums(held)
+                held, rows = [], 0
+        if rows:
+            yield sums(held)
+
+    return _mean_silhouette(p.mapInArrow(against_all, "lab long, n long, sums array<double>"), labels, counts)
+
+
+def _sums_by_shuffle(p: DataFrame, labels: np.ndarray, block_rows: int) -> DataFrame:
+    """The sums of distances (lab, n, sums) where blocks have to be sent to each other."""
+    rows = max(1, p.count())
+    nb = math.ceil(rows / block_rows)
+    nq = max(nb, min(shuffle_partitions(p.sparkSession), math.ceil(rows / 64)))
+    keyed = p.withColumn("pid", F.xxhash64("lab", "vec"))
+    left = keyed.withColumn("qb", F.pmod("pid", F.lit(nq))).withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    right = keyed.withColumn("tb", F.pmod("pid", F.lit(nb)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<bigint>"))) \
+        .select(*[F.col(c).alias(c) for c in ("qb", "tb", "lab", "vec", "n")])
+
+    def meet(a: "pa.Table", b: "pa.Table") -> "pa.Table":
+        x = _vectors(a.column("vec")) if a.num_rows else np.zeros((0, 1))
+        total = _label_sums(x, b.combine_chunks(), labels) if a.num_rows and b.num_rows else np.zeros((len(x), len(labels)))
+        return pa.Table.from_arrays(
+            [a.column("pid"), a.column("lab"), a.column("n"),
+             pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(labels), pa.array(total.ravel()))], names=["pid", "lab", "n", "sums"])
+
+    met = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInArrow(meet, "pid long, lab long, n long, sums array<double>")
+    return met.groupBy("pid", "lab", "n").agg(*[F.sum(F.col("sums")[k]).alias(f"x{k}") for k in range(len(labels))]) \
+        .select("lab", "n", F.array(*[f"x{k}" for k in range(len(labels))]).alias("sums"))
+
+
+def _mean_silhouette(sums: DataFrame, labels: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """The mean over points of (b - a) / max(a, b) from each point's sums of distances."""
+    def score(batches):
+        for batch in batches:
+            total = _vectors(batch.column("sums"))
+            own = np.searchsorted(labels, batch.column("lab").to_numpy())
+            rows = np.arange(len(own))
+            a = total[rows, own] / np.maximum(counts[own] - 1, 1)
+            other = total / counts[None, :]
+            other[rows, own] = np.inf
+            b = other.min(1) if len(labels) > 1 else np.full(len(own), np.inf)
+            most = np.maximum(a, b)
+            ok = (counts[own] > 1) & np.isfinite(b) & (most > 0)
+            s = np.where(ok, (np.where(ok, b, 0) - a) / np.where(ok, most, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([pa.array(s), batch.column("n")], names=["s", "n"])
+
+    found = sums.mapInArrow(score, "s double, n long")
+    return found.agg((exact_sum(F.col("s") * F.col("n"), 12) / F.sum("n")).alias("silhouette"))
 
 
 def davies_bouldin(points: DataFrame, label_col: str, vec_col: str) -> DataFrame:
-    """Davies-Bouldin index over all points; one row.  The k centroids are compared as
-    an array that each centroid row carries."""
-    c = centroids(points, label_col, vec_col)
-    pts = points.select(F.col(label_col).alias("lab"), F.col(vec_col).cast("array<double>").alias("vec"))
-    scatter = pts.join(F.broadcast(c), "lab").groupBy("lab").agg(
-        exact_mean(_dist(F.col("vec"), F.col("centroid")), 15).alias("s"))
-    cs = c.join(scatter, "lab")
-    # the k centroid rows travel as one array value and are exploded into segment
-    # pairs; distances run on plain columns
-    allc = cs.select(F.collect_list(F.struct(F.col("lab").alias("olab"), F.col("centroid").alias("oc"),
-                                             F.col("s").alias("os"))).alias("all")).scalar()
-    pairs = cs.withColumn("_all", allc).select("lab", "centroid", "s", F.explode("_all").alias("o")) \
-        .where(F.col("o.olab") != F.col("lab"))
-    dist = _dist(F.col("centroid"), F.col("o.oc"))
-    ratio = F.when(dist == 0, F.lit(0.0)).otherwise((F.col("s") + F.col("o.os")) / dist)
-    worst_per = pairs.groupBy("lab").agg(F.max(ratio).alias("worst"))
-    cs = cs.join(worst_per, "lab", "left")
-    worst = F.col("worst")
-    return cs.select(F.coalesce(worst, F.lit(0.0)).alias("r")).agg(exact_mean("r", 15).alias("davies_bouldin"))
+    """Davies-Bouldin index over all points; one row.
+
+    Centroids come from one vector aggregate, the distances to them from one Arrow pass
+    that sends a sum per batch and segment; the tables of segments are small.  Rows with
+    a null label or vector take no part; a single segment has index 0.
+    """
+    pts = points.select(F.col(label_col).cast("string").alias("lab"), F.col(vec_col).cast("array<double>").alias("vec")) \
+        .where("lab is not null and vec is not null")
+    ensure_checkpoint_dir(points.sparkSession)
+    got = pts.groupBy("lab").agg(Summarizer.mean(array_to_vector("vec")).alias("m")).collect()       # one row per segment
+    names = sorted(r["lab"] for r in got)
+    centre = {r["lab"]: r["m"].toArray() for r in got}
+    centres = np.array([centre[n] for n in names])
+    place = {n: i for i, n in enumerate(names)}
+
+    def spread(batches):
+        for batch in batches:
+            own = np.array([place[n] for n in batch.column("lab").to_pylist()], np.int64)
+            if len(own):
+                d = np.sqrt(((_vectors(batch.column("vec")) - centres[own]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(own, d, len(names))),
+                                                  pa.array(np.bincount(own, minlength=len(names)))], names=["lab", "d", "n"])
+
+    scatter = {r["lab"]: r["s"] for r in pts.mapInArrow(spread, "lab string, d double, n long").groupBy("lab")
+               .agg((exact_sum("d", 12) / F.sum("n")).alias("s")).collect()}
+    worst = []
+    for i, a in enumerate(names):
+        apart = np.sqrt(((centres - centres[i]) ** 2).sum(1))
+        ratios = [(scatter[a] + scatter[b]) / apart[j] if apart[j] else 0.0 for j, b in enumerate(names) if j != i]
+        worst.append(max(ratios, default=0.0))
+    value = float(np.mean(worst)) if worst else None
+    return points.sparkSession.createDataFrame([(value,)], "davies_bouldin double")

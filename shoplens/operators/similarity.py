@@ -84,10 +84,10 @@ def design_column(name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def moments(df: DataFrame, cols: Sequence[str], *more: Column):
-    """Mean and sample standard deviation (0 and undefined become 1) per design column, in
+def moments(df: DataFrame, cols: Sequence[str], *more: Column, ddof: int = 1):
+    """Mean and standard deviation (0 and undefined become 1) per design column, in
     one pass of built-in aggregates, whose running form has no range limit; and the row of ``more``."""
-    aggs = [f(design_column(c)).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", F.stddev_samp))]
+    aggs = [f(design_column(c)).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", F.stddev_samp if ddof else F.stddev_pop))]
     row = df.agg(*aggs, *more).first()
     means = {c: float("nan") if row[f"m{i}"] is None else float(row[f"m{i}"]) for i, c in enumerate(cols)}
     stds = {c: float(row[f"s{i}"] or 0.0) for i, c in enumerate(cols)}
@@ -116,7 +116,7 @@ def one_hot(df: DataFrame, categories: Sequence[str], col: str = "category") ->
     return df.select("*", *[(F.col(col) == F.lit(c)).cast("double").alias(f"{col}_{c}") for c in categories])
 
 
-def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """z-score columns with sample std (ddof=1); a zero std divides by 1."""
-    means, stds, _ = moments(df, cols)
+def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), ddof: int = 1) -> DataFrame:
+    """z-score columns with the sample (``ddof`` 1) or population (0) deviation; a zero one divides by 1."""
+    means, stds, _ = moments(df, cols, ddof=ddof)
     return df.select(*keep, *[((design_column(c) - F.lit(means[c])) / F.lit(stds[c])).alias(c) for c in cols])
