@@ -14,9 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from shoplens.operators.neighbours import DIGITS, top_indices
+from shoplens.operators.segments import files_can_be_read, open_files, vectors
+from shoplens.operators.similarity import SimilarityModel
 from shoplens.schema import CANDIDATE_ITEM_COLUMNS, CANDIDATE_USER_COLUMNS
 
 
@@ -93,3 +100,91 @@ def top_n_per_group(df: DataFrame, group: str, n: int, desc: Sequence[str], asc:
     order = [F.col(c).desc() for c in desc] + [F.col(c).asc() for c in asc]
     w = Window.partitionBy(group).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def baseline_top_n(users: DataFrame, pool: DataFrame, model: SimilarityModel, history: DataFrame, n: int = 5,
+                   digits: int = 6, block_rows: int = 4096) -> DataFrame:
+    """(user_id, item_id, baseline_score): the ``n`` best unseen pool items of every user.
+
+    Users x pool pairs never become rows.  The pool, bounded by its own size, goes into
+    every task as a matrix; a task holds some users and reads the written training
+    vectors block by block.  A pair's vector is the user's part beside the item's, so its
+    products with a block are the user's products plus the item's, and those of the items
+    serve all users.  Each (user, item) keeps its nearest ``top_k + 2`` rows so far, from
+    which the score comes as in :meth:`SimilarityModel.predict`; only the best ``n`` of a
+    user leave the task.  Scores are rounded to ``digits`` and ties go to the smaller item
+    id.  Where tasks cannot open the training files themselves, pairs are scored as rows.
+    """
+    uris = model.train.inputFiles()
+    if not uris or not files_can_be_read(uris):
+        pairs = drop_seen(build_candidate_pairs(users, pool, None), history)
+        scored = model.predict(pairs).withColumn("baseline_score", F.round("baseline_score", digits))
+        return top_n_per_group(scored, "user_id", n, ["baseline_score"], ["item_id"]).select("user_id", "item_id", "baseline_score")
+    items = pool.select("item_id", model.block(model.item_columns, model.item_weight).alias("v")).orderBy("item_id").collect()
+    ids, wide = [r["item_id"] for r in items], len(model.user_columns)
+    right = np.array([[x or 0.0 for x in r["v"]] for r in items], np.float64).reshape(len(ids), -1)
+    seen = (history.select("user_id", "item_id").join(pool.select("item_id"), "item_id", "left_semi")
+            .groupBy("user_id").agg(F.collect_set("item_id").alias("seen")))                  # at most the pool
+    asked = users.select("user_id", model.block(model.user_columns, model.user_weight).alias("v")).dropDuplicates(["user_id"]) \
+        .join(seen, "user_id", "left")
+    keep, top_k, mean = model.top_k + 2, model.top_k, model.global_mean
+    schema = T.StructType([T.StructField(c, k) for c, k in (("user_id", users.schema["user_id"].dataType),
+                                                           ("item_id", pool.schema["item_id"].dataType), ("baseline_score", T.DoubleType()))])
+
+    def nearest(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Similarities and labels (user, item, rank) of the nearest training rows."""
+        shape = (len(left), len(ids), 0)
+        sims, tids, labels = np.zeros(shape), np.zeros(shape, object), np.zeros(shape)
+        length = np.sqrt((left * left).sum(1)[:, None] + (right * right).sum(1)[None, :])
+        length[length == 0] = 1.0
+        for f in open_files(uris):
+            for block in f.iter_batches(batch_size=block_rows, columns=["_tid", "label", "vec"]):
+                t = vectors(block.column("vec"))
+                own = np.sqrt((t * t).sum(1))
+                own[own == 0] = 1.0
+                of_items = right @ t[:, wide:].T
+                of_users = left @ t[:, :wide].T
+                tid = np.array(block.column("_tid").to_pylist(), object)
+                label = block.column("label").to_numpy()
+                by = np.argsort(tid, kind="stable")
+                for u in range(len(left)):
+                    if not u:
+                        more = [np.zeros((len(left), len(ids), min(keep, len(tid)))) for _ in range(2)]
+                        which = np.zeros((len(left), len(ids), min(keep, len(tid))), object)
+                    found = np.round((of_items + of_users[u][None, :]) / length[u][:, None] / own[None, :], DIGITS)[:, by]
+                    at = top_indices(found, keep)
+                    more[0][u], more[1][u], which[u] = np.take_along_axis(found, at, 1), label[by][at], tid[by][at]
+                sims, labels = np.concatenate((sims, more[0]), 2), np.concatenate((labels, more[1]), 2)
+                tids = np.concatenate((tids, which), 2)
+                order = np.argsort(tids, axis=2, kind="stable")
+                sims, labels, tids = (np.take_along_axis(x, order, 2) for x in (sims, labels, tids))
+                order = np.argsort(-sims, axis=2, kind="stable")[:, :, :keep]
+                sims, labels, tids = (np.take_along_axis(x, order, 2) for x in (sims, labels, tids))
+        return sims[:, :, :top_k], labels[:, :, :top_k]
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, _USERS):
+                batch = whole.slice(at, _USERS)
+                sims, labels = nearest(vectors(batch.column("v")))
+                weight = np.maximum(sims, 0.0)
+                total = weight.sum(2)
+                score = np.where(total > 0, (weight * labels).sum(2) / np.where(total > 0, total, 1), mean).round(digits)
+                out: list[list] = [[], [], []]
+                for u, (user, known) in enumerate(zip(batch.column("user_id").to_pylist(), batch.column("seen").to_pylist())):
+                    gone = set(known or ())
+                    best = [i for i in np.argsort(-score[u], kind="stable").tolist() if ids[i] not in gone][:n]
+                    out[0] += [user] * len(best)
+                    out[1] += [ids[i] for i in best]
+                    out[2] += score[u][best].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], batch.schema.field("user_id").type), pa.array(out[1]).cast(kind), pa.array(out[2], pa.float64())],
+                    names=schema.names)
+
+    kind = to_arrow_type(schema["item_id"].dataType)
+    if not ids:
+        return users.sparkSession.createDataFrame([], schema)
+    return asked.mapInArrow(run, schema)
+
+
+_USERS = 16       # held at a time, with the pool's nearest rows

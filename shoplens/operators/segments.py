@@ -104,7 +104,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 HOLD = 16384          # points that a task holds against all others at a time
 
 
-def _vectors(column) -> np.ndarray:
+def vectors(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
     return values.reshape(len(column), -1)
@@ -124,7 +124,7 @@ def _label_sums(x: np.ndarray, block, labels: np.ndarray) -> np.ndarray:
     own = np.searchsorted(labels, block.column("lab").to_numpy())
     weight = np.zeros((len(own), len(labels)))
     weight[np.arange(len(own)), own] = block.column("n").to_numpy()
-    y = _vectors(block.column("vec"))
+    y = vectors(block.column("vec"))
     out = np.zeros((len(x), len(labels)))
     for at in range(0, len(x), 2048):
         out[at:at + 2048] = _distances(x[at:at + 2048], y) @ weight
@@ -142,7 +142,7 @@ def open_files(uris: Sequence[str]):
             yield pq.ParquetFile(f)
 
 
-def _files_can_be_read(uris: Sequence[str]) -> bool:
+def files_can_be_read(uris: Sequence[str]) -> bool:
     try:
         next(open_files(uris))
     except Exception:       # whatever a file system that is not there raises
@@ -167,12 +167,12 @@ def silhouette(points: DataFrame, id_col: str, label_col: str, vec_col: str, blo
     totals = sorted((r["lab"], r["n"]) for r in p.groupBy("lab").agg(F.sum("n").alias("n")).collect())      # one row per segment
     labels, counts = np.array([t[0] for t in totals], np.int64), np.array([t[1] for t in totals], np.float64)
     uris = p.inputFiles()
-    if not uris or not _files_can_be_read(uris):
+    if not uris or not files_can_be_read(uris):
         return _mean_silhouette(_sums_by_shuffle(p, labels, block_rows), labels, counts)
 
     def against_all(batches):
         def sums(held):
-            x = np.concatenate([_vectors(b.column("vec")) for b in held])
+            x = np.concatenate([vectors(b.column("vec")) for b in held])
             total = np.zeros((len(x), len(labels)))
             for f in open_files(uris):
                 for block in f.iter_batches(batch_size=block_rows, columns=["lab", "vec", "n"]):
@@ -205,7 +205,7 @@ def _sums_by_shuffle(p: DataFrame, labels: np.ndarray, block_rows: int) -> DataF
         .select(*[F.col(c).alias(c) for c in ("qb", "tb", "lab", "vec", "n")])
 
     def meet(a: "pa.Table", b: "pa.Table") -> "pa.Table":
-        x = _vectors(a.column("vec")) if a.num_rows else np.zeros((0, 1))
+        x = vectors(a.column("vec")) if a.num_rows else np.zeros((0, 1))
         total = _label_sums(x, b.combine_chunks(), labels) if a.num_rows and b.num_rows else np.zeros((len(x), len(labels)))
         return pa.Table.from_arrays(
             [a.column("pid"), a.column("lab"), a.column("n"),
@@ -220,7 +220,7 @@ def _mean_silhouette(sums: DataFrame, labels: np.ndarray, counts: np.ndarray) ->
     """The mean over points of (b - a) / max(a, b) from each point's sums of distances."""
     def score(batches):
         for batch in batches:
-            total = _vectors(batch.column("sums"))
+            total = vectors(batch.column("sums"))
             own = np.searchsorted(labels, batch.column("lab").to_numpy())
             rows = np.arange(len(own))
             a = total[rows, own] / np.maximum(counts[own] - 1, 1)
@@ -256,7 +256,7 @@ def davies_bouldin(points: DataFrame, label_col: str, vec_col: str) -> DataFrame
         for batch in batches:
             own = np.array([place[n] for n in batch.column("lab").to_pylist()], np.int64)
             if len(own):
-                d = np.sqrt(((_vectors(batch.column("vec")) - centres[own]) ** 2).sum(1))
+                d = np.sqrt(((vectors(batch.column("vec")) - centres[own]) ** 2).sum(1))
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.bincount(own, d, len(names))),
                                                   pa.array(np.bincount(own, minlength=len(names)))], names=["lab", "d", "n"])
 

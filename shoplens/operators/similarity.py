@@ -49,15 +49,17 @@ class SimilarityModel:
     global_mean: float
     categories: list[str] = field(default_factory=list)
 
+    @property
+    def item_weight(self) -> float:
+        return 1.0 - self.user_weight
+
+    def block(self, columns: Sequence[str], weight: float) -> Column:
+        """One side's z-scores, scaled by the root of its weight."""
+        root = math.sqrt(max(weight, 1e-8))
+        return F.array(*[((design_column(c) - F.lit(self.means[c])) / F.lit(self.stds[c]) * F.lit(root)).cast("double") for c in columns])
+
     def vectors(self, df: DataFrame) -> Column:
-        uw = math.sqrt(max(self.user_weight, 1e-8))
-        iw = math.sqrt(max(1.0 - self.user_weight, 1e-8))
-        parts = []
-        for c in self.user_columns:
-            parts.append((design_column(c) - F.lit(self.means[c])) / F.lit(self.stds[c]) * F.lit(uw))
-        for c in self.item_columns:
-            parts.append((design_column(c) - F.lit(self.means[c])) / F.lit(self.stds[c]) * F.lit(iw))
-        return F.array(*[p.cast("double") for p in parts])
+        return F.concat(self.block(self.user_columns, self.user_weight), self.block(self.item_columns, self.item_weight))
 
     def predict(self, df: DataFrame, exclude_self: bool = False, out_col: str = "baseline_score",
                 block_rows: int = 8192) -> DataFrame:
@@ -94,8 +96,11 @@ def moments(df: DataFrame, cols: Sequence[str], *more: Column, ddof: int = 1):
     return means, {c: 1.0 if sd == 0 or math.isnan(sd) else sd for c, sd in stds.items()}, row
 
 
-def fit_similarity(train: DataFrame, top_k: int = 15, user_weight: float = 0.6) -> SimilarityModel:
-    """Fit the baseline: one-hot on train categories, z-score (ddof=1, std 0 -> 1)."""
+def fit_similarity(train: DataFrame, top_k: int = 15, user_weight: float = 0.6, id_col: str | None = None) -> SimilarityModel:
+    """Fit the baseline: one-hot on train categories, z-score (ddof=1, std 0 -> 1).
+
+    Equally similar rows rank by ``id_col``, a column of unique values; without one by
+    the order in which they are read."""
     # the names become columns of the design matrix; they come from the fixed category list
     cats = sorted(r[0] for r in train.select(F.col("category").cast("string")).distinct().collect())
     item_cols = list(ITEM_NUMERIC_FEATURES) + [f"category_{c}" for c in cats]
@@ -104,7 +109,7 @@ def fit_similarity(train: DataFrame, top_k: int = 15, user_weight: float = 0.6)
     means, stds, rest = moments(train, cols, F.avg(F.col("label").cast("double")).alias("gm"))
     model = SimilarityModel(top_k, user_weight, user_cols, item_cols, means, stds, train, float(rest["gm"]),
                             cats)
-    t = train.withColumn("_tid", F.monotonically_increasing_id())
+    t = train.withColumn("_tid", F.col(id_col) if id_col else F.monotonically_increasing_id())
     t = t.select("_tid", F.col("label").cast("double").alias("label"), "user_id", "item_id",
                  model.vectors(t).alias("vec"))
     model.train = materialize(t, "knn-train")

@@ -438,9 +438,10 @@ def q_hash_sample(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 from shoplens.operators import similarity as sim  # noqa: E402
-from shoplens.schema import PROFILE_FEATURES  # noqa: E402
+from shoplens.schema import (  # noqa: E402
+    CATEGORY_MAP, ITEM_NUMERIC_FEATURES, PROFILE_FEATURES, TITLE_CATEGORY_DEFAULT, TITLE_CATEGORY_RULES)
 
-ALL_CATEGORIES = ["服饰", "鞋靴", "珠宝配饰", "腕表", "运动户外", "美妆个护", "母婴用品", "家居杂货", "其他"]
+ALL_CATEGORIES = list(dict.fromkeys([*CATEGORY_MAP.values(), *(name for _, name in TITLE_CATEGORY_RULES), TITLE_CATEGORY_DEFAULT]))
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,19 +494,19 @@ def q_knn_score_exclude_self(spark, sf_dir):
     return _knn_score(spark, sf_dir, True)
 
 
-def _std_sql() -> str:
+def _std_sql(ddof: int = 1) -> str:
     means = ", ".join(f"{O.xmean(f'CAST({c} AS DOUBLE)')} AS m_{c}" for c in PROFILE_FEATURES)
     sqs = ", ".join(f"CAST(sum(CAST((CAST({c} AS DOUBLE) - m_{c}) ^ 2 AS DECIMAL(38,12))) AS DOUBLE) AS s_{c}"
                     for c in PROFILE_FEATURES)
-    sds = ", ".join(f"CASE WHEN sqrt(s_{c} / (n - 1)) = 0 OR isnan(sqrt(s_{c} / (n - 1))) THEN 1.0::DOUBLE "
-                    f"ELSE sqrt(s_{c} / (n - 1)) END AS sd_{c}" for c in PROFILE_FEATURES)
+    sds = ", ".join(f"CASE WHEN sqrt(s_{c} / (n - {ddof})) = 0 OR isnan(sqrt(s_{c} / (n - {ddof}))) THEN 1.0::DOUBLE "
+                    f"ELSE sqrt(s_{c} / (n - {ddof})) END AS sd_{c}" for c in PROFILE_FEATURES)
     zs = ", ".join(f"{O.rnd(f'(CAST({c} AS DOUBLE) - m_{c}) / sd_{c}', 6)} AS {c}" for c in PROFILE_FEATURES)
     return O.with_features(
         f", m AS (SELECT {means} FROM features), sq AS (SELECT {sqs}, CAST(count(*) AS DOUBLE) AS n FROM features, m), "
         f"sd AS (SELECT {sds} FROM sq) SELECT user_id, item_id, {zs} FROM features, m, sd")
 
 
-@register("standardize", "A8, M8, M2", None)
+@register("standardize", "A8", None)
 def q_standardize(spark, sf_dir):
     z = sim.standardize(feature_table(spark, sf_dir), PROFILE_FEATURES, ["user_id", "item_id"])
     return z.select("user_id", "item_id", *[r6(c).alias(c) for c in PROFILE_FEATURES])
@@ -514,6 +515,12 @@ def q_standardize(spark, sf_dir):
 REGISTRY["standardize"].sql = _std_sql().replace("\n, m AS", ", m AS", 1)
 
 
+@register("standardize_population", "M2", _std_sql(0).replace("\n, m AS", ", m AS", 1))
+def q_standardize_population(spark, sf_dir):
+    z = sim.standardize(feature_table(spark, sf_dir), PROFILE_FEATURES, ["user_id", "item_id"], ddof=0)
+    return z.select("user_id", "item_id", *[r6(c).alias(c) for c in PROFILE_FEATURES])
+
+
 @register("one_hot", "M7", O.with_items(
     "SELECT item_id, category, " + ", ".join(
         f"CAST(category = {O.q(c)} AS DOUBLE) AS \"category_{c}\"" for c in ALL_CATEGORIES) + " FROM meta"))
@@ -643,9 +650,8 @@ def q_corr_matrix(spark, sf_dir):
 REGISTRY["corr_matrix"].sql = _corr_sql()
 
 
-@register("silhouette", "A17, O7", (
-    "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings "
-    "ORDER BY CAST(('0x' || substr(md5(CAST(vec_id AS VARCHAR) || chr(1) || '42'), 1, 15)) AS BIGINT) LIMIT 5000), "
+@register("silhouette", "A17", (
+    "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings), "
     "d AS (SELECT a.vec_id AS i, a.label AS own, b.label AS lab, CAST(sum(CAST(list_distance(a.v, b.v) AS DECIMAL(38,12))) AS DOUBLE) AS dsum, "
     "count(*) AS cnt FROM e a, e b GROUP BY a.vec_id, a.label, b.label), "
     "per AS (SELECT i, max(CASE WHEN lab = own THEN cnt END) AS n_own, max(CASE WHEN lab = own THEN dsum END) AS d_own, "
@@ -733,6 +739,75 @@ def q_unseen_candidates(spark, sf_dir):
     return c.select("user_id", "item_id", "cluster_id")
 
 
+_FIRST_ROWS = f", {_USER_FIRST}"
+_ITEM_DESIGN = [*ITEM_NUMERIC_FEATURES, *[f"category_{c}" for c in ALL_CATEGORIES]]
+
+
+def _design_sql(c: str) -> str:
+    return f"CAST(category = {O.q(c[len('category_'):])} AS DOUBLE)" if c.startswith("category_") else f"CAST({c} AS DOUBLE)"
+
+
+def _design_stats(cols: list[str]) -> str:
+    """Means and sample deviations (0 becomes 1) over the first row of every user."""
+    return ", ".join(f"avg({_design_sql(c)}) AS \"m_{c}\", CASE WHEN coalesce(stddev_samp({_design_sql(c)}), 0) = 0 THEN 1.0::DOUBLE "
+                     f"ELSE stddev_samp({_design_sql(c)}) END AS \"s_{c}\", max({_design_sql(c)}) AS \"x_{c}\"" for c in cols)
+
+
+def _design_vector(cols: list[str], weight: float) -> str:
+    # a category that no training row has is no column of the design
+    value = [f"({_design_sql(c)} - \"m_{c}\") / \"s_{c}\" * sqrt({weight}::DOUBLE)" for c in cols]
+    return "[" + ", ".join(f"CASE WHEN \"x_{c}\" = 0 THEN 0.0::DOUBLE ELSE {v} END" if c.startswith("category_") else v
+                           for c, v in zip(cols, value)) + "]"
+
+
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best row of every user, all columns."""
+    f = feature_table(spark, sf_dir)
+    return rec.keep_first_sorted(f, "user_id", ["label", "purchase_intent", "total_spend"], rec.USER_TIE)
+
+
+def baseline_model(spark: SparkSession, sf_dir: str) -> sim.SimilarityModel:
+    """The similarity baseline fitted on one row of every user."""
+    return sim.fit_similarity(_cached(spark, sf_dir, "first-rows", lambda: first_rows(spark, sf_dir)), top_k=15, user_weight=0.6, id_col="user_id")
+
+
+@register("design_blocks", "M8", O.with_features(
+    f"{_FIRST_ROWS}, m AS (SELECT {_design_stats(PROFILE_FEATURES + _ITEM_DESIGN)} FROM ufirst), "
+    f"v AS (SELECT user_id, {_design_vector(PROFILE_FEATURES, 0.6)} AS u, {_design_vector(_ITEM_DESIGN, 0.4)} AS i FROM ufirst, m) "
+    f"SELECT user_id, {O.rnd('list_sum(list_transform(u, lambda x: x * x))', 4)} AS user_part, "
+    f"{O.rnd('list_sum(list_transform(i, lambda x: x * x))', 4)} AS item_part, {O.rnd('u[1]', 4)} AS first_user, "
+    f"{O.rnd('i[1]', 4)} AS first_item FROM v"))
+def q_design_blocks(spark, sf_dir):
+    """Both blocks of the design matrix: squared lengths, which the block weights scale, and first columns."""
+    m = baseline_model(spark, sf_dir)
+    v = first_rows(spark, sf_dir).select("user_id", m.block(m.user_columns, m.user_weight).alias("u"),
+                                         m.block(m.item_columns, m.item_weight).alias("i"))
+    square = lambda c: F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x)
+    r4 = lambda c: np_round(c, 4)
+    return v.select("user_id", r4(square("u")).alias("user_part"), r4(square("i")).alias("item_part"),
+                    r4(F.col("u")[0]).alias("first_user"), r4(F.col("i")[0]).alias("first_item"))
+
+
+@register("recommendations_baseline", "M15, O2, O3, M14, J7, M10, W5", O.with_features(
+    f"{_FIRST_ROWS}, {_ITEM_FIRST}, {_TOP_USERS}, {_POOL}, "
+    f"m AS (SELECT {_design_stats(PROFILE_FEATURES + _ITEM_DESIGN)} FROM ufirst), g AS (SELECT avg(CAST(label AS DOUBLE)) AS gm FROM ufirst), "
+    f"t AS (SELECT user_id AS tid, CAST(label AS DOUBLE) AS y, list_concat({_design_vector(PROFILE_FEATURES, 0.6)}, "
+    f"{_design_vector(_ITEM_DESIGN, 0.4)}) AS v FROM ufirst, m), "
+    f"uv AS (SELECT user_id, {_design_vector(PROFILE_FEATURES, 0.6)} AS u FROM tu, m), "
+    f"iv AS (SELECT item_id, {_design_vector(_ITEM_DESIGN, 0.4)} AS i FROM ip, m), "
+    "c AS (SELECT user_id, item_id, list_concat(u, i) AS v FROM uv, iv WHERE NOT EXISTS "
+    "(SELECT 1 FROM features f WHERE f.user_id = uv.user_id AND f.item_id = iv.item_id)), "
+    "n AS (SELECT user_id, item_id, y, sim FROM (SELECT c.user_id, c.item_id, tid, y, list_cosine_similarity(c.v, t.v) AS sim FROM c, t) "
+    "QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY round(sim, 12) DESC, tid) <= 15), "
+    "s AS (SELECT user_id, item_id, sum(greatest(sim, 0.0::DOUBLE) * y) AS wl, sum(greatest(sim, 0.0::DOUBLE)) AS w FROM n GROUP BY ALL), "
+    f"r AS (SELECT user_id, item_id, {O.rnd('CASE WHEN w > 0 THEN wl / w ELSE gm END', 6)} AS baseline_score FROM s, g) "
+    "SELECT user_id, item_id, baseline_score FROM r "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY baseline_score DESC, item_id) <= 5"))
+def q_recommendations_baseline(spark, sf_dir):
+    f = feature_table(spark, sf_dir)
+    return rec.baseline_top_n(rec.top_users(f, 3), rec.item_pool(f, 400), baseline_model(spark, sf_dir), f, 5)
+
+
 @register("topn_per_user", "W5", O.with_features(
     " SELECT user_id, item_id, purchase_intent, social_influence FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
     "ORDER BY purchase_intent DESC, social_influence DESC, item_id, last_click_gap) AS rn FROM features) WHERE rn <= 5"))

@@ -80,7 +80,7 @@ def plain_silhouette(x, lab):
 @pytest.mark.parametrize("files", [True, False])
 def test_silhouette_of_equal_points_and_singletons(spark, monkeypatch, files):
     if not files:
-        monkeypatch.setattr(seg, "_files_can_be_read", lambda uris: False)
+        monkeypatch.setattr(seg, "files_can_be_read", lambda uris: False)
     monkeypatch.setattr(seg, "HOLD", 16)
     rng = np.random.default_rng(2)
     x = rng.normal(size=(90, 3))
