@@ -41,7 +41,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from shoplens.llm.common import block_groups, ensure_checkpoint_dir
+from shoplens.llm.common import block_groups, ensure_checkpoint_dir, lean
 
 # The pattern of the public byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -398,6 +398,7 @@ def tokenize(docs: DataFrame, path: str, text_col: str = "text", digest_only: bo
                  T.StructField("bpe_text", T.StringType())]
     keep_names = [f.name for f in kept]
 
+    @lean
     def run(batches):
         bpe = load(path)
         try:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from shoplens import session
 from shoplens.session import materialize
 
-__all__ = ["GOLDEN", "ascii_lower", "batches_bytes", "block_groups", "ensure_checkpoint_dir", "in_groups", "materialize", "mix64", "read",
+__all__ = ["GOLDEN", "ascii_lower", "batches_bytes", "block_groups", "ensure_checkpoint_dir", "in_groups", "lean", "materialize", "mix64", "read",
            "release", "shingle_hashes", "stage", "word_hashes", "words"]
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -129,6 +131,27 @@ def block_groups(texts: list[str], blocks, size: int):
         yield group
 
 
+def lean(run):
+    """A function over Arrow batches that gives the memory it has freed back when its task ends.
+
+    Python workers are kept from task to task and stage to stage; allocators keep what they
+    have freed, which would add up over the stages of a pipeline.
+    """
+    @functools.wraps(run)
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return inner
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are already written.
 

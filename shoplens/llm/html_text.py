@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import ensure_checkpoint_dir
+from shoplens.llm.common import ensure_checkpoint_dir, lean
 
 SAMPLE = 2_000        # labelled pages that weights come from, at most
 FEATURES = 400        # weights, at most
@@ -280,6 +280,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
     if cut is None:
         return {}
 
+    @lean
     def count(batches):
         for batch in batches:
             total: dict[str, list[int]] = {}
@@ -306,6 +307,7 @@ def main_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html
     fields = [f for f in pages.schema.fields if f.name not in (html_col, out)]
     names = [f.name for f in fields]
 
+    @lean
     def run(batches):
         for batch in batches:
             texts = [extract(p, weights) for p in batch.column("__html").to_pylist()]

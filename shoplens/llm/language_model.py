@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, mix64, release, stage
+from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, lean, mix64, release, stage
 
 CLASSES, FREQUENT = 128, 47
 HEAD = 1 << 18              # words whose counts are broadcast, at most
@@ -262,6 +262,7 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.coalesce(train_if, F.lit(False)).alias("train"))
 
+    @lean
     def count_words(batches):
         for batch in batches:
             h, k = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
@@ -301,6 +302,7 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
     np.subtract.at(class_v, k[top], 1)
     norms = np.log10(np.maximum(class_n, 0) + HALF * (np.maximum(class_v, 0) + 1))
 
+    @lean
     def count_triples(batches):
         total = np.zeros(CLASSES ** 3, np.int64)
         for batch in batches:
@@ -316,6 +318,7 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
     triples = stage(base.filter("train").select("text").mapInArrow(count_triples, "code int, n long")
                     .groupBy("code").agg(F.sum("n").alias("n")), "lm-triples")
 
+    @lean
     def fit(batches):
         code, n = [np.empty(0, np.int64)], [np.empty(0, np.float64)]
         for batch in batches:
@@ -331,6 +334,7 @@ def score(docs: DataFrame, train_if, id_col: str = "doc_id", text_col: str = "te
     del head
     shared = spark.sparkContext.broadcast(Scorer(model, h, c, frequent, norms))     # bounded by HEAD and CLASSES
 
+    @lean
     def score_texts(batches):
         scorer = shared.value
         for batch in batches:

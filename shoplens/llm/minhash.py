@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import SHINGLE, batches_bytes, ensure_checkpoint_dir, mix64, shingle_hashes, stage, words
+from shoplens.llm.common import SHINGLE, batches_bytes, ensure_checkpoint_dir, lean, mix64, shingle_hashes, stage, words
 from shoplens.llm.components import connected_components
 
 BINS, ROWS = 128, 4
@@ -97,6 +97,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()),
                            T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
+    @lean
     def run(batches):
         for batch in batches:
             ns, digests, bands = [], [], []
@@ -116,6 +117,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> D
     """(id, s): the shingle sets, as bytes, of the texts of some ids."""
     import pyarrow as pa
 
+    @lean
     def sets(batches):
         for batch in batches:
             found = [shingle_hashes(words(t), SHINGLE).tobytes() for t in batches_bytes(batch.column("text"))]
@@ -130,6 +132,7 @@ def _confirm(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= threshold * union."""
     import pyarrow as pa
 
+    @lean
     def compare(batches):
         for batch in batches:
             keep = []

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, in_groups, mix64, stage
+from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, in_groups, lean, mix64, stage
 
 EXPONENT, LEAST = 4, 6
 TILE = 1 << 13
@@ -228,6 +228,7 @@ def _scan(docs: DataFrame, text_col: str, others: list[str], digest: bool) -> Da
                         T.StructField("found", T._parse_datatype_string(_FRAGMENT)),
                         T.StructField("octave", T.IntegerType()), T.StructField("at", T.LongType()), T.StructField("ids", T.BinaryType())])
 
+    @lean
     def run(batches):
         for batch in batches:
             raws = batches_bytes(batch.column("text"))
@@ -263,6 +264,7 @@ def _far_fragments(rows: DataFrame) -> DataFrame:
     """(key, period, s, t) of the tiles that are rows, dealt over all tasks."""
     import pyarrow as pa
 
+    @lean
     def run(batches):
         for batch in batches:
             for key, k, at, raw in zip(*(batch.column(n).to_pylist() for n in ("key", "octave", "at", "ids"))):
@@ -324,6 +326,7 @@ def collapse_runs(docs: DataFrame, text_col: str = "text", digest: bool = False)
     out = T.StructType([T.StructField("rest", rows.schema["rest"].dataType), *[T.StructField(n, T.LongType()) for n in ADDED],
                         *[T.StructField(n, T.StringType()) for n in (added[len(ADDED):] if digest else ["text"])]])
 
+    @lean
     def finish(batches):
         for batch in batches:
             columns: list[list] = [[] for _ in out.names[1:]]

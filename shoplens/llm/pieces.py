@@ -44,7 +44,7 @@ from operator import add
 import numpy as np
 from pyspark.sql import DataFrame
 
-from shoplens.llm.common import GROUP_BYTES, block_groups, ensure_checkpoint_dir
+from shoplens.llm.common import GROUP_BYTES, block_groups, ensure_checkpoint_dir, lean
 
 SPACE = "▁"
 TABLE = 120_000           # chunks of one generation of the table
@@ -424,6 +424,7 @@ def tokenize(docs: DataFrame, path: str, text_col: str = "text", digest_only: bo
         return row == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                        hashlib.sha256(model.decode(ids).encode()).hexdigest())
 
+    @lean
     def run(batches):
         pieces = load(path)
         try:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import batches_bytes, ensure_checkpoint_dir, stage, word_hashes
+from shoplens.llm.common import batches_bytes, ensure_checkpoint_dir, lean, stage, word_hashes
 from shoplens.llm.toxicity import _CLASS, labelled
 
 SAMPLE = 6_000         # labelled rows that are learned from, at most
@@ -110,6 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     picked = stage(labelled(labels, label_col, id_col, SAMPLE), "quality-labels")       # at most SAMPLE small rows
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").select("y", "h", "text")
 
+    @lean
     def vectors(batches):
         for batch in batches:
             found = [vector(raw) for raw in batches_bytes(batch.column("text"))]
@@ -136,6 +137,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     fields = [f for f in docs.schema.fields if f.name != "quality_score"]
     names = [f.name for f in fields]
 
+    @lean
     def run(batches):
         for batch in batches:
             raws, got = batches_bytes(batch.column(text_col)), [np.empty(0)]

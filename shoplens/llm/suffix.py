@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, in_groups, mix64, stage
+from shoplens.llm.common import GOLDEN, batches_bytes, ensure_checkpoint_dir, in_groups, lean, mix64, stage
 
 LENGTH = 200
 GRAM = 56
@@ -309,6 +309,7 @@ def _expand(parts: DataFrame, length: int) -> DataFrame:
             [pa.array(anchor[full]), pa.array(seg[full]), pa.array([runs[k] for k in full], pa.list_(pa.int32()))],
             names=["anchor", "seg", "runs"])
 
+    @lean
     def run(batches):
         rows: list = []
         size, last = 0, None
@@ -338,6 +339,7 @@ def _count_windows(parts: DataFrame, length: int) -> DataFrame:
                 h = xxhash.xxh3_128_intdigest(part[a:a + length])
                 yield anchor, place, part, often, a, h
 
+    @lean
     def count(batches):
         for batch in batches:
             seen: dict = {}
@@ -352,6 +354,7 @@ def _count_windows(parts: DataFrame, length: int) -> DataFrame:
                 [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int32()), pa.array(h1),
                  pa.array(h2), pa.array(list(seen.values()), pa.int64())], names=["anchor", "shift", "h1", "h2", "n"])
 
+    @lean
     def spread(batches):
         for batch in batches:
             out: list = []
@@ -413,6 +416,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # that repeat id and text share one (or a rare clash of hashes), and sets below hold each
     # fact of a key once.  All is matched by content, so a shared key changes no result.
 
+    @lean
     def count_anchors(batches):
         for batch in batches:
             a, s = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -435,6 +439,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      .filter("n > 1").select("anchor", (~F.col("mixed") & (F.col("lo") == F.col("hi"))).alias("single")),
                      "suffix-anchors")
 
+    @lean
     def list_anchors(batches):
         for batch in batches:
             own = batch.column("key").to_numpy(zero_copy_only=False)
@@ -454,6 +459,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  .join(repeated, "anchor"), "suffix-held")
     wanted = stage(held.filter("not single").groupBy("key").agg(F.collect_set("seg").alias("segs")), "suffix-wanted")
 
+    @lean
     def cut_segments(batches):
         for batch in batches:
             seen: dict = {}
@@ -490,6 +496,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out = [T.StructField("rest", base.schema["rest"].dataType), *([] if digest else [T.StructField("text", T.StringType())]),
            *[T.StructField(n, T.LongType()) for n in added[:3]], *([T.StructField(added[3], T.StringType())] if digest else [])]
 
+    @lean
     def cut_spans(batches):
         for batch in batches:
             columns: list[list] = [[] for _ in out[1:]]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.llm.common import batches_bytes, ensure_checkpoint_dir, stage
+from shoplens.llm.common import batches_bytes, ensure_checkpoint_dir, lean, stage
 
 SAMPLE = 20_000        # labelled rows that are learned from, at most
 STEMS = (4, 5)         # bytes
@@ -218,6 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     rows = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id")
                  .groupBy("text").agg((F.avg("y") >= 0.5).cast("double").alias("y"), F.min("h").alias("h")), "toxicity-sample")
 
+    @lean
     def entries(batches):
         for batch in batches:
             seen: dict = {}
@@ -252,6 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     halves = {0: lexicon_of((1,)), 1: lexicon_of((0,))}
     lexicons = lexicon_of((0, 1))
 
+    @lean
     def dense(batches):
         for batch in batches:
             x = [features(raw, *halves[h % 2]) for raw, h in zip(batches_bytes(batch.column("text")), batch.column("h").to_pylist())]
@@ -280,6 +282,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     fields = [f for f in docs.schema.fields if f.name != "toxicity"]
     names = [f.name for f in fields]
 
+    @lean
     def run(batches):
         for batch in batches:
             raws, got = batches_bytes(batch.column(text_col)), []
