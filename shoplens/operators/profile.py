@@ -32,12 +32,17 @@ def build_user_profile_table(df: DataFrame) -> DataFrame:
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:
-    """Single-row overview: rows, columns, distinct users / items, positive rate, means."""
+    """Single-row overview: rows, columns, distinct users / items, positive rate, means.
+
+    Each distinct count is an aggregate of its own, so rows are not expanded for them."""
+    def distinct(c: str):
+        return df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1))).scalar()
+
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(df.columns)).cast("long").alias("columns"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("item_id").alias("unique_items"),
+        distinct("user_id").alias("unique_users"),
+        distinct("item_id").alias("unique_items"),
         F.avg("label").alias("positive_rate"),
         exact_mean("price").alias("avg_price"),
         F.avg("purchase_freq").alias("avg_purchase_freq"),

@@ -122,7 +122,7 @@ def baseline_top_n(users: DataFrame, pool: DataFrame, model: SimilarityModel, hi
         return top_n_per_group(scored, "user_id", n, ["baseline_score"], ["item_id"]).select("user_id", "item_id", "baseline_score")
     items = pool.select("item_id", model.block(model.item_columns, model.item_weight).alias("v")).orderBy("item_id").collect()
     ids, wide = [r["item_id"] for r in items], len(model.user_columns)
-    right = np.array([[x or 0.0 for x in r["v"]] for r in items], np.float64).reshape(len(ids), -1)
+    right = np.array([[x or 0.0 for x in r["v"]] for r in items], np.float64).reshape(len(ids), len(model.item_columns))
     seen = (history.select("user_id", "item_id").join(pool.select("item_id"), "item_id", "left_semi")
             .groupBy("user_id").agg(F.collect_set("item_id").alias("seen")))                  # at most the pool
     asked = users.select("user_id", model.block(model.user_columns, model.user_weight).alias("v")).dropDuplicates(["user_id"]) \

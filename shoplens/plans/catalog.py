@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shoplens.functions.numeric import np_round, parse_number, py_round
 from shoplens.functions.text import emotion_score, keyword_flag, stable_binary, stable_bucket
 from shoplens.operators import features as feat
-from shoplens.operators.ordered import pct_rank_table
+from shoplens.operators.ordered import pct_rank_table, with_previous_time
 from shoplens.operators.profile import build_user_profile_table, dataset_overview
 from shoplens.plans import oracle as O
 from shoplens.schema import FEMALE_WORDS, MALE_WORDS
@@ -221,6 +221,15 @@ def q_last_click_gap(spark, sf_dir):
     return feature_table(spark, sf_dir).select("user_id", "item_id", "label", "last_click_gap")
 
 
+@register("event_gaps", "W3", (
+    "SELECT event_id, user_id, CAST(floor((epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_type, event_id)) "
+    "/ 86400000000.0) AS DOUBLE) AS gap_days FROM events ORDER BY event_id"))
+def q_event_gaps(spark, sf_dir):
+    """Days since a user's previous event."""
+    e = dt.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return with_previous_time(e, "user_id", "ts", ["event_type"], "event_id").select("event_id", "user_id", "gap_days").orderBy("event_id")
+
+
 @register("freshness", "F24, A7", O.with_features(
     "SELECT user_id, item_id, freshness_score, interaction_rate, purchase_intent FROM features"))
 def q_freshness(spark, sf_dir):

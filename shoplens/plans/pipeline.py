@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +20,21 @@ from shoplens.operators import evaluate as ev
 from shoplens.operators.models import RandomForestRanker, SegmentArtifacts, fit_user_segments
 from shoplens.operators.profile import build_user_profile_table, dataset_overview
 from shoplens.operators.recommend import build_candidate_pairs, drop_seen, item_pool, top_n_per_group, top_users
+from shoplens.operators.relabel import display_round, relabel_values, rename_columns
 from shoplens.operators.similarity import SimilarityModel, fit_similarity
 from shoplens.operators.split import create_splits
 from shoplens.schema import (
+    AUTO_LABEL_LABELS,
     BASELINE_MODEL_NAME,
     BASELINE_TARGET_ACCURACY,
+    CLUSTER_COLUMN_LABELS,
+    FEATURE_LABELS,
+    K_METRIC_LABELS,
+    METRIC_LABELS,
     OPTIMIZED_MODEL_NAME,
     OPTIMIZED_TARGET_F1,
+    OVERVIEW_LABELS,
+    RECOMMENDATION_COLUMN_LABELS,
 )
 from shoplens.session import materialize, trace
 from shoplens.sources.files import load_structured_dataset, write_metrics, write_table
@@ -57,6 +66,13 @@ def recommendation_demo(base: DataFrame, baseline: SimilarityModel, ranker: Rand
     return best.select("user_id", "item_id", "category", "price", "baseline_score", "rf_score")
 
 
+def with_segments(df: DataFrame, segments: DataFrame) -> DataFrame:
+    """``df`` with its users' segments; a user without one is an error, not a lost row."""
+    missing = F.raise_error(F.concat(F.lit("no segment for user "), F.coalesce("user_id", F.lit("null"))))
+    named = df.join(segments, "user_id", "left")
+    return named.withColumn("cluster_id", F.when(F.col("cluster_id").isNull(), missing).otherwise(F.col("cluster_id")))
+
+
 def run(features: DataFrame, seed: int = 42, n_init: int = 20) -> PipelineResult:
     spark = features.sparkSession
     df = features
@@ -66,11 +82,7 @@ def run(features: DataFrame, seed: int = 42, n_init: int = 20) -> PipelineResult
     seg = fit_user_segments(profiles, seed=seed, n_init=n_init)
     trace("pipeline: segments fitted")
     cmap = seg.clustered.select("user_id", "cluster_id", "cluster_name")
-    # every user must have a segment: a row without one is an error, not a lost row
-    named = df.join(cmap, "user_id", "left")
-    segment = F.when(F.col("cluster_id").isNull(), F.raise_error(F.concat(F.lit("no segment for user "), F.coalesce("user_id", F.lit("null"))))) \
-        .otherwise(F.col("cluster_id"))
-    df = materialize(named.withColumn("cluster_id", segment), "clustered-rows")
+    df = materialize(with_segments(df, cmap), "clustered-rows")
     train, val, test = create_splits(df, "label", None, seed, materialize_as="split")
 
     trace("pipeline: split")
@@ -104,18 +116,24 @@ def run(features: DataFrame, seed: int = 42, n_init: int = 20) -> PipelineResult
 
 def metrics_table(overview: DataFrame, seg: SegmentArtifacts, b_thr: float, f_thr: float,
                   b_met: dict[str, float], f_met: dict[str, float]) -> DataFrame:
-    """Long table (section, model, metric, value) of everything the run reports."""
+    """Long table (section, model, metric, value, text) of everything the run reports; what
+    is no number, such as how a threshold is chosen, stands in ``text``."""
     spark = overview.sparkSession
     ov = overview.first().asDict()
-    rows = [("overview", "", k, float(v)) for k, v in ov.items()]
-    rows += [("auto_label", "", k, float(v)) for k, v in seg.auto_label_metrics.items()]
-    rows += [("threshold", BASELINE_MODEL_NAME, "threshold", float(b_thr)),
-             ("threshold", OPTIMIZED_MODEL_NAME, "threshold", float(f_thr)),
-             ("target", BASELINE_MODEL_NAME, "accuracy", BASELINE_TARGET_ACCURACY),
-             ("target", OPTIMIZED_MODEL_NAME, "f1", OPTIMIZED_TARGET_F1)]
-    rows += [("model", BASELINE_MODEL_NAME, k, float(v)) for k, v in b_met.items()]
-    rows += [("model", OPTIMIZED_MODEL_NAME, k, float(v)) for k, v in f_met.items()]
-    return spark.createDataFrame(rows, "section string, model string, metric string, value double")
+    rows = [("overview", "", k, float(v), None) for k, v in ov.items()]
+    rows += [("auto_label", "", k, float(v), None) for k, v in seg.auto_label_metrics.items()]
+    rows += [("threshold", BASELINE_MODEL_NAME, "threshold", float(b_thr), None),
+             ("threshold", OPTIMIZED_MODEL_NAME, "threshold", float(f_thr), None),
+             ("target", BASELINE_MODEL_NAME, "accuracy", BASELINE_TARGET_ACCURACY, None),
+             ("target", OPTIMIZED_MODEL_NAME, "f1", OPTIMIZED_TARGET_F1, None)]
+    rows += [("strategy", model, "threshold", None, how) for model, how in STRATEGIES.items()]
+    rows += [("model", BASELINE_MODEL_NAME, k, float(v), None) for k, v in b_met.items()]
+    rows += [("model", OPTIMIZED_MODEL_NAME, k, float(v), None) for k, v in f_met.items()]
+    return spark.createDataFrame(rows, "section string, model string, metric string, value double, text string")
+
+
+STRATEGIES = {BASELINE_MODEL_NAME: f"validation accuracy nearest {BASELINE_TARGET_ACCURACY:.2f}",
+              OPTIMIZED_MODEL_NAME: f"validation F1 nearest {OPTIMIZED_TARGET_F1:.2f}"}
 
 
 def top_importances(importance: DataFrame, n: int = 12) -> DataFrame:
@@ -126,10 +144,10 @@ def top_importances(importance: DataFrame, n: int = 12) -> DataFrame:
 def run_info(result: PipelineResult, input_path: str, rows: int, seconds: float) -> DataFrame:
     """Long table (section, name, value) of what the run was: input, size, choices, strategies."""
     overview = result.overview
-    items = [("run", "input", input_path), ("run", "rows", str(rows)), ("run", "seconds", f"{seconds:.1f}"),
+    items = [("run", "date", datetime.now(timezone.utc).isoformat(timespec="seconds")),
+             ("run", "input", input_path), ("run", "rows", str(rows)), ("run", "seconds", f"{seconds:.1f}"),
              ("run", "best_k", f"{result.segments.auto_label_metrics['best_k']:.0f}"),
-             ("strategy", BASELINE_MODEL_NAME, f"validation accuracy nearest {BASELINE_TARGET_ACCURACY:.2f}"),
-             ("strategy", OPTIMIZED_MODEL_NAME, f"validation F1 nearest {OPTIMIZED_TARGET_F1:.2f}"),
+             *[("strategy", model, how) for model, how in STRATEGIES.items()],
              ("threshold", BASELINE_MODEL_NAME, f"{result.baseline_threshold:.4f}"),
              ("threshold", OPTIMIZED_MODEL_NAME, f"{result.forest_threshold:.4f}")]
     for name, found in ((BASELINE_MODEL_NAME, result.baseline_metrics), (OPTIMIZED_MODEL_NAME, result.forest_metrics)):
@@ -139,15 +157,22 @@ def run_info(result: PipelineResult, input_path: str, rows: int, seconds: float)
 
 def run_files(spark, input_path: str, output_path: str, seed: int = 42, n_init: int = 20) -> PipelineResult:
     """The run from a structured CSV to files: the metrics, the run log and the k metrics,
-    segment summary, recommendation and importance tables, one folder each."""
+    segment summary, recommendation and importance tables, one folder each; and the same
+    tables for display, with four places and display names."""
     start = time.time()
     features = materialize(load_structured_dataset(spark, input_path), "pipeline-input")
     result = run(features, seed, n_init)
     base = output_path.rstrip("/")
     tables = {"k_metrics": result.segments.k_metrics, "segment_summary": result.segments.summary,
               "recommendations": result.recommendations, "feature_importance": result.importance}
+    names = {"k_metrics": K_METRIC_LABELS, "segment_summary": CLUSTER_COLUMN_LABELS, "recommendations": RECOMMENDATION_COLUMN_LABELS,
+             "feature_importance": {}}
+    shown = {"feature_importance": result.importance.withColumn("feature", relabel_values(F.col("feature"), FEATURE_LABELS))}
     for name, table in tables.items():
         write_table(table, f"{base}/tables/{name}", fmt="csv")
+        write_table(rename_columns(display_round(shown.get(name, table)), names[name]), f"{base}/display/{name}", fmt="csv")
+    labels = OVERVIEW_LABELS | METRIC_LABELS | AUTO_LABEL_LABELS
+    write_table(display_round(result.metrics_long.withColumn("metric", relabel_values(F.col("metric"), labels))), f"{base}/display/metrics", fmt="csv")
     write_metrics(result.metrics_long, f"{base}/metrics")
     write_metrics(run_info(result, input_path, features.count(), time.time() - start), f"{base}/run_log")
     return result
