@@ -115,6 +115,10 @@ def baseline_top_n(users: DataFrame, pool: DataFrame, model: SimilarityModel, hi
     user leave the task.  Scores are rounded to ``digits`` and ties go to the smaller item
     id.  Where tasks cannot open the training files themselves, pairs are scored as rows.
     """
+    schema = T.StructType([T.StructField(c, k) for c, k in (("user_id", users.schema["user_id"].dataType),
+                                                           ("item_id", pool.schema["item_id"].dataType), ("baseline_score", T.DoubleType()))])
+    if users.isEmpty() or pool.isEmpty():
+        return users.sparkSession.createDataFrame([], schema)
     uris = model.train.inputFiles()
     if not uris or not files_can_be_read(uris):
         pairs = drop_seen(build_candidate_pairs(users, pool, None), history)
@@ -128,8 +132,6 @@ def baseline_top_n(users: DataFrame, pool: DataFrame, model: SimilarityModel, hi
     asked = users.select("user_id", model.block(model.user_columns, model.user_weight).alias("v")).dropDuplicates(["user_id"]) \
         .join(seen, "user_id", "left")
     keep, top_k, mean = model.top_k + 2, model.top_k, model.global_mean
-    schema = T.StructType([T.StructField(c, k) for c, k in (("user_id", users.schema["user_id"].dataType),
-                                                           ("item_id", pool.schema["item_id"].dataType), ("baseline_score", T.DoubleType()))])
 
     def nearest(left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Similarities and labels (user, item, rank) of the nearest training rows."""
@@ -182,8 +184,6 @@ def baseline_top_n(users: DataFrame, pool: DataFrame, model: SimilarityModel, hi
                     names=schema.names)
 
     kind = to_arrow_type(schema["item_id"].dataType)
-    if not ids:
-        return users.sparkSession.createDataFrame([], schema)
     return asked.mapInArrow(run, schema)
 
 
