@@ -9,7 +9,8 @@ have an empty sketch.
 
 Edge cases: null is the empty text; a text of fewer than five words has its whole
 word sequence as one shingle; equal texts have equal sketches; two empty sketches
-are alike (1.0), an empty and a full one are not (0.0); repeated rows stay rows.
+are alike (1.0), an empty and a full one are not (0.0); repeated rows stay rows; ids may be
+of any type that has an order, repeated or null.
 """
 
 from __future__ import annotations
@@ -18,11 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from shoplens.llm.common import SHINGLE, ascii_lower, stage
+from shoplens.llm.common import SHINGLE, ascii_lower, ensure_checkpoint_dir, stage
 
 BITS = 3                    # one shingle in 8
-BUCKET_ROWS = 1000          # documents of neighbouring ids that are ordered together
-MAX_BUCKETS = 1_000_000     # bound of the bucket table
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -79,27 +78,28 @@ def next_by_id(docs: DataFrame, id_col: str, columns: list[str], derive=lambda d
     """``derive(docs)`` plus ``next_<c>`` of the document with the next smaller id
     (after the last one, the first), without ordering all rows in one task.
 
-    Ids are cut into buckets of about ``BUCKET_ROWS`` rows by their value.  The first
-    row of each bucket is also given to the bucket before it, so every bucket can be
-    ordered alone.  The bucket table has at most ``MAX_BUCKETS`` rows and is broadcast.
-    Null ids come last; rows of one id are ordered by their columns' hash.
+    Rows are dealt out and written in ranges of their order, which hold about the same
+    number each whatever the ids are: far apart, alike for a third of all rows, or
+    missing.  The first row of each range is also given to the range before it, so every
+    range can be ordered alone.  The table of ranges has one row per partition.
+    Ids may be of any type that has an order; null ids come last, and rows of one id are
+    ordered by their columns' hash.
     """
-    stats = docs.agg(F.min(id_col).cast("long").alias("lo"), F.max(id_col).cast("long").alias("hi"), F.count("*").alias("n")).first()
-    lo, hi, n = stats["lo"] or 0, stats["hi"] or 0, stats["n"]
-    buckets = max(1, min(MAX_BUCKETS, n // BUCKET_ROWS))
-    width = (hi - lo) // buckets + 1
-    bucket = F.coalesce(F.floor((F.col(id_col).cast("long") - lo) / F.lit(width)), F.lit(-1)).cast("long")
-    heads = docs.select(F.col(id_col).alias("head"), bucket.alias("bucket")).groupBy("bucket").agg(F.max("head").alias("head"))
-    order = W.orderBy(F.desc("bucket"))          # at most MAX_BUCKETS rows
-    to = heads.select("head", F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(W.partitionBy())).alias("to"))
-    to = stage(to, "fingerprint-heads")
-    own = derive(docs.withColumn("__bucket", bucket).withColumn("__extra", F.lit(0)))
-    extra = derive(docs.join(F.broadcast(to), docs[id_col].eqNullSafe(to["head"]))
-                   .select(*[docs[c] for c in docs.columns], F.col("to").alias("__bucket"), F.lit(1).alias("__extra")))
-    in_bucket = W.partitionBy("__bucket").orderBy("__extra", F.desc_nulls_last(id_col), F.xxhash64(*columns))
-    joined = own.unionByName(extra)
-    return joined.select("*", *[F.lead(c).over(in_bucket).alias(f"next_{c}") for c in columns]) \
-        .filter("__extra = 0").drop("__bucket", "__extra")
+    ensure_checkpoint_dir(docs.sparkSession)
+    order = [F.desc_nulls_last(id_col), F.asc("__hash")]
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = stage(docs.withColumn("__hash", F.xxhash64(*docs.columns)).repartitionByRange(n, *order)
+                 .withColumn("__range", F.spark_partition_id()), "fingerprint-ranges")
+    first = F.struct(F.col(id_col).isNotNull(), F.col(id_col), F.bitwise_not("__hash"))       # the greatest comes first
+    heads = held.groupBy("__range").agg(F.max_by(F.struct(*docs.columns, "__hash"), first).alias("__head"))
+    by = W.orderBy("__range")                    # one row per partition
+    heads = stage(heads.select("__head", F.coalesce(F.lag("__range").over(by), F.max("__range").over(W.partitionBy())).alias("__range")),
+                  "fingerprint-heads")
+    own = derive(held.withColumn("__extra", F.lit(0)))
+    extra = derive(heads.select("__head.*", "__range", F.lit(1).alias("__extra")))
+    in_range = W.partitionBy("__range").orderBy("__extra", *order)
+    return own.unionByName(extra).select("*", *[F.lead(c).over(in_range).alias(f"next_{c}") for c in columns]) \
+        .filter("__extra = 0").drop("__range", "__extra", "__hash")
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", bits: int = BITS) -> DataFrame:

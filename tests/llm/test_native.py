@@ -70,16 +70,16 @@ def test_strip_takes_the_hit_words_out(spark):
     assert got == {1: "-- Keep here.", 2: "clean", 3: None}
 
 
-@pytest.mark.parametrize("rows", [3, 1000])
-def test_edited_texts(spark, rows):
+@pytest.mark.parametrize("ranges", [20, 1])
+def test_edited_texts(spark, ranges):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()][:60] + [(900, None), (901, "x"), (902, "日本語 テスト")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    size = fingerprint.BUCKET_ROWS
-    fingerprint.BUCKET_ROWS = rows
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
     try:
         got = {r.doc_id: r for r in fingerprint.edited_fingerprints(df).collect()}
     finally:
-        fingerprint.BUCKET_ROWS = size
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     texts = {i: t or "" for i, t in docs}
     order = sorted(texts, reverse=True)
     assert len(got) == len(docs)
