@@ -188,12 +188,13 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
                         buckets: int | None = None) -> DataFrame:
     """The full raw -> 32-column build.
 
-    ``ratings``: user_id, item_id, rating, event_time (+ optional ``_rid`` scan ordinal).
+    ``ratings``: user_id, item_id, rating, event_time (+ optional ``_rid``, an ordinal that
+    stays the same when the rows are read again, as one from a file scan does).
     ``items``: item_id, title, price, im_url, raw_category, sales_rank_value and the
     three related counts (+ optional ``_ord`` record ordinal, first wins).
     """
-    if "_rid" not in ratings.columns:
-        ratings = ratings.withColumn("_rid", F.monotonically_increasing_id())
+    if "_rid" not in ratings.columns:     # written, as the ordinal must not change when rows are read again
+        ratings = materialize(ratings.withColumn("_rid", F.monotonically_increasing_id()), "ratings")
     meta = prepare_items(items)
     # ratings are aggregated per item first and the one item table is joined once, so
     # a hot item's rows meet a plain shuffle on either side, which AQE splits
@@ -203,11 +204,10 @@ def build_feature_table(ratings: DataFrame, items: DataFrame, min_rows: int = 0,
         usable = base.limit(min_rows).count()
         if usable < min_rows:
             raise ValueError(f"{usable} usable rows; at least {min_rows} were asked for")
-    base = materialize(base, "interactions")
-    # previous-event gap on the written rows, written once more: the gap median
-    # and the final projection read it instead of recomputing the lag
+    # the rows with their previous-event gap, written once: the users, both medians and the
+    # final projection read them
     base = materialize(with_previous_time(base, "user_id", "event_time", ["item_id", "rating"], "_rid", "_gap",
-                                          buckets), "interactions-gap")
+                                          buckets), "interactions")
     users = user_features(user_stats(base), buckets)
     med = materialize(category_median(base), "category-median")
     # category names come from the fixed category list, so the median table is tiny

@@ -46,9 +46,10 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    order_size = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_order"))
+    # sizes of orders from those of their suppliers' parts: one more small aggregate, and one join with the lines
     supp_size = li.groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n_supp"))
-    co = (li.join(order_size, "l_orderkey").join(supp_size, ["l_orderkey", "l_suppkey"])
+    sizes = supp_size.join(supp_size.groupBy("l_orderkey").agg(F.sum("n_supp").alias("n_order")), "l_orderkey")
+    co = (li.join(sizes, ["l_orderkey", "l_suppkey"])
           .groupBy("l_partkey")
           .agg(F.sum(F.col("n_order") - 1).alias("also_bought_count"),
                F.sum(F.col("n_supp") - 1).alias("bought_together_count")))
