@@ -5,16 +5,17 @@ greatest angle between its centre and its vectors; a query at angle ``a`` from t
 centre is at angle ``a - radius`` or more from every vector of the cell, so the cosine
 of that is a bound on all similarities there.
 
-1. Each query is searched in the nearest cells that hold ``m`` vectors between them:
-   its ``m``-th similarity so far is a floor.
-2. It then visits the cells whose bound reaches the floor, and no other: a cell that is
-   passed over cannot hold a neighbour, so the result is that of comparing all pairs.
-
-A query is one row per cell it visits and a train vector one row per group of queries of
-its cell, so on clustered vectors the rows shuffled follow the input; without structure
-all cells are visited, which is what comparing all pairs costs.  Cells and query groups
-are cut into blocks of bounded size that meet in one task each, as matrix products; no
-pair becomes a row.
+Train vectors are written by cell.  Queries are dealt out by their nearest cell, so that
+those of one task need the same few cells.  A task holds some queries with the ``m`` best
+rows of each so far, the last of which is the query's floor, and reads the cells block by
+block, those first whose bound is highest; a block meets only the queries whose floor the
+cell's bound reaches, and no cell is read that none of them needs.  A cell that is passed
+over cannot hold a neighbour, so the result is that of comparing all pairs.
+
+Each query is shuffled once and each train vector once, whatever the vectors are like;
+memory is bounded by ``HOLD`` queries and ``BLOCK`` vectors.  Where tasks cannot open the
+written files themselves, a query is one row per cell that it may need, in two rounds,
+and blocks meet through a shuffle.
 
 Centres come from a bounded sample (``MAX_CELLS * SAMPLE`` vectors, those of the smallest
 id hash): they decide the speed alone.  There are at most ``MAX_CELLS`` centres, so the
@@ -24,14 +25,17 @@ tables of cells that go to the driver and into the tasks are bounded at any size
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from shoplens.session import ensure_checkpoint_dir, materialize
+from shoplens.session import ensure_checkpoint_dir, materialize, shuffle_partitions
+from shoplens.sources.blocks import files_can_be_read, open_files
 
 CELL_ROWS = 8192           # train vectors of a cell, about, while there are fewer than MAX_CELLS cells
 MAX_CELLS, SAMPLE = 1024, 16
@@ -39,6 +43,7 @@ ROUNDS = 4                 # of moving the centres
 SLACK = 1e-9               # of a cosine, for the rounding of angles and products
 DIGITS = 12                # similarities that agree to so many places are equal, and ranked by id
 _CHUNK = 2048
+HOLD, BLOCK = 2048, 4096   # queries that a task holds, and vectors that they meet at a time
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -134,7 +139,9 @@ def _dealt(train: DataFrame, dims: int, cells: int) -> tuple[DataFrame, Cells]:
                                               pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * dims, pa.array(v.ravel()))],
                                              names=schema.names)
 
-    held = materialize(train.select("tid", "v").mapInArrow(assign, schema), "knn-cells")
+    held = train.select("tid", "v").mapInArrow(assign, schema)
+    n = shuffle_partitions(train.sparkSession)
+    held = materialize(held.repartitionByRange(n, "cell", F.xxhash64("tid")), "knn-cells", partition_by="cell")
     sizes, radii = np.zeros(len(centres) + 1, np.int64), np.zeros(len(centres) + 1)
     for r in held.groupBy("cell").agg(F.count("*").alias("n"), F.min("cos").alias("c")).collect():      # at most MAX_CELLS + 1 rows
         sizes[r["cell"]], radii[r["cell"]] = r["n"], math.acos(max(-1.0, min(1.0, r["c"]))) + 1e-7
@@ -197,8 +204,77 @@ def knn_topk(query: DataFrame, train: DataFrame, m: int, query_id: str, train_id
         raise ValueError("kNN needs non-empty query and train sides")
     dims = int(stats["d"])
     held, index = _dealt(t, dims, cells or math.ceil(stats["n"] / CELL_ROWS))
-    kind = q.schema["qid"].dataType
-    schema = T.StructType([T.StructField("qid", kind), T.StructField("cell", T.IntegerType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
+    files: dict[int, list[str]] = {}
+    for uri in held.inputFiles():
+        files.setdefault(int(re.search(r"/cell=(\d+)/", uri).group(1)), []).append(uri)
+    if not files_can_be_read([uri for of in files.values() for uri in of[:1]][:1]):
+        found = _by_shuffle(q, held, index, m, dims, block_rows)
+        return found.select(F.col("qid").alias(query_id), F.col("tid").alias(train_id), "sim", "rank")
+    if (index.sizes > 0).sum() > 1:
+        home = T.StructType([*q.schema.fields, T.StructField("home", T.IntegerType())])
+
+        def nearest(batches):
+            for batch in batches:
+                bounds = index.bounds(unit(matrix(batch.column("v"), dims)))
+                yield pa.RecordBatch.from_arrays([batch.column("qid"), batch.column("v"), pa.array(np.argmax(bounds, 1).astype(np.int32))], names=home.names)
+
+        q = q.mapInArrow(nearest, home).repartitionByRange(shuffle_partitions(q.sparkSession), "home", F.xxhash64("qid")).select("qid", "v")
+    text = isinstance(held.schema["tid"].dataType, T.StringType)
+    out = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("tid", held.schema["tid"].dataType),
+                        T.StructField("sim", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+
+    def search(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, HOLD):
+                batch = whole.slice(at, HOLD)
+                sims, tids = _nearest(unit(matrix(batch.column("v"), dims)), index, files, m, dims, text)
+                row, rank = np.nonzero(sims > _NONE)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("qid").take(pa.array(row)), pa.array(tids[row, rank].tolist() if text else tids[row, rank]).cast(kind),
+                     pa.array(sims[row, rank]), pa.array((rank + 1).astype(np.int32))], names=out.names)
+
+    kind = to_arrow_type(held.schema["tid"].dataType)
+    return q.mapInArrow(search, out).select(F.col("qid").alias(query_id), F.col("tid").alias(train_id), "sim", "rank")
+
+
+_NONE = -3.0      # similarity of a place that no row holds yet
+
+
+def _nearest(queries: np.ndarray, index: Cells, files: dict[int, list[str]], m: int, dims: int, text: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Similarities and ids (query, rank) of the ``m`` best rows of each unit query."""
+    bounds = index.bounds(queries)
+    best = np.full((len(queries), m), _NONE)
+    tids = np.full((len(queries), m), "" if text else 0, object if text else np.int64)
+    most = bounds.max(0)
+    for cell in np.argsort(-most, kind="stable").tolist():
+        if most[cell] < best[:, -1].min():
+            break                                   # nor can any cell after it
+        rows = np.flatnonzero(bounds[:, cell] >= best[:, -1])
+        if not len(rows) or cell not in files:
+            continue
+        for f in open_files(files[cell]):
+            for block in f.iter_batches(batch_size=BLOCK, columns=["tid", "v"]):
+                ids = np.array(block.column("tid").to_pylist(), object) if text else block.column("tid").to_numpy(zero_copy_only=False)
+                by = np.argsort(ids, kind="stable")                      # ties: the smaller id first
+                found = np.round(queries[rows] @ matrix(block.column("v"), dims).T, DIGITS)
+                hit = np.flatnonzero(found.max(1) >= best[rows, -1])     # others have nothing to gain
+                if not len(hit):
+                    continue
+                found, ids = found[hit][:, by], ids[by]
+                to = top_indices(found, min(m, len(ids)))
+                sims = np.concatenate((best[rows[hit]], np.take_along_axis(found, to, 1)), 1)
+                both = np.concatenate((tids[rows[hit]], ids[to]), 1)
+                order = np.argsort(both, axis=1, kind="stable")
+                sims, both = np.take_along_axis(sims, order, 1), np.take_along_axis(both, order, 1)
+                order = np.argsort(-sims, axis=1, kind="stable")[:, :m]
+                best[rows[hit]], tids[rows[hit]] = np.take_along_axis(sims, order, 1), np.take_along_axis(both, order, 1)
+    return best, tids
+
+
+def _by_shuffle(q: DataFrame, held: DataFrame, index: Cells, m: int, dims: int, block_rows: int) -> DataFrame:
+    """(qid, tid, sim, rank) where tasks cannot read the cells: each query goes to the nearest
+    cells that hold ``m`` vectors, and then to those whose bound reaches its floor."""
+    schema = T.StructType([q.schema["qid"], T.StructField("cell", T.IntegerType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
 
     def visit(column: str | None):
         def run(batches):
@@ -226,4 +302,4 @@ def knn_topk(query: DataFrame, train: DataFrame, m: int, query_id: str, train_id
         more = materialize(q.join(floor, "qid").mapInArrow(visit("floor"), schema), "knn-more")
         if not more.isEmpty():
             found = _ranked(found.drop("rank").unionByName(_search(more, held, index, m, dims, block_rows)), m)
-    return found.select(F.col("qid").alias(query_id), F.col("tid").alias(train_id), "sim", "rank")
+    return found

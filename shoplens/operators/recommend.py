@@ -22,9 +22,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shoplens.operators.neighbours import DIGITS, top_indices
-from shoplens.operators.segments import files_can_be_read, open_files, vectors
+from shoplens.operators.segments import vectors
 from shoplens.operators.similarity import SimilarityModel
 from shoplens.schema import CANDIDATE_ITEM_COLUMNS, CANDIDATE_USER_COLUMNS
+from shoplens.sources.blocks import files_can_be_read, open_files
 
 
 def _key(df: DataFrame, desc: Sequence[str], asc: Sequence[str]) -> Column:

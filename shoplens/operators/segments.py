@@ -28,6 +28,7 @@ from shoplens.schema import (
     SEGMENT_SUMMARY_COLUMNS,
 )
 from shoplens.session import ensure_checkpoint_dir, materialize, shuffle_partitions
+from shoplens.sources.blocks import files_can_be_read, open_files
 
 
 def _all() -> Window:
@@ -131,25 +132,6 @@ def _label_sums(x: np.ndarray, block, labels: np.ndarray) -> np.ndarray:
     return out
 
 
-def open_files(uris: Sequence[str]):
-    """Parquet files of the shared folder, opened where this runs."""
-    from pyarrow import fs
-    from pyarrow import parquet as pq
-
-    for uri in uris:
-        system, path = fs.FileSystem.from_uri(uri)
-        with system.open_input_file(path) as f:
-            yield pq.ParquetFile(f)
-
-
-def files_can_be_read(uris: Sequence[str]) -> bool:
-    try:
-        next(open_files(uris))
-    except Exception:       # whatever a file system that is not there raises
-        return False
-    return True
-
-
 def silhouette(points: DataFrame, id_col: str, label_col: str, vec_col: str, block_rows: int = 4096) -> DataFrame:
     """Mean silhouette (Euclidean) over all points, exact.
 

@@ -30,8 +30,11 @@ def same(a, b):
     assert all(math.isclose(s, t, abs_tol=1e-9) for x, y in zip(a, b) for (_, s), (_, t) in zip(x, y))
 
 
-@pytest.mark.parametrize("cells", [1, 2, 7, 40])
-def test_any_number_of_cells_gives_all_pairs_result(spark, cells):
+@pytest.mark.parametrize("cells, files", [(1, True), (2, True), (7, True), (40, True), (1, False), (7, False)])
+def test_any_number_of_cells_gives_all_pairs_result(spark, monkeypatch, cells, files):
+    monkeypatch.setattr(nb, "BLOCK", 16)
+    if not files:
+        monkeypatch.setattr(nb, "files_can_be_read", lambda uris: False)
     rng = np.random.default_rng(cells)
     centres = rng.normal(size=(5, 4)) * 3
     train = centres[rng.integers(0, 5, 150)] + rng.normal(size=(150, 4)) * 0.4
@@ -51,25 +54,33 @@ def test_fewer_rows_than_asked_for_and_string_ids(spark):
         nb.knn_topk(q.limit(0), t, 2, "a", "b")
 
 
-def test_rows_shuffled_follow_the_input_on_clustered_vectors(spark, monkeypatch):
-    rows = {}
-    real = nb.materialize
+def test_work_follows_the_input_on_clustered_vectors(spark, monkeypatch):
+    compared = {}
     for n in (400, 1600):
         rng = np.random.default_rng(n)
         centres = nb.unit(rng.normal(size=(n // 40, 12)))
         train = centres[np.arange(n) % len(centres)] + rng.normal(size=(n, 12)) * 0.01
-        visits = []
-
-        def counted(df, tag, visits=visits):
-            out = real(df, tag)
-            if tag in ("knn-first", "knn-more"):
-                visits.append(out.count())
-            return out
-        monkeypatch.setattr(nb, "materialize", counted)
         same(indexed(spark, train[:n // 2], train, 5, n // 40), plain(train[:n // 2], train, 5))
-        rows[n] = sum(visits)
-    # every query visits a few cells, however many there are
-    assert rows[1600] < 5 * rows[400] and rows[1600] < 4 * 800
+        # the same search here, counting the vectors that are read
+        t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(train)], "tid long, v array<double>")
+        held, index = nb._dealt(t, 12, n // 40)
+        files = {}
+        for uri in held.inputFiles():
+            files.setdefault(int(uri.split("/cell=")[1].split("/")[0]), []).append(uri)
+        read = [0]
+        real = nb.matrix
+
+        def counted(column, dims):
+            read[0] += len(column)
+            return real(column, dims)
+        monkeypatch.setattr(nb, "matrix", counted)
+        order = np.argsort(np.argmax(index.bounds(nb.unit(train)), 1), kind="stable")
+        for at in range(0, n, 40):                      # queries of about one cell at a time
+            nb._nearest(nb.unit(train[order[at:at + 40]]), index, files, 5, 12, False)
+        monkeypatch.setattr(nb, "matrix", real)
+        compared[n] = read[0]
+    # every group of queries reads a few cells, however many there are
+    assert compared[1600] < 6 * compared[400] and compared[1600] < 1600 * 1600 / 40 / 4
 
 
 def test_bounds_hold():
