@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.numeric import np_round, parse_number, py_round
@@ -79,11 +79,11 @@ def users_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                    lambda: feat.user_features(feat.user_stats(base_table(spark, sf_dir))))
 
 
-def epoch(col: str) -> F.Column:
+def epoch(col: str) -> Column:
     return F.unix_seconds(F.col(col).cast("timestamp"))
 
 
-def r6(col: str | F.Column) -> F.Column:
+def r6(col: str | F.Column) -> Column:
     return np_round(F.col(col) if isinstance(col, str) else col, 6)
 
 
@@ -999,13 +999,62 @@ from shoplens.sources import files as fs  # noqa: E402
 @register("load_clean", "K1, S1, S2, P1", O.with_features("SELECT * FROM features"))
 def q_load_clean(spark, sf_dir):
     """Feature table -> CSV sink (header) in the shared folder -> structured loader."""
-    import uuid
-
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens/csv-{uuid.uuid4().hex}"
+    path = _scratch(spark, "csv")
     fs.write_table(feature_table(spark, sf_dir), path, fmt="csv")
     return fs.load_structured_dataset(spark, path)
 
 
+def _scratch(spark: SparkSession, tag: str) -> str:
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoplens/{tag}-{uuid.uuid4().hex}"
+
+
+@register("meta_literals", "S4, P3", (
+    "SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_name AS title, CASE WHEN p_size % 7 <> 0 THEN p_retailprice END AS price, "
+    "CASE WHEN p_size % 2 = 0 THEN 'x' END AS im_url, CASE WHEN p_size % 4 <> 0 THEN p_type END AS raw_category, "
+    "CASE WHEN p_size % 4 <> 0 THEN CAST(p_size AS DOUBLE) END AS sales_rank_value, "
+    "CAST(CASE WHEN p_size % 3 = 0 THEN 0 ELSE p_size % 5 END AS BIGINT) AS also_bought_count, "
+    "CAST(CASE WHEN p_size % 3 = 0 THEN 0 ELSE p_size % 6 END AS BIGINT) AS also_viewed_count FROM part"))
+def q_meta_literals(spark, sf_dir):
+    """Parts as compressed lines of Python dict literals, read back by the metadata source."""
+    part = dt.read_table(spark, sf_dir, "part")
+    size = F.col("p_size")
+
+    def text(c) -> Column:
+        return F.concat(F.lit("'"), F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), "'", r"\\'"), F.lit("'"))
+
+    def listed(n) -> Column:
+        return F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit("'i'"), n.cast("int")), ", "), F.lit("]"))
+
+    line = F.concat(
+        F.lit("{'asin': '"), F.col("p_partkey").cast("string"), F.lit("', 'title': "), text(F.col("p_name")),
+        F.when(size % 7 != 0, F.concat(F.lit(", 'price': "), F.col("p_retailprice").cast("string"))).otherwise(F.lit("")),
+        F.when(size % 2 == 0, F.lit(", 'imUrl': 'u'")).otherwise(F.lit("")),
+        F.when(size % 4 != 0, F.concat(F.lit(", 'salesRank': {"), text(F.col("p_type")), F.lit(": "), size.cast("string"), F.lit("}"))).otherwise(F.lit("")),
+        F.when(size % 3 != 0, F.concat(F.lit(", 'related': {'also_bought': "), listed(size % 5), F.lit(", 'also_viewed': "), listed(size % 6), F.lit("}")))
+        .otherwise(F.lit("")), F.lit("}"))
+    path = _scratch(spark, "literals")
+    part.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    got = fs.parse_meta(spark, path)
+    return got.select("item_id", "title", F.col("price").cast("double").alias("price"), "im_url", "raw_category", "sales_rank_value",
+                      "also_bought_count", "also_viewed_count")
+
+
+@register("csv_documents", "S1, S6", (
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, md5(nullif(text, '')) AS text_md5, length(nullif(text, '')) AS n_chars FROM documents"))
+def q_csv_documents(spark, sf_dir):
+    """All documents through a quoted CSV, line breaks and quotes in the texts, read back in parallel."""
+    from shoplens.sources.csv_records import read_quoted_csv
+
+    path = _scratch(spark, "csv-documents")
+    dt.read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").write.options(
+        header="true", quote='"', escape='"', quoteAll="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    back = read_quoted_csv(spark, path)
+    text = F.nullif(F.col("text"), F.lit(""))
+    return back.select("doc_id", "lang", "source", F.md5(text.cast("binary")).alias("text_md5"), F.length(text).cast("long").alias("n_chars"))
+
+
 def _label_sql(col: str) -> str:
     return "CASE " + " ".join(f"WHEN {col} = {O.q(k)} THEN {O.q(v)}" for k, v in FEATURE_LABELS.items()) + f" ELSE {col} END"
 
