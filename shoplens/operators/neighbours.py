@@ -242,7 +242,7 @@ _NONE = -3.0      # similarity of a place that no row holds yet
 
 def _nearest(queries: np.ndarray, index: Cells, files: dict[int, list[str]], m: int, dims: int, text: bool) -> tuple[np.ndarray, np.ndarray]:
     """Similarities and ids (query, rank) of the ``m`` best rows of each unit query."""
-    bounds = index.bounds(queries)
+    bounds, rough = index.bounds(queries), queries.astype(np.float32)
     best = np.full((len(queries), m), _NONE)
     tids = np.full((len(queries), m), "" if text else 0, object if text else np.int64)
     most = bounds.max(0)
@@ -255,22 +255,45 @@ def _nearest(queries: np.ndarray, index: Cells, files: dict[int, list[str]], m:
         for f in open_files(files[cell]):
             for block in f.iter_batches(batch_size=BLOCK, columns=["tid", "v"]):
                 ids = np.array(block.column("tid").to_pylist(), object) if text else block.column("tid").to_numpy(zero_copy_only=False)
-                by = np.argsort(ids, kind="stable")                      # ties: the smaller id first
-                found = np.round(queries[rows] @ matrix(block.column("v"), dims).T, DIGITS)
-                hit = np.flatnonzero(found.max(1) >= best[rows, -1])     # others have nothing to gain
-                if not len(hit):
-                    continue
-                found, ids = found[hit][:, by], ids[by]
-                to = top_indices(found, min(m, len(ids)))
-                sims = np.concatenate((best[rows[hit]], np.take_along_axis(found, to, 1)), 1)
-                both = np.concatenate((tids[rows[hit]], ids[to]), 1)
-                order = np.argsort(both, axis=1, kind="stable")
-                sims, both = np.take_along_axis(sims, order, 1), np.take_along_axis(both, order, 1)
-                order = np.argsort(-sims, axis=1, kind="stable")[:, :m]
-                best[rows[hit]], tids[rows[hit]] = np.take_along_axis(sims, order, 1), np.take_along_axis(both, order, 1)
+                train = matrix(block.column("v"), dims)
+                found = rough[rows] @ train.astype(np.float32).T
+                _merge(best, tids, rows, found, queries, train, ids)
     return best, tids
 
 
+def _merge(best: np.ndarray, tids: np.ndarray, rows: np.ndarray, found: np.ndarray, queries: np.ndarray, train: np.ndarray,
+           ids: np.ndarray) -> None:
+    """Put a block's rows into the best ones of some queries, in place.
+
+    ``found`` (row, id) holds the similarities in single precision: it only tells which
+    pairs may reach a query's floor.  Those are worked out in double precision.
+    """
+    m = best.shape[1]
+    floor = best[rows, -1].astype(np.float32)
+    new = np.flatnonzero(best[rows, -1] == _NONE)
+    if len(new) and found.shape[1] > m:                  # a floor for queries without one
+        floor[new] = np.partition(found[new], found.shape[1] - m, axis=1)[:, found.shape[1] - m]
+    off = np.float32(1e-6 + 2e-7 * train.shape[1])       # more than a product of unit vectors can be off by
+    row, col = np.nonzero(found >= (floor - off)[:, None])
+    some, row = np.unique(row, return_inverse=True)
+    if not len(some):
+        return
+    rows = rows[some]
+    sims = np.round(np.einsum("ij,ij->i", queries[rows[row]], train[col]), DIGITS)
+    row = np.concatenate((row, np.repeat(np.arange(len(rows)), m)))
+    sims = np.concatenate((sims, best[rows].ravel()))
+    both = np.concatenate((ids[col], tids[rows].ravel()))
+    if both.dtype == object:
+        both = np.unique(both, return_inverse=True)[1], both
+    else:
+        both = both, both
+    order = np.lexsort((both[0], -sims, row))            # ties: the smaller id first
+    row, sims, own = row[order], sims[order], both[1][order]
+    starts = np.searchsorted(row, np.arange(len(rows)))
+    take = starts[:, None] + np.arange(m)[None, :]
+    best[rows], tids[rows] = sims[take], own[take]
+
+
 def _by_shuffle(q: DataFrame, held: DataFrame, index: Cells, m: int, dims: int, block_rows: int) -> DataFrame:
     """(qid, tid, sim, rank) where tasks cannot read the cells: each query goes to the nearest
     cells that hold ``m`` vectors, and then to those whose bound reaches its floor."""
