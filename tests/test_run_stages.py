@@ -27,3 +27,12 @@ def test_segment_queries_do_not_wait_for_the_forest(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="the whole run"):
         catalog.q_rf_ranker(spark, "x")
     assert seen == [("features", Found)]
+
+
+def test_rows_without_a_user_are_an_error_in_the_segment_stage(spark):
+    from shoplens.plans.pipeline import segment_users
+    from shoplens.schema import INTERACTION_SCHEMA
+
+    row = [None, "i"] + [None] * 30
+    with pytest.raises(ValueError, match="no segment for user null"):
+        segment_users(spark.createDataFrame([tuple(row)], INTERACTION_SCHEMA))
