@@ -94,3 +94,41 @@ def test_bounds_hold():
     for c in range(9):
         assert ((queries @ train[own == c].T).max(1) <= bounds[:, c]).all()
     assert (cells.first(bounds, 20) @ cells.sizes >= 20).all()
+
+
+def test_a_query_meets_few_runs_of_a_wide_cell(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(8, 12))
+    train = centres[np.arange(4000) % 8] + rng.normal(size=(4000, 12)) * 0.2
+    train[7], train[100:130] = 0, train[100]        # a vector of length 0, and more equal ones than are asked for
+    queries = np.concatenate((centres, train[[3, 7, 100]]))
+    same(indexed(spark, queries, train, 6, 1), plain(queries, train, 6))
+    # the same search here, counting the pairs that are compared: all of them are in one cell
+    held, index = nb._dealt(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(train)], "tid long, v array<double>"), 12, 1)
+    files = {}
+    for uri in held.inputFiles():
+        files.setdefault(int(uri.split("/cell=")[1].split("/")[0]), []).append(uri)
+    pairs, reached = [0], nb._reached
+
+    def counted(asking, floor, vectors, starts):
+        needed = reached(asking, floor, vectors, starts)
+        pairs[0] += int((needed.sum(1) * np.diff(np.append(starts, len(vectors)))).sum())
+        return needed
+    monkeypatch.setattr(nb, "_reached", counted)
+    monkeypatch.setattr(nb, "BLOCK", 512)
+    nb._nearest(nb.unit(centres), index, files, 6, 12, False)
+    assert 0 < pairs[0] < len(centres) * len(train) / 2
+
+
+def test_runs_out_of_reach_hold_no_neighbour():
+    rng = np.random.default_rng(2)
+    train = nb.unit(rng.normal(size=(1000, 5)))
+    order = nb.near_order(train, 16)
+    assert sorted(order.tolist()) == list(range(1000))
+    train, starts = train[order], np.arange(0, 1000, 16)
+    queries = nb.unit(rng.normal(size=(60, 5)))
+    floor = np.linspace(-0.3, 1, 60)
+    needed = nb._reached(queries, floor, train, starts)
+    best = np.maximum.reduceat(queries @ train.T, starts, axis=1).T
+    assert needed[best >= floor].all() and not needed.all()
+    assert len(nb.near_order(np.full((200, 3), np.nan), 16)) == 200 and len(nb.near_order(np.zeros((0, 3)), 16)) == 0
