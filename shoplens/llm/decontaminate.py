@@ -77,7 +77,8 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
         ours = side.filter(F.col("len") == length).select("h", "window", "items")
         if small:       # the words stay in the scan's stage and are cut only where a hash meets
             spots = keyed.select("id", "tkey", "words", F.posexplode(_window_hashes(F.col("words"), length)).alias("at", "h"))
-            met = spots.join(ours, "h").filter(F.slice("words", F.col("at") + 1, length) == F.col("window"))
+            # no plain equality, which would become a key of the join and cut every window out
+            met = spots.join(ours, "h").filter(F.slice("words", F.col("at") + 1, length).between(F.col("window"), F.col("window")))
         else:
             met = windows_of(keyed, length).join(ours, "h").filter(F.col("run") == F.col("window"))
         found = met.select("id", "tkey", "at", F.lit(length).alias("len"), "items")

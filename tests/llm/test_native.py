@@ -262,3 +262,21 @@ def test_shuffled_windows_carry_their_own_words_only(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert got_hits(d, b) == brute_hits(docs, bench)
     assert sent and all(s == {"id", "tkey", "at", "h", "run"} for s in sent)
+
+
+def test_windows_of_documents_are_cut_only_where_a_hash_meets(spark, monkeypatch):
+    plans, stage = [], decontaminate.stage
+
+    def look(df, tag):
+        if tag == "decontaminate-hits":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stage(df, tag)
+
+    monkeypatch.setattr(decontaminate, "stage", look)
+    text = "one two three four five six seven eight nine ten eleven"
+    d = spark.createDataFrame([(1, "x " + text), (2, "ten nine eight seven six five four three two one zero"), (3, None)], "doc_id long, text string")
+    b = spark.createDataFrame([("a", text), ("b", "three four")], "item_id string, text string")
+    got = {r.doc_id: (list(r["items"]), r.n_hit) for r in decontaminate.contaminated(d, b).collect()}
+    assert got == {1: (["a", "b"], 11), 2: ([], 0), 3: ([], 0)}
+    joins = [line for line in plans[0].splitlines() if "HashJoin" in line]
+    assert len(joins) == 2 and all(re.search(r"HashJoin \[h#\d+L\], \[h#\d+L\]", line) for line in joins)     # the hash alone is the key
